@@ -26,16 +26,22 @@ def bridge_rows(keyed: DataFrame, key_col: str, names_col: str, dim: DataFrame,
     return pairs.join(lookup, "__name", "inner").select(key_col, dim_key).distinct()
 
 
+def not_loaded(new: DataFrame, existing: DataFrame, natural_keys: Sequence[str]) -> DataFrame:
+    """Rows of ``new`` whose natural key (NULL-safe equality) is not in ``existing``."""
+    keys = existing.select(*[F.col(k).alias(f"__x_{k}") for k in natural_keys])
+    cond = None
+    for k in natural_keys:
+        c = F.col(k).eqNullSafe(F.col(f"__x_{k}"))
+        cond = c if cond is None else cond & c
+    return new.join(keys, cond, "left_anti")
+
+
 def append_rows(existing: DataFrame, new: DataFrame, natural_keys: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Append-only load. With ``natural_keys`` the load is idempotent: rows
-    whose natural key (NULL-safe) is already present are not appended again.
+    whose natural key is already present are not appended again.
     Returns ``(table, appended)``."""
     if natural_keys:
-        cond = None
-        for k in natural_keys:
-            c = new[k].eqNullSafe(existing[k])
-            cond = c if cond is None else cond & c
-        new = new.join(existing.select(*natural_keys), cond, "left_anti")
+        new = not_loaded(new, existing, natural_keys)
     return existing.unionByName(new), new
 
 

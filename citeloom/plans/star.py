@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.dates import date_parts
 from citeloom.operators.dimension import lookup_or_insert
-from citeloom.operators.facts import append_rows, bridge_rows, resolve_key
+from citeloom.operators.facts import bridge_rows, not_loaded, resolve_key
 from citeloom.operators.keys import assign_keys, max_key
 from citeloom.operators.upsert import merge_last_wins
 from citeloom.schemas import FACT_PUBLICATION, STAR_TABLES, empty_table
@@ -71,7 +71,7 @@ def keyed_publications(articles: DataFrame, dim_journal: DataFrame, fact_publica
         "load_order", "title", "doi", "publication_date", "link", "abstract", "journal_id",
         F.col("last_quartil").alias("quartils"), "authors")
     if idempotent:
-        _, rows = append_rows(fact_publication.select("title", "doi"), rows, ["title", "doi"])
+        rows = not_loaded(rows, fact_publication, ["title", "doi"])
     return assign_keys(rows, "publication_id", ["load_order"],
                        start=max_key(fact_publication, "publication_id"))
 
