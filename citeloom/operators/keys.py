@@ -6,21 +6,22 @@
    partition (a distributed sort),
 2. ``checkpoint()`` the result into the shared checkpoint folder, so the
    partition a row sits in and its position there are fixed facts that a lost
-   executor cannot change on recomputation,
+   executor cannot change on recomputation (range bounds come from sampling,
+   which could differ on a rerun),
 3. count rows per partition (one row per partition reaches the driver),
 4. key = start + rows in earlier partitions + position in the partition + 1,
    where the per-partition offsets are a broadcast table whose size is the
    number of partitions, not the number of rows.
 
-The result equals ``start + row_number() over (order by order_by)`` when the
-ordering columns are unique.
+``start`` is the current maximum key. The result equals ``start + row_number() over (order by order_by)``
+when the ordering columns are unique.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,22 +31,22 @@ _ROW_BITS = 33  # monotonically_increasing_id = partition << 33 | row position
 
 
 def max_key(df: DataFrame, key_col: str) -> int:
-    """Largest existing key (0 for an empty table): one scalar to the driver."""
+    """Largest existing key, 0 for an empty table (one scalar to the driver)."""
     value = df.agg(F.max(key_col)).first()[0]
     return int(value) if value is not None else 0
 
 
-def assign_keys(df: DataFrame, key_col: str, order_by: Sequence[str], start: int = 0,
+def assign_keys(df: DataFrame, key_col: str, order_by: Sequence[str], start: int | Column = 0,
                 num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     shared_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(f"`{c}`") for c in order_by]
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    fixed = ranged.checkpoint(eager=True)
+    fixed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     tagged = fixed.select("*", F.spark_partition_id().alias("__pid"),
                           F.monotonically_increasing_id().alias("__mid"))
-    counts = sorted((r["__pid"], r["count"]) for r in tagged.groupBy("__pid").count().collect())
+    counts = sorted((r["__pid"], r["__n"]) for r in
+                    tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect())
     offsets, running = [], 0
     for pid, cnt in counts:
         offsets.append((pid, running))
@@ -55,6 +56,7 @@ def assign_keys(df: DataFrame, key_col: str, order_by: Sequence[str], start: int
     # At most one row per partition: a proven bound, safe to broadcast.
     offset_df = F.broadcast(spark.createDataFrame(offsets, offset_schema))
     position = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), _ROW_BITS)
-    key = (F.lit(start).cast("long") + F.col("__off") + position + F.lit(1)).alias(key_col)
+    first = start if isinstance(start, Column) else F.lit(start)
+    key = (first.cast("long") + F.col("__off") + position + F.lit(1)).alias(key_col)
     return (tagged.join(offset_df, "__pid", "inner")
             .select(key, *[F.col(f"`{c}`") for c in df.columns if c != key_col]))
