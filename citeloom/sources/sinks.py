@@ -3,13 +3,14 @@
 Plain file tables cannot be overwritten while they are read, and a load
 that writes six tables must not leave a half-written state behind. So each
 load writes a complete new version directory and only then moves the
-``_current`` pointer, a one-row file that readers consult first.
+``CURRENT`` pointer, a one-row file that readers consult first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,14 +41,14 @@ def publish_version(tables: Mapping[str, DataFrame], root: str, version: str) ->
         df.write.mode("overwrite").parquet(path)
         paths[name] = path
     if spark is not None:
-        spark.createDataFrame([(version,)], _POINTER).coalesce(1).write.mode("overwrite").json(f"{root}/_current")
+        spark.createDataFrame([(version,)], _POINTER).coalesce(1).write.mode("overwrite").json(f"{root}/CURRENT")
     return paths
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
     try:
-        row = spark.read.schema(_POINTER).json(f"{root}/_current").first()
-    except Exception:  # no pointer yet: nothing published
+        row = spark.read.schema(_POINTER).json(f"{root}/CURRENT").first()
+    except AnalysisException:  # no pointer yet: nothing published
         return None
     return row["version"] if row else None
 
