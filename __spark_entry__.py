@@ -255,7 +255,7 @@ def _part_quartils(spark, sf_dir) -> DataFrame:
 def q_quartils_dispatch(spark, sf_dir):
     p = _part_quartils(spark, sf_dir)
     kind = CF.quartils_kind(F.col("q"))
-    elements = F.when(kind == "list", CF.json_array_elements(F.col("q")))
+    elements = CF.decode_elements(F.when(kind == "list", CF.json_array_elements(F.col("q"))))
     return p.select("p_partkey", kind.alias("kind"), CF.journal_flag(elements).alias("journal_flag"),
                     F.size(CF.quartile_items(elements)).cast("long").alias("n_items"),
                     CF.last_quartil(elements).alias("last_quartil"),
@@ -276,7 +276,7 @@ def _order_quartils(spark, sf_dir) -> DataFrame:
 
 def q_filter_quartiles(spark, sf_dir):
     o = _order_quartils(spark, sf_dir)
-    items = CF.quartile_items(CF.json_array_elements(F.col("q")))
+    items = CF.quartile_items(CF.decode_elements(CF.json_array_elements(F.col("q"))))
     return (o.select("o_orderkey", F.explode(items).alias("it"))
             .select("o_orderkey", F.col("it.pos").cast("long").alias("pos"),
                     F.col("it.annee").alias("annee"), F.col("it.quartil").alias("quartil")))
@@ -284,7 +284,7 @@ def q_filter_quartiles(spark, sf_dir):
 
 def q_last_quartile(spark, sf_dir):
     o = _order_quartils(spark, sf_dir)
-    el = CF.json_array_elements(F.col("q"))
+    el = CF.decode_elements(CF.json_array_elements(F.col("q")))
     return o.select("o_orderkey", CF.last_quartil(el).alias("last_quartil"),
                     CF.journal_flag(el).alias("journal_flag"))
 

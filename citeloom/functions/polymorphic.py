@@ -57,49 +57,65 @@ def quartils_kind(text) -> Column:
             .otherwise(F.lit("string")))
 
 
-def quartile_candidates(elements) -> Column:
+def decode_elements(elements) -> Column:
+    """Element texts -> array<struct<text, keys>>: each item's top-level keys
+    are read once (NULL keys for an item that is not an object) and reused by
+    every rule below."""
+    return F.transform(_col(elements), lambda x: F.struct(x.alias("text"), F.json_object_keys(x).alias("keys")))
+
+
+def _empty_decoded() -> Column:
+    return F.array().cast("array<struct<text:string,keys:array<string>>>")
+
+
+def _has(s: Column, key: str) -> Column:
+    return F.coalesce(F.array_contains(s["keys"], F.lit(key)), F.lit(False))
+
+
+def quartile_candidates(decoded) -> Column:
     """Items that are objects carrying both the year and the quartile key
     (key presence: an item with a null year still counts)."""
-    return F.filter(F.coalesce(_col(elements), F.array().cast("array<string>")),
-                    lambda x: has_key(x, YEAR_KEY) & has_key(x, QUARTILE_KEY))
+    return F.filter(F.coalesce(_col(decoded), _empty_decoded()),
+                    lambda s: _has(s, YEAR_KEY) & _has(s, QUARTILE_KEY))
 
 
-def quartile_items(elements) -> Column:
+def quartile_items(decoded) -> Column:
     """Candidate items decoded to struct<pos, annee, quartil>, keeping only
     those whose year and quartile are both non-empty. ``pos`` is the item's
     rank among the candidates (load order within a document)."""
-    decoded = F.transform(
-        quartile_candidates(elements),
-        lambda x, i: F.struct(i.alias("pos"),
-                              F.from_json(x, ITEM_SCHEMA)[YEAR_KEY].alias("annee"),
-                              F.from_json(x, ITEM_SCHEMA)[QUARTILE_KEY].alias("quartil")))
-    return F.filter(decoded, lambda s: s["annee"].isNotNull() & (s["annee"] != "")
+    parsed = F.transform(quartile_candidates(decoded),
+                         lambda s, i: F.struct(i.alias("pos"), F.from_json(s["text"], ITEM_SCHEMA).alias("it")))
+    flat = F.transform(parsed, lambda p: F.struct(p["pos"].alias("pos"), p["it"][YEAR_KEY].alias("annee"),
+                                                  p["it"][QUARTILE_KEY].alias("quartil")))
+    return F.filter(flat, lambda s: s["annee"].isNotNull() & (s["annee"] != "")
                     & s["quartil"].isNotNull() & (s["quartil"] != ""))
 
 
-def journal_flag(elements) -> Column:
+def journal_flag(decoded) -> Column:
     """'indexe' when at least one candidate item exists, else 'pas indexe'."""
-    return F.when(F.size(quartile_candidates(elements)) > 0, F.lit(INDEXED)).otherwise(F.lit(NOT_INDEXED))
+    return F.when(F.exists(F.coalesce(_col(decoded), _empty_decoded()),
+                           lambda s: _has(s, YEAR_KEY) & _has(s, QUARTILE_KEY)),
+                  F.lit(INDEXED)).otherwise(F.lit(NOT_INDEXED))
 
 
-def last_item(elements) -> Column:
-    return F.try_element_at(_col(elements), F.lit(-1))
+def last_item(decoded) -> Column:
+    return F.try_element_at(_col(decoded), F.lit(-1))
 
 
-def last_quartil(elements) -> Column:
+def last_quartil(decoded) -> Column:
     """Quartile of the last item of the whole list (not only the valid ones):
     its 'quartil' value (NULL when explicitly null), 'Non disponible' when the
     key is absent, the list is empty, or there is no list."""
-    last = last_item(elements)
-    return (F.when(F.coalesce(F.size(_col(elements)), F.lit(0)) == 0, F.lit(NOT_AVAILABLE))
-            .when(has_key(last, QUARTILE_KEY), json_value(last, QUARTILE_KEY))
+    last = last_item(decoded)
+    return (F.when(F.coalesce(F.size(_col(decoded)), F.lit(0)) == 0, F.lit(NOT_AVAILABLE))
+            .when(_has(last, QUARTILE_KEY), json_value(last["text"], QUARTILE_KEY))
             .otherwise(F.lit(NOT_AVAILABLE)))
 
 
-def last_item_not_object(elements) -> Column:
+def last_item_not_object(decoded) -> Column:
     """True for a non-empty list whose last item is not an object."""
-    e = _col(elements)
-    return F.coalesce(F.size(e) > 0, F.lit(False)) & ~F.coalesce(is_json_object(last_item(e)), F.lit(False))
+    d = _col(decoded)
+    return F.coalesce(F.size(d) > 0, F.lit(False)) & last_item(d)["keys"].isNull()
 
 
 def issn_value(text) -> Column:

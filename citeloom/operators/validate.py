@@ -34,6 +34,17 @@ def required_reason(json_text, keys: Sequence[str] = REQUIRED_KEYS) -> Column:
             .when(~has_keys(t, keys), F.lit("missing_required_keys")))
 
 
+def required_reason_from_keys(keys, required: Sequence[str] = REQUIRED_KEYS) -> Column:
+    """Same as ``required_reason`` from the already extracted top-level keys
+    (NULL when the record is not a JSON object), so the text is scanned once."""
+    k = F.col(keys) if isinstance(keys, str) else keys
+    present = F.lit(True)
+    for key in required:
+        present = present & F.array_contains(k, F.lit(key))
+    return (F.when(k.isNull(), F.lit("not_an_object"))
+            .when(~present, F.lit("missing_required_keys")))
+
+
 def required_non_null_reason(keys: Sequence[str] = REQUIRED_KEYS) -> Column:
     cond = None
     for k in keys:

@@ -12,11 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.functions import (authors_array, extract_journal_name, issn_value, journal_flag,
-                                json_array_elements, last_item_not_object, last_quartil,
-                                normalize_quartile, parse_publication_date,
-                                publication_date_rejected, publication_date_text,
-                                quartile_items, quartils_kind)
+from citeloom.functions import (authors_array, decode_elements, extract_journal_name, issn_value,
+                                journal_flag, json_array_elements, last_item_not_object,
+                                last_quartil, normalize_quartile, parse_day_month_year,
+                                publication_date_text, quartile_items)
+from citeloom.functions.polymorphic import is_json_object
 from citeloom.operators.validate import canonical_projection, first_reason
 from citeloom.schemas import COLUMN_LIMITS, REQUIRED_REASON_COL
 
@@ -52,25 +52,37 @@ def normalize_publications(df: DataFrame, journal_from: str = "title",
         canon = canon.withColumn("__required", F.lit(None).cast("string"))
 
     line = F.col("journal_main_line") if journal_from == "title" else F.col("journal_main")
-    kind = quartils_kind(F.col("Quartils"))
-    elements = F.when(kind == "list", json_array_elements(F.col("Quartils")))
-    staged = canon.select(
+    # Each field is parsed once here; the rules below reuse the parsed values.
+    parsed = canon.select(
+        "*",
+        publication_date_text(F.col("`Publication Date`")).alias("__date_text"),
+        json_array_elements(F.col("Quartils")).alias("__array"),
+        is_json_object(F.col("Quartils")).alias("__is_object"),
+        extract_journal_name(line).alias("__journal_name"),
+        line.alias("__journal_line"))
+    kind = (F.when(F.col("Quartils").isNull(), F.lit("missing"))
+            .when(F.col("__array").isNotNull(), F.lit("list"))
+            .when(F.col("__is_object"), F.lit("object"))
+            .otherwise(F.lit("string")))
+    date = F.when(F.col("__date_text") != "", parse_day_month_year(F.col("__date_text")))
+    dated = parsed.select("*", date.alias("__date"), decode_elements(F.col("__array")).alias("__elements"))
+    staged = dated.select(
         F.col("_id").alias("load_order"),
         F.col("Title").alias("title"),
         F.col("DOI").alias("doi"),
         authors_array(F.col("Authors")).alias("authors"),
-        publication_date_text(F.col("`Publication Date`")).alias("publication_date_text"),
-        parse_publication_date(F.col("`Publication Date`")).alias("publication_date"),
-        publication_date_rejected(F.col("`Publication Date`")).alias("__bad_date"),
+        F.col("__date_text").alias("publication_date_text"),
+        F.col("__date").alias("publication_date"),
+        ((F.col("__date_text") != "") & F.col("__date").isNull()).alias("__bad_date"),
         F.col("Link").alias("link"),
         F.col("abstract"),
-        line.alias("journal_line"),
-        extract_journal_name(line).alias("journal_name"),
+        F.col("__journal_line").alias("journal_line"),
+        F.col("__journal_name").alias("journal_name"),
         issn_value(F.col("ISSN")).alias("issn"),
         kind.alias("quartils_kind"),
         (F.col("Quartils") != "").alias("__nonempty_text"),
         F.col("quartils_defaulted"),
-        elements.alias("__elements"),
+        "__elements",
         F.col("__required"),
     )
     items = quartile_items(F.col("__elements"))

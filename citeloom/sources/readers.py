@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citeloom.operators.validate import required_non_null_reason, required_reason
+from citeloom.operators.validate import required_non_null_reason, required_reason_from_keys
 from citeloom.schemas import PUBLICATION_RAW, REQUIRED_KEYS, REQUIRED_REASON_COL
 
 
@@ -32,8 +32,9 @@ def publications_from_json_lines(lines: DataFrame, value_col: str = "value",
     the original order of steps.
     """
     raw = F.col(value_col)
-    parsed = lines.select(raw.alias("__raw"), F.from_json(raw, PUBLICATION_RAW).alias("__doc"))
-    reason = required_reason(F.col("__raw"), REQUIRED_KEYS)
+    parsed = lines.select(F.from_json(raw, PUBLICATION_RAW).alias("__doc"),
+                          F.json_object_keys(raw).alias("__keys"))
+    reason = required_reason_from_keys(F.col("__keys"), REQUIRED_KEYS)
     out = parsed.select(
         *[(_object_id(F.col("__doc._id")) if f == "_id" else F.col(f"__doc.`{f}`")).alias(f)
           for f in PUBLICATION_RAW.fieldNames()],

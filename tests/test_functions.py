@@ -148,7 +148,7 @@ QUARTILS_CASES = [
 def test_quartils_rules(spark):
     texts = [_raw_json_field(v) for v in QUARTILS_CASES]
     kind = CF.quartils_kind(F.col("s"))
-    el = F.when(kind == "list", CF.json_array_elements(F.col("s")))
+    el = CF.decode_elements(F.when(kind == "list", CF.json_array_elements(F.col("s"))))
     df = _one_col(spark, texts).select(
         "s", kind.alias("kind"), CF.journal_flag(el).alias("flag"),
         CF.quartile_items(el).alias("items"), CF.last_quartil(el).alias("last"),
