@@ -31,14 +31,14 @@ from citeloom.schemas import DIM_AUTHOR, DIM_JOURNAL, JOURNAL_QUARTILE  # noqa:
 from citeloom.session import scratch_path  # noqa: E402
 from citeloom.sources import (explode_users, publications_from_json_lines,  # noqa: E402
                               read_csv, read_json_documents)
-from citeloom.sources.readers import USERS_DOCUMENT  # noqa: E402
+from citeloom.sources.readers import USERS_DOCUMENT, spread  # noqa: E402
 from citeloom.streaming import ingest_sensors, parse_sensor_messages, read_sensor_stream  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _key12(c) -> F.Column:

@@ -92,26 +92,61 @@ def load_dates(new_facts: DataFrame, dim_date: DataFrame) -> DataFrame:
     return dim
 
 
+class StarLoad(Mapping):
+    """The tables of one load, each computed when first asked for.
+
+    Keys are assigned (and the keyed rows checkpointed) only for the tables a
+    caller reads, plus the ones they depend on: asking for ``dim_journal``
+    alone runs one key assignment, publishing everything runs all five.
+    """
+
+    NAMES = ("dim_author", "dim_date", "dim_journal", "journal_quartile", "fact_publication",
+             "publication_author", "quarantine")
+
+    def __init__(self, articles: DataFrame, current: Mapping[str, DataFrame] | None, idempotent: bool):
+        self._articles = articles
+        self._cur = _current(articles.sparkSession, current)
+        self._idempotent = idempotent
+        self._done: dict[str, DataFrame] = {}
+
+    def _get(self, name: str, build) -> DataFrame:
+        if name not in self._done:
+            self._done[name] = build()
+        return self._done[name]
+
+    def _keyed(self) -> DataFrame:
+        return self._get("__keyed", lambda: keyed_publications(
+            self._articles, self["dim_journal"], self._cur["fact_publication"], self._idempotent))
+
+    def _new_facts(self) -> DataFrame:
+        return self._keyed().select(*FACT_PUBLICATION.fieldNames())
+
+    def __getitem__(self, name: str) -> DataFrame:
+        builders = {
+            "dim_journal": lambda: load_journals(self._articles, self._cur["dim_journal"]),
+            "journal_quartile": lambda: load_quartiles(self._articles, self["dim_journal"],
+                                                       self._cur["journal_quartile"]),
+            "fact_publication": lambda: self._cur["fact_publication"].unionByName(self._new_facts()),
+            "dim_author": lambda: load_authors(self._keyed(), self._cur["dim_author"]),
+            "publication_author": lambda: self._cur["publication_author"].unionByName(
+                bridge_rows(self._keyed(), "publication_id", "authors", self["dim_author"],
+                            "author_name", "author_id")),
+            "dim_date": lambda: load_dates(self._new_facts(), self._cur["dim_date"]),
+            "quarantine": lambda: self._articles.where(F.col("reject_reason").isNotNull()),
+        }
+        if name not in builders:
+            raise KeyError(name)
+        return self._get(name, builders[name])
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+
 def load_star(articles: DataFrame, current: Mapping[str, DataFrame] | None = None,
-              idempotent: bool = False) -> dict[str, DataFrame]:
-    """Articles (from ``normalize_publications``) + current tables -> new tables."""
-    cur = _current(articles.sparkSession, current)
-    dim_journal = load_journals(articles, cur["dim_journal"])
-    journal_quartile = load_quartiles(articles, dim_journal, cur["journal_quartile"])
-    keyed = keyed_publications(articles, dim_journal, cur["fact_publication"], idempotent)
-    new_facts = keyed.select(*FACT_PUBLICATION.fieldNames())
-    fact_publication = cur["fact_publication"].unionByName(new_facts)
-    dim_author = load_authors(keyed, cur["dim_author"])
-    bridge_new = bridge_rows(keyed, "publication_id", "authors", dim_author, "author_name", "author_id")
-    publication_author = cur["publication_author"].unionByName(bridge_new)
-    dim_date = load_dates(new_facts, cur["dim_date"])
-    quarantine = articles.where(F.col("reject_reason").isNotNull())
-    return {
-        "dim_author": dim_author,
-        "dim_date": dim_date,
-        "dim_journal": dim_journal,
-        "journal_quartile": journal_quartile,
-        "fact_publication": fact_publication,
-        "publication_author": publication_author,
-        "quarantine": quarantine,
-    }
+              idempotent: bool = False) -> StarLoad:
+    """Articles (from ``normalize_publications``) + current tables -> new tables
+    (a mapping; see ``StarLoad``)."""
+    return StarLoad(articles, current, idempotent)

@@ -17,6 +17,21 @@ from citeloom.operators.validate import required_non_null_reason, required_reaso
 from citeloom.schemas import PUBLICATION_RAW, REQUIRED_KEYS, REQUIRED_REASON_COL
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give an under-partitioned input at least ``min_partitions`` (default:
+    the cluster's default parallelism) partitions before row-wise work.
+
+    A large input already arrives in many splits and is returned unchanged;
+    only an input smaller than the cluster (one unsplittable file, one row
+    group) pays a shuffle, which lets the per-record parsing run on every
+    core instead of one.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def _object_id(c):
     """A Mongo ObjectId exported as {"$oid": "..."} becomes its hex text."""
     return F.coalesce(F.get_json_object(c, "$['$oid']"), c)
@@ -60,7 +75,7 @@ def read_publications(spark: SparkSession, path: str, fmt: str = "json",
     """
     options = dict(options or {})
     if fmt == "json":
-        return publications_from_json_lines(spark.read.options(**options).text(path), required=required)
+        return publications_from_json_lines(spread(spark.read.options(**options).text(path)), required=required)
     if fmt == "parquet":
         df = spark.read.options(**options).parquet(path)
         missing = [f for f in PUBLICATION_RAW.fieldNames() if f not in df.columns]
