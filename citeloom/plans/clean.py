@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from citeloom.operators.dedupe import drop_incomplete, keep_first
 from citeloom.schemas import CLEAN_REQUIRED
@@ -21,13 +20,13 @@ def clean_publications(df: DataFrame, order: str = "dedupe_first", key: str = "T
     its surviving copy lacks a DOI even if another copy has one.
     ``order="filter_first"`` filters before deduplicating.
 
-    Rows with a NULL key are removed before the shuffle when the key is
-    itself required: they would form one (possibly huge) group whose survivor
-    is dropped anyway.
+    NULL keys form one group like any other; partial aggregation reduces it
+    to one row per map task, so it never lands whole in one task. (A separate
+    ``key IS NOT NULL`` filter is not added: Catalyst would push it below the
+    JSON decoding and decode every record twice.)
     """
     if order == "dedupe_first":
-        pre = df.where(F.col(f"`{key}`").isNotNull()) if key in required else df
-        return drop_incomplete(keep_first(pre, [key], list(order_by)), required)
+        return drop_incomplete(keep_first(df, [key], list(order_by)), required)
     if order == "filter_first":
         return keep_first(drop_incomplete(df, required), [key], list(order_by))
     raise ValueError(f"unknown order {order!r}")

@@ -26,10 +26,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     group) pays a shuffle, which lets the per-record parsing run on every
     core instead of one.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan alone
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)
 
 
 def _object_id(c):
