@@ -9,21 +9,36 @@ from pyspark.sql import functions as F
 
 
 def resolve_key(df: DataFrame, dim: DataFrame, natural_key: str, dim_natural_key: str,
-                key_col: str, how: str = "inner") -> DataFrame:
-    """Attach the dimension's surrogate key by natural key. The dimension has
-    one row per key; AQE broadcasts it when its runtime size is under the
-    threshold and otherwise splits hot keys of ``df`` (skew join)."""
+                key_col: str, how: str = "inner", salt_buckets: int | None = None,
+                salt_by: str | None = None) -> DataFrame:
+    """Attach the dimension's surrogate key by natural key.
+
+    The dimension has one row per key. By default AQE decides: it broadcasts
+    the dimension when its runtime size is under the threshold, otherwise it
+    sort-merge joins and splits oversized partitions of ``df`` (skew join).
+    With ``salt_buckets`` the join is salted explicitly: each fact row gets a
+    bucket from a hash of ``salt_by`` (a column unique per row, so reruns
+    give the same bucket) and each dimension row is replicated once per
+    bucket, so one natural key holding a third of the facts is spread over
+    ``salt_buckets`` tasks whatever the AQE thresholds are.
+    """
     lookup = dim.select(F.col(dim_natural_key).alias("__nk"), F.col(key_col))
-    return (df.join(lookup, F.col(natural_key) == F.col("__nk"), how).drop("__nk"))
+    if not salt_buckets:
+        return df.join(lookup, F.col(natural_key) == F.col("__nk"), how).drop("__nk")
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(F.col(salt_by or natural_key)), F.lit(salt_buckets)))
+    replicated = lookup.withColumn("__salt2", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")))
+    cond = (F.col(natural_key) == F.col("__nk")) & (F.col("__salt") == F.col("__salt2"))
+    return salted.join(replicated, cond, how).drop("__nk", "__salt", "__salt2")
 
 
 def bridge_rows(keyed: DataFrame, key_col: str, names_col: str, dim: DataFrame,
-                dim_name: str, dim_key: str) -> DataFrame:
-    """Many-to-many rows (fact key, dimension key) from an array of names."""
+                dim_name: str, dim_key: str, salt_buckets: int | None = None) -> DataFrame:
+    """Many-to-many rows (fact key, dimension key) from an array of names
+    (``salt_buckets``: see ``resolve_key``; the fact key is the salt source)."""
     pairs = (keyed.select(F.col(key_col), F.explode(F.col(names_col)).alias("__name"))
              .where(F.col("__name").isNotNull()))
-    lookup = dim.select(F.col(dim_name).alias("__name"), F.col(dim_key))
-    return pairs.join(lookup, "__name", "inner").select(key_col, dim_key).distinct()
+    joined = resolve_key(pairs, dim, "__name", dim_name, dim_key, salt_buckets=salt_buckets, salt_by=key_col)
+    return joined.select(key_col, dim_key).distinct()
 
 
 def not_loaded(new: DataFrame, existing: DataFrame, natural_keys: Sequence[str]) -> DataFrame:

@@ -48,26 +48,29 @@ def load_journals(articles: DataFrame, dim_journal: DataFrame) -> DataFrame:
     return dim
 
 
-def quartile_source(articles: DataFrame, dim_journal: DataFrame) -> DataFrame:
+def quartile_source(articles: DataFrame, dim_journal: DataFrame, salt_buckets: int | None = None) -> DataFrame:
     items = (journal_candidates(articles)
              .select("journal_name", "load_order", F.explode("quartile_items").alias("it"))
              .select("journal_name", "load_order", F.col("it.pos").alias("pos"),
                      F.col("it.annee").alias("annee"), F.col("it.quartil").alias("quartil")))
-    return (resolve_key(items, dim_journal, "journal_name", "journal_main", "journal_id")
+    return (resolve_key(items, dim_journal, "journal_name", "journal_main", "journal_id",
+                        salt_buckets=salt_buckets, salt_by="load_order")
             .withColumnRenamed("journal_id", "id_journal"))
 
 
-def load_quartiles(articles: DataFrame, dim_journal: DataFrame, journal_quartile: DataFrame) -> DataFrame:
-    return merge_last_wins(journal_quartile, quartile_source(articles, dim_journal),
+def load_quartiles(articles: DataFrame, dim_journal: DataFrame, journal_quartile: DataFrame,
+                   salt_buckets: int | None = None) -> DataFrame:
+    return merge_last_wins(journal_quartile, quartile_source(articles, dim_journal, salt_buckets),
                            keys=["annee", "id_journal"], values=["quartil"],
                            order_by=["load_order", "pos"], key_col="quartil_id")
 
 
 def keyed_publications(articles: DataFrame, dim_journal: DataFrame, fact_publication: DataFrame,
-                       idempotent: bool = False) -> DataFrame:
+                       idempotent: bool = False, salt_buckets: int | None = None) -> DataFrame:
     """New publications with their surrogate key (and their author list)."""
     good = articles.where(F.col("reject_reason").isNull())
-    rows = resolve_key(good, dim_journal, "journal_name", "journal_main", "journal_id").select(
+    rows = resolve_key(good, dim_journal, "journal_name", "journal_main", "journal_id",
+                       salt_buckets=salt_buckets, salt_by="load_order").select(
         "load_order", "title", "doi", "publication_date", "link", "abstract", "journal_id",
         F.col("last_quartil").alias("quartils"), "authors")
     if idempotent:
@@ -103,10 +106,12 @@ class StarLoad(Mapping):
     NAMES = ("dim_author", "dim_date", "dim_journal", "journal_quartile", "fact_publication",
              "publication_author", "quarantine")
 
-    def __init__(self, articles: DataFrame, current: Mapping[str, DataFrame] | None, idempotent: bool):
+    def __init__(self, articles: DataFrame, current: Mapping[str, DataFrame] | None, idempotent: bool,
+                 salt_buckets: int | None = None):
         self._articles = articles
         self._cur = _current(articles.sparkSession, current)
         self._idempotent = idempotent
+        self._salt = salt_buckets
         self._done: dict[str, DataFrame] = {}
 
     def _get(self, name: str, build) -> DataFrame:
@@ -116,7 +121,7 @@ class StarLoad(Mapping):
 
     def _keyed(self) -> DataFrame:
         return self._get("__keyed", lambda: keyed_publications(
-            self._articles, self["dim_journal"], self._cur["fact_publication"], self._idempotent))
+            self._articles, self["dim_journal"], self._cur["fact_publication"], self._idempotent, self._salt))
 
     def _new_facts(self) -> DataFrame:
         return self._keyed().select(*FACT_PUBLICATION.fieldNames())
@@ -125,12 +130,12 @@ class StarLoad(Mapping):
         builders = {
             "dim_journal": lambda: load_journals(self._articles, self._cur["dim_journal"]),
             "journal_quartile": lambda: load_quartiles(self._articles, self["dim_journal"],
-                                                       self._cur["journal_quartile"]),
+                                                       self._cur["journal_quartile"], self._salt),
             "fact_publication": lambda: self._cur["fact_publication"].unionByName(self._new_facts()),
             "dim_author": lambda: load_authors(self._keyed(), self._cur["dim_author"]),
             "publication_author": lambda: self._cur["publication_author"].unionByName(
                 bridge_rows(self._keyed(), "publication_id", "authors", self["dim_author"],
-                            "author_name", "author_id")),
+                            "author_name", "author_id", salt_buckets=self._salt)),
             "dim_date": lambda: load_dates(self._new_facts(), self._cur["dim_date"]),
             "quarantine": lambda: self._articles.where(F.col("reject_reason").isNotNull()),
         }
@@ -146,7 +151,8 @@ class StarLoad(Mapping):
 
 
 def load_star(articles: DataFrame, current: Mapping[str, DataFrame] | None = None,
-              idempotent: bool = False) -> StarLoad:
+              idempotent: bool = False, salt_buckets: int | None = None) -> StarLoad:
     """Articles (from ``normalize_publications``) + current tables -> new tables
-    (a mapping; see ``StarLoad``)."""
-    return StarLoad(articles, current, idempotent)
+    (a mapping; see ``StarLoad``). ``salt_buckets`` salts the fact-to-dimension
+    joins explicitly (default: AQE skew-join handling)."""
+    return StarLoad(articles, current, idempotent, salt_buckets)

@@ -267,3 +267,13 @@ def test_result_independent_of_partitioning(spark, tmp_path):
     b = load_star(normalize_publications(clean_publications(raw.repartition(13))))
     for name in ("dim_journal", "fact_publication", "dim_author"):
         assert sorted(a[name].collect()) == sorted(b[name].collect())
+
+
+def test_salted_load_equals_plain_load(spark, tmp_path):
+    docs = [doc(f"{i:03d}", f"{'Hot' if i % 3 == 0 else 'J' + str(i % 5)} (p{i})", ISSN=f"I{i}",
+                authors=("Popular", f"a{i % 4}"), Quartils=[{"année": str(2000 + i % 3), "quartil": f"Q{1 + i % 4}"}])
+            for i in range(45)]
+    arts = articles(spark, tmp_path, docs)
+    plain, salted = load_star(arts), load_star(arts, salt_buckets=4)
+    for name in ("dim_journal", "journal_quartile", "fact_publication", "publication_author", "dim_author"):
+        assert sorted(plain[name].collect()) == sorted(salted[name].collect()), name

@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from citeloom.operators import (append_rows, assign_keys, bridge_rows, keep_first, keep_last,
-                                lookup_or_insert, max_key, merge_last_wins, orphans)
+                                lookup_or_insert, max_key, merge_last_wins, orphans, resolve_key)
 from citeloom.schemas import DIM_JOURNAL, JOURNAL_QUARTILE, empty_table
 from conftest import canon, rows
 
@@ -109,3 +109,15 @@ def test_hot_key_not_collected(spark):
     out = keep_first(df, ["k"], ["id"])
     assert out.where("k = 'hot'").collect()[0]["id"] == "000000"
     assert out.count() == 1 + 4000
+
+
+def test_salted_resolve_key_equals_plain_join(spark):
+    facts = spark.range(3000).select(F.col("id").alias("fid"),
+                                     F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+                                         (F.col("id") % 50).cast("string")).alias("name"))
+    dim = spark.range(50).select(F.col("id").cast("string").alias("name"), (F.col("id") + 100).alias("k")) \
+        .unionByName(spark.createDataFrame([("hot", 999)], "name string, k long"))
+    plain = resolve_key(facts, dim, "name", "name", "k")
+    salted = resolve_key(facts, dim, "name", "name", "k", salt_buckets=8, salt_by="fid")
+    assert rows(plain, "fid", "k") == rows(salted, "fid", "k")
+    assert salted.count() == 3000
