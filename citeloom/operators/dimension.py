@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.operators.dedupe import keep_first
-from citeloom.operators.keys import assign_keys, max_key
+from citeloom.operators.keys import assign_keys
 
 
 def lookup_or_insert(existing: DataFrame, candidates: DataFrame, natural_key: str,
@@ -36,6 +36,6 @@ def lookup_or_insert(existing: DataFrame, candidates: DataFrame, natural_key: st
         winners = present.select(*attrs).dropDuplicates([natural_key])
         key_order = [natural_key]
     new = winners.join(existing.select(natural_key), natural_key, "left_anti")
-    keyed = assign_keys(new, key_col, key_order, start=max_key(existing, key_col))
+    keyed = assign_keys(new, key_col, key_order, after=existing)
     inserted = keyed.select(*existing.columns)
     return existing.unionByName(inserted), inserted

@@ -8,20 +8,21 @@
    partition a row sits in and its position there are fixed facts that a lost
    executor cannot change on recomputation (range bounds come from sampling,
    which could differ on a rerun),
-3. count rows per partition (one row per partition reaches the driver),
+3. count rows per partition (one row per partition reaches the driver; the
+   current maximum key of the table being extended is read in the same job),
 4. key = start + rows in earlier partitions + position in the partition + 1,
    where the per-partition offsets are a broadcast table whose size is the
    number of partitions, not the number of rows.
 
-``start`` is the current maximum key. The result equals ``start + row_number() over (order by order_by)``
-when the ordering columns are unique.
+The result equals ``start + row_number() over (order by order_by)`` when the
+ordering columns are unique.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,8 +37,11 @@ def max_key(df: DataFrame, key_col: str) -> int:
     return int(value) if value is not None else 0
 
 
-def assign_keys(df: DataFrame, key_col: str, order_by: Sequence[str], start: int | Column = 0,
-                num_partitions: int | None = None) -> DataFrame:
+def assign_keys(df: DataFrame, key_col: str, order_by: Sequence[str], start: int = 0,
+                num_partitions: int | None = None, after: DataFrame | None = None) -> DataFrame:
+    """Keys ``start + 1, start + 2, ...`` in ``order_by`` order; with ``after``
+    (a table holding ``key_col``) numbering continues after its largest key,
+    read in the same job as the partition counts."""
     spark = df.sparkSession
     shared_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -45,8 +49,13 @@ def assign_keys(df: DataFrame, key_col: str, order_by: Sequence[str], start: int
     fixed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     tagged = fixed.select("*", F.spark_partition_id().alias("__pid"),
                           F.monotonically_increasing_id().alias("__mid"))
-    counts = sorted((r["__pid"], r["__n"]) for r in
-                    tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect())
+    stats = tagged.groupBy("__pid").agg(F.count(F.lit(1)).cast("long").alias("__n"))
+    if after is not None:  # one extra row: pid -1 carries the current maximum key
+        stats = stats.unionByName(after.agg(F.lit(-1).alias("__pid"),
+                                            F.coalesce(F.max(key_col), F.lit(0)).cast("long").alias("__n")))
+    counts = sorted((r["__pid"], r["__n"]) for r in stats.collect())
+    if counts and counts[0][0] == -1:
+        start = int(counts.pop(0)[1])
     offsets, running = [], 0
     for pid, cnt in counts:
         offsets.append((pid, running))
@@ -56,7 +65,6 @@ def assign_keys(df: DataFrame, key_col: str, order_by: Sequence[str], start: int
     # At most one row per partition: a proven bound, safe to broadcast.
     offset_df = F.broadcast(spark.createDataFrame(offsets, offset_schema))
     position = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), _ROW_BITS)
-    first = start if isinstance(start, Column) else F.lit(start)
-    key = (first.cast("long") + F.col("__off") + position + F.lit(1)).alias(key_col)
+    key = (F.lit(start).cast("long") + F.col("__off") + position + F.lit(1)).alias(key_col)
     return (tagged.join(offset_df, "__pid", "inner")
             .select(key, *[F.col(f"`{c}`") for c in df.columns if c != key_col]))

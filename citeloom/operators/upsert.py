@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.operators.keys import assign_keys, max_key
+from citeloom.operators.keys import assign_keys
 
 
 def merge_last_wins(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -33,5 +33,5 @@ def merge_last_wins(target: DataFrame, source: DataFrame, keys: Sequence[str],
         "__first")
     kept = merged.where(F.col(key_col).isNotNull()).drop("__first")
     new = merged.where(F.col(key_col).isNull()).drop(key_col)
-    keyed = assign_keys(new, key_col, ["__first"], start=max_key(target, key_col))
+    keyed = assign_keys(new, key_col, ["__first"], after=target)
     return kept.unionByName(keyed.drop("__first")).select(*target.columns)

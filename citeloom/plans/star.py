@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from citeloom.functions.dates import date_parts
 from citeloom.operators.dimension import lookup_or_insert
 from citeloom.operators.facts import bridge_rows, not_loaded, resolve_key
-from citeloom.operators.keys import assign_keys, max_key
+from citeloom.operators.keys import assign_keys
 from citeloom.operators.upsert import merge_last_wins
 from citeloom.schemas import FACT_PUBLICATION, STAR_TABLES, empty_table
 
@@ -75,8 +75,7 @@ def keyed_publications(articles: DataFrame, dim_journal: DataFrame, fact_publica
         F.col("last_quartil").alias("quartils"), "authors")
     if idempotent:
         rows = not_loaded(rows, fact_publication, ["title", "doi"])
-    return assign_keys(rows, "publication_id", ["load_order"],
-                       start=max_key(fact_publication, "publication_id"))
+    return assign_keys(rows, "publication_id", ["load_order"], after=fact_publication)
 
 
 def load_authors(keyed: DataFrame, dim_author: DataFrame) -> DataFrame:

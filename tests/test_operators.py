@@ -50,6 +50,14 @@ def test_assign_keys_independent_of_partitioning(spark):
     assert a == b
 
 
+def test_assign_keys_after_existing_table(spark):
+    existing = spark.createDataFrame([(7,), (12,)], "key long")
+    df = spark.createDataFrame([("b",), ("a",), ("c",)], "id string")
+    assert rows(assign_keys(df, "key", ["id"], after=existing), "key", "id") == [(13, "a"), (14, "b"), (15, "c")]
+    empty = spark.createDataFrame([], "key long")
+    assert rows(assign_keys(df, "key", ["id"], after=empty), "key", "id") == [(1, "a"), (2, "b"), (3, "c")]
+
+
 def test_assign_keys_empty(spark):
     df = spark.createDataFrame([], "id string")
     assert assign_keys(df, "key", ["id"], start=5).count() == 0
