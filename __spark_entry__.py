@@ -491,11 +491,11 @@ def q_sensor_batch(spark, sf_dir):
     return r.select("sensor_id", "temperature", "humidity", "timestamp", "reject_reason")
 
 
-def _run_stream(spark, messages: DataFrame, dedup_delay=None) -> DataFrame:
+def _run_stream(spark, messages: DataFrame, dedup_delay=None, files_per_batch=None) -> DataFrame:
     src = scratch_path(spark, "sensor-in")
     messages.select("value").write.mode("overwrite").text(src)
     sink, bad = scratch_path(spark, "sensor-out"), scratch_path(spark, "sensor-bad")
-    stream = read_sensor_stream(spark, fmt="text", path=src, max_files_per_trigger=2)
+    stream = read_sensor_stream(spark, fmt="text", path=src, max_files_per_trigger=files_per_batch)
     q = ingest_sensors(stream, sink, bad, dedup_delay=dedup_delay)
     q.awaitTermination()
     return spark.read.parquet(sink).select("sensor_id", "temperature", "humidity", "timestamp")
@@ -514,7 +514,7 @@ def q_sensor_dedup_stream(spark, sf_dir):
     first = e.select("event_id", msg.alias("value"), F.lit(0).alias("copy"))
     replay = e.where(F.col("event_type") == "view").select("event_id", msg.alias("value"), F.lit(1).alias("copy"))
     msgs = first.unionByName(replay).repartition(4, "copy", "event_id")
-    return _run_stream(spark, msgs, dedup_delay="45 days")
+    return _run_stream(spark, msgs, dedup_delay="45 days", files_per_batch=2)
 
 
 def _roundtrip(spark, sf_dir, name, fmt):

@@ -1,6 +1,7 @@
 """Structured Streaming jobs."""
 
 from citeloom.streaming.sensors import (ingest_sensors, parse_sensor_messages, publish_readings,
-                                        read_sensor_stream)
+                                        read_sensor_stream, reading_messages)
 
-__all__ = ["ingest_sensors", "parse_sensor_messages", "publish_readings", "read_sensor_stream"]
+__all__ = ["ingest_sensors", "parse_sensor_messages", "publish_readings", "read_sensor_stream",
+           "reading_messages"]

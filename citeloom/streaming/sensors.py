@@ -119,11 +119,27 @@ def ingest_sensors(stream: DataFrame, sink_path: str, quarantine_path: str,
     return writer.start()
 
 
+def reading_messages(readings: DataFrame, decimals: int | None = 2, stamp_now: bool = False) -> DataFrame:
+    """Readings -> JSON message text, the producer's format: measurements
+    rounded to ``decimals``; with ``stamp_now`` a missing timestamp becomes the
+    current time as 'yyyy-MM-dd HH:mm:ss'."""
+    cols = []
+    for c in READING_COLUMNS:
+        if c in ("temperature", "humidity") and c in readings.columns and decimals is not None:
+            cols.append(F.round(F.col(c), decimals).alias(c))
+        elif c == "timestamp" and stamp_now:
+            now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
+            cols.append((F.coalesce(F.col(c), now) if c in readings.columns else now).alias(c))
+        elif c in readings.columns:
+            cols.append(F.col(c))
+    return readings.select(F.to_json(F.struct(*cols)).alias("value"))
+
+
 def publish_readings(readings: DataFrame, fmt: str = "kafka", path: str | None = None,
-                     options: Mapping[str, str] | None = None) -> None:
+                     options: Mapping[str, str] | None = None, decimals: int | None = 2,
+                     stamp_now: bool = False) -> None:
     """Serialize readings to JSON messages and publish them (batch write)."""
-    cols = [c for c in READING_COLUMNS if c in readings.columns]
-    messages = readings.select(F.to_json(F.struct(*cols)).alias("value"))
+    messages = reading_messages(readings, decimals, stamp_now)
     opts = dict(options or {})
     if fmt == "kafka":
         opts.setdefault("topic", TOPIC)

@@ -85,3 +85,13 @@ def test_source_timezone_conversion(spark):
     df = parse_sensor_messages(spark.createDataFrame([(_msg(1, 29.0, ts="2024-07-01 12:00:00"),)], "value string"),
                                source_tz="Europe/Paris")
     assert df.collect()[0]["timestamp"] == "2024-07-01T10:00:00Z"
+
+
+def test_reading_messages_round_and_stamp(spark):
+    from citeloom.streaming import reading_messages
+    df = spark.createDataFrame([(1, 29.4149, 50.7751, None)], "sensor_id int, temperature double, humidity double, timestamp string")
+    msg = json.loads(reading_messages(df, decimals=2, stamp_now=True).collect()[0]["value"])
+    assert (msg["sensor_id"], msg["temperature"], msg["humidity"]) == (1, 29.41, 50.78)
+    assert len(msg["timestamp"]) == 19 and msg["timestamp"][10] == " "
+    back = parse_sensor_messages(spark.createDataFrame([(json.dumps(msg),)], "value string")).collect()[0]
+    assert back["reject_reason"] is None
