@@ -9,9 +9,9 @@ union. Existing rows are never updated.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.operators.dedupe import keep_first
@@ -19,7 +19,8 @@ from citeloom.operators.keys import assign_keys
 
 
 def lookup_or_insert(existing: DataFrame, candidates: DataFrame, natural_key: str,
-                     key_col: str, order_by: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                     key_col: str, order_by: Sequence[str] | None = None,
+                     match: Callable[[Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """Return ``(dimension, inserted)``.
 
     ``candidates`` carries ``natural_key``, the dimension's attribute columns and,
@@ -29,13 +30,19 @@ def lookup_or_insert(existing: DataFrame, candidates: DataFrame, natural_key: st
     """
     attrs = [c for c in existing.columns if c != key_col]
     present = candidates.where(F.col(natural_key).isNotNull())
+    group = natural_key
+    existing_keys = existing.select(natural_key)
+    if match is not None:
+        present = present.withColumn("__match", match(F.col(natural_key)))
+        existing_keys = existing.select(match(F.col(natural_key)).alias("__match"))
+        group = "__match"
     if order_by:
-        winners = keep_first(present, [natural_key], order_by)
+        winners = keep_first(present, [group], order_by)
         key_order = list(order_by)
     else:
-        winners = present.select(*attrs).dropDuplicates([natural_key])
+        winners = present.select(*attrs, *([group] if match is not None else [])).dropDuplicates([group])
         key_order = [natural_key]
-    new = winners.join(existing.select(natural_key), natural_key, "left_anti")
+    new = winners.join(existing_keys, group, "left_anti")
     keyed = assign_keys(new, key_col, key_order, after=existing)
     inserted = keyed.select(*existing.columns)
     return existing.unionByName(inserted), inserted

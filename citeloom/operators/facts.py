@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def resolve_key(df: DataFrame, dim: DataFrame, natural_key: str, dim_natural_key: str,
                 key_col: str, how: str = "inner", salt_buckets: int | None = None,
-                salt_by: str | None = None) -> DataFrame:
+                salt_by: str | None = None, match: Callable[[Column], Column] | None = None) -> DataFrame:
     """Attach the dimension's surrogate key by natural key.
 
     The dimension has one row per key. By default AQE decides: it broadcasts
@@ -20,14 +20,16 @@ def resolve_key(df: DataFrame, dim: DataFrame, natural_key: str, dim_natural_key
     bucket from a hash of ``salt_by`` (a column unique per row, so reruns
     give the same bucket) and each dimension row is replicated once per
     bucket, so one natural key holding a third of the facts is spread over
-    ``salt_buckets`` tasks whatever the AQE thresholds are.
+    ``salt_buckets`` tasks whatever the AQE thresholds are. ``match`` compares
+    the keys through a function (see ``lookup_or_insert``).
     """
-    lookup = dim.select(F.col(dim_natural_key).alias("__nk"), F.col(key_col))
+    same = match or (lambda c: c)
+    lookup = dim.select(same(F.col(dim_natural_key)).alias("__nk"), F.col(key_col))
     if not salt_buckets:
-        return df.join(lookup, F.col(natural_key) == F.col("__nk"), how).drop("__nk")
+        return df.join(lookup, same(F.col(natural_key)) == F.col("__nk"), how).drop("__nk")
     salted = df.withColumn("__salt", F.pmod(F.xxhash64(F.col(salt_by or natural_key)), F.lit(salt_buckets)))
     replicated = lookup.withColumn("__salt2", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")))
-    cond = (F.col(natural_key) == F.col("__nk")) & (F.col("__salt") == F.col("__salt2"))
+    cond = (same(F.col(natural_key)) == F.col("__nk")) & (F.col("__salt") == F.col("__salt2"))
     return salted.join(replicated, cond, how).drop("__nk", "__salt", "__salt2")
 
 

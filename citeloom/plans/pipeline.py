@@ -31,13 +31,15 @@ def run_batch(spark: SparkSession, landing: str, warehouse: str, version: str, f
               options: Mapping[str, str] | None = None, order: str = "dedupe_first",
               journal_from: str = "title", strict_parity: bool = False,
               normalize_quartiles: bool = False, length_check: bool = False,
-              idempotent: bool = False) -> dict[str, str]:
+              idempotent: bool = False, salt_buckets: int | None = None,
+              journal_match: str = "exact") -> dict[str, str]:
     """E1 -> E3, publishing a new warehouse version. Returns the table paths."""
     staged = stage_clean(spark, landing, fmt=fmt, options=options, order=order)
     articles = normalize_publications(staged, journal_from=journal_from, strict_parity=strict_parity,
                                       normalize_quartiles=normalize_quartiles,
                                       length_check=length_check).persist()
-    tables = load_star(articles, read_current(spark, warehouse), idempotent=idempotent)
+    tables = load_star(articles, read_current(spark, warehouse), idempotent=idempotent,
+                       salt_buckets=salt_buckets, journal_match=journal_match)
     paths = publish_version(tables, warehouse, version)
     articles.unpersist()
     return paths

@@ -40,37 +40,50 @@ def journal_candidates(articles: DataFrame) -> DataFrame:
     return articles.where(F.col("reject_stage").isNull() | (F.col("reject_stage") == "after_journal"))
 
 
-def load_journals(articles: DataFrame, dim_journal: DataFrame) -> DataFrame:
+def _matcher(journal_match: str):
+    """How journal names are compared: 'exact' (binary) or 'lower' (case-insensitive)."""
+    if journal_match == "exact":
+        return None
+    if journal_match == "lower":
+        return F.lower
+    raise ValueError(f"unknown journal_match {journal_match!r}")
+
+
+def load_journals(articles: DataFrame, dim_journal: DataFrame, journal_match: str = "exact") -> DataFrame:
     cands = journal_candidates(articles).select(
         F.col("journal_name").alias("journal_main"), "issn",
         F.col("journal_flag").alias("quartils"), "load_order")
-    dim, _ = lookup_or_insert(dim_journal, cands, "journal_main", "journal_id", order_by=["load_order"])
+    dim, _ = lookup_or_insert(dim_journal, cands, "journal_main", "journal_id", order_by=["load_order"],
+                              match=_matcher(journal_match))
     return dim
 
 
-def quartile_source(articles: DataFrame, dim_journal: DataFrame, salt_buckets: int | None = None) -> DataFrame:
+def quartile_source(articles: DataFrame, dim_journal: DataFrame, salt_buckets: int | None = None,
+                    journal_match: str = "exact") -> DataFrame:
     items = (journal_candidates(articles)
              .select("journal_name", "load_order", F.explode("quartile_items").alias("it"))
              .select("journal_name", "load_order", F.col("it.pos").alias("pos"),
                      F.col("it.annee").alias("annee"), F.col("it.quartil").alias("quartil")))
     return (resolve_key(items, dim_journal, "journal_name", "journal_main", "journal_id",
-                        salt_buckets=salt_buckets, salt_by="load_order")
+                        salt_buckets=salt_buckets, salt_by="load_order", match=_matcher(journal_match))
             .withColumnRenamed("journal_id", "id_journal"))
 
 
 def load_quartiles(articles: DataFrame, dim_journal: DataFrame, journal_quartile: DataFrame,
-                   salt_buckets: int | None = None) -> DataFrame:
-    return merge_last_wins(journal_quartile, quartile_source(articles, dim_journal, salt_buckets),
+                   salt_buckets: int | None = None, journal_match: str = "exact") -> DataFrame:
+    return merge_last_wins(journal_quartile, quartile_source(articles, dim_journal, salt_buckets, journal_match),
                            keys=["annee", "id_journal"], values=["quartil"],
                            order_by=["load_order", "pos"], key_col="quartil_id")
 
 
 def keyed_publications(articles: DataFrame, dim_journal: DataFrame, fact_publication: DataFrame,
-                       idempotent: bool = False, salt_buckets: int | None = None) -> DataFrame:
+                       idempotent: bool = False, salt_buckets: int | None = None,
+                       journal_match: str = "exact") -> DataFrame:
     """New publications with their surrogate key (and their author list)."""
     good = articles.where(F.col("reject_reason").isNull())
     rows = resolve_key(good, dim_journal, "journal_name", "journal_main", "journal_id",
-                       salt_buckets=salt_buckets, salt_by="load_order").select(
+                       salt_buckets=salt_buckets, salt_by="load_order",
+                       match=_matcher(journal_match)).select(
         "load_order", "title", "doi", "publication_date", "link", "abstract", "journal_id",
         F.col("last_quartil").alias("quartils"), "authors")
     if idempotent:
@@ -106,7 +119,9 @@ class StarLoad(Mapping):
              "publication_author", "quarantine")
 
     def __init__(self, articles: DataFrame, current: Mapping[str, DataFrame] | None, idempotent: bool,
-                 salt_buckets: int | None = None):
+                 salt_buckets: int | None = None, journal_match: str = "exact"):
+        _matcher(journal_match)
+        self._match = journal_match
         self._articles = articles
         self._cur = _current(articles.sparkSession, current)
         self._idempotent = idempotent
@@ -120,16 +135,17 @@ class StarLoad(Mapping):
 
     def _keyed(self) -> DataFrame:
         return self._get("__keyed", lambda: keyed_publications(
-            self._articles, self["dim_journal"], self._cur["fact_publication"], self._idempotent, self._salt))
+            self._articles, self["dim_journal"], self._cur["fact_publication"], self._idempotent, self._salt,
+            self._match))
 
     def _new_facts(self) -> DataFrame:
         return self._keyed().select(*FACT_PUBLICATION.fieldNames())
 
     def __getitem__(self, name: str) -> DataFrame:
         builders = {
-            "dim_journal": lambda: load_journals(self._articles, self._cur["dim_journal"]),
+            "dim_journal": lambda: load_journals(self._articles, self._cur["dim_journal"], self._match),
             "journal_quartile": lambda: load_quartiles(self._articles, self["dim_journal"],
-                                                       self._cur["journal_quartile"], self._salt),
+                                                       self._cur["journal_quartile"], self._salt, self._match),
             "fact_publication": lambda: self._cur["fact_publication"].unionByName(self._new_facts()),
             "dim_author": lambda: load_authors(self._keyed(), self._cur["dim_author"]),
             "publication_author": lambda: self._cur["publication_author"].unionByName(
@@ -150,8 +166,10 @@ class StarLoad(Mapping):
 
 
 def load_star(articles: DataFrame, current: Mapping[str, DataFrame] | None = None,
-              idempotent: bool = False, salt_buckets: int | None = None) -> StarLoad:
+              idempotent: bool = False, salt_buckets: int | None = None,
+              journal_match: str = "exact") -> StarLoad:
     """Articles (from ``normalize_publications``) + current tables -> new tables
     (a mapping; see ``StarLoad``). ``salt_buckets`` salts the fact-to-dimension
-    joins explicitly (default: AQE skew-join handling)."""
-    return StarLoad(articles, current, idempotent, salt_buckets)
+    joins explicitly (default: AQE skew-join handling). ``journal_match="lower"``
+    matches journal names case-insensitively (default: binary equality)."""
+    return StarLoad(articles, current, idempotent, salt_buckets, journal_match)

@@ -277,3 +277,15 @@ def test_salted_load_equals_plain_load(spark, tmp_path):
     plain, salted = load_star(arts), load_star(arts, salt_buckets=4)
     for name in ("dim_journal", "journal_quartile", "fact_publication", "publication_author", "dim_author"):
         assert sorted(plain[name].collect()) == sorted(salted[name].collect()), name
+
+
+def test_case_insensitive_journal_match(spark, tmp_path):
+    docs = [doc("1", "Nature (a)", ISSN="first", Quartils=[{"année": "2020", "quartil": "Q2"}]),
+            doc("2", "NATURE (b)", ISSN="second", Quartils=[{"année": "2020", "quartil": "Q1"}])]
+    exact = load(spark, tmp_path, docs)
+    assert exact["dim_journal"].count() == 2
+    arts = articles(spark, tmp_path, docs)
+    lower = load_star(arts, journal_match="lower")
+    assert [(r["journal_main"], r["issn"]) for r in lower["dim_journal"].collect()] == [("Nature", "first")]
+    assert [(r["annee"], r["quartil"]) for r in lower["journal_quartile"].collect()] == [("2020", "Q1")]
+    assert sorted(r["journal_id"] for r in lower["fact_publication"].collect()) == [1, 1]
