@@ -63,7 +63,9 @@ def append_rows(existing: DataFrame, new: DataFrame, natural_keys: Sequence[str]
 
 
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child rows whose non-NULL foreign key has no parent row."""
-    parents = parent.select(F.col(parent_key).alias("__pk")).distinct()
+    """Child rows whose non-NULL foreign key has no parent row. (An anti join
+    needs no distinct parent keys, so none is computed: that would be a shuffle
+    of the parent for nothing.)"""
+    parents = parent.select(F.col(parent_key).alias("__pk"))
     return (child.where(F.col(child_key).isNotNull())
             .join(parents, F.col(child_key) == F.col("__pk"), "left_anti"))
