@@ -110,9 +110,8 @@ def order_articles(spark, sf_dir) -> DataFrame:
     return normalize_publications(clean_publications(raw))
 
 
-def star(spark, sf_dir, current=None, idempotent=False) -> dict[str, DataFrame]:
-    articles = order_articles(spark, sf_dir).persist()
-    return load_star(articles, current, idempotent=idempotent)
+def star(spark, sf_dir, current=None, idempotent=False):
+    return load_star(order_articles(spark, sf_dir), current, idempotent=idempotent)
 
 
 # --------------------------------------------------------------------------
@@ -349,8 +348,7 @@ def q_star_job(spark, sf_dir):
     landing = scratch_path(spark, "landing")
     order_documents(spark, sf_dir).write.mode("overwrite").text(landing)
     staged = stage_clean(spark, landing)
-    articles = normalize_publications(staged).persist()
-    t = load_star(articles)
+    t = load_star(normalize_publications(staged))
     rows = [t[n].select(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
             for n in ("dim_author", "dim_date", "dim_journal", "journal_quartile", "fact_publication",
                       "publication_author", "quarantine")]

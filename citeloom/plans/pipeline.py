@@ -37,11 +37,11 @@ def run_batch(spark: SparkSession, landing: str, warehouse: str, version: str, f
     staged = stage_clean(spark, landing, fmt=fmt, options=options, order=order)
     articles = normalize_publications(staged, journal_from=journal_from, strict_parity=strict_parity,
                                       normalize_quartiles=normalize_quartiles,
-                                      length_check=length_check).persist()
+                                      length_check=length_check)
     tables = load_star(articles, read_current(spark, warehouse), idempotent=idempotent,
                        salt_buckets=salt_buckets, journal_match=journal_match)
     paths = publish_version(tables, warehouse, version)
-    articles.unpersist()
+    tables.release()
     return paths
 
 

@@ -122,12 +122,28 @@ class StarLoad(Mapping):
                  salt_buckets: int | None = None, journal_match: str = "exact"):
         _matcher(journal_match)
         self._match = journal_match
-        self._articles = articles
+        self._source = articles
+        self._cached: DataFrame | None = None
         self._cur = _current(articles.sparkSession, current)
         self._idempotent = idempotent
         self._salt = salt_buckets
         self._done: dict[str, DataFrame] = {}
 
+    @property
+    def _articles(self) -> DataFrame:
+        """The articles, persisted on first use: every keyed table reads them
+        again, and recomputing the decode for each would repeat the whole
+        upstream plan. (The quarantine alone reads them once, unpersisted.)"""
+        if self._cached is None:
+            self._cached = self._source.persist()
+        return self._cached
+
+    def release(self) -> None:
+        """Drop the cached articles once the tables have been written."""
+        if self._cached is not None:
+            self._cached.unpersist()
+            self._cached = None
+
     def _get(self, name: str, build) -> DataFrame:
         if name not in self._done:
             self._done[name] = build()
@@ -152,7 +168,8 @@ class StarLoad(Mapping):
                 bridge_rows(self._keyed(), "publication_id", "authors", self["dim_author"],
                             "author_name", "author_id", salt_buckets=self._salt)),
             "dim_date": lambda: load_dates(self._new_facts(), self._cur["dim_date"]),
-            "quarantine": lambda: self._articles.where(F.col("reject_reason").isNotNull()),
+            "quarantine": lambda: (self._cached if self._cached is not None else self._source)
+            .where(F.col("reject_reason").isNotNull()),
         }
         if name not in builders:
             raise KeyError(name)
