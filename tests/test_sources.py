@@ -63,3 +63,35 @@ def test_run_batch_publishes_versions(spark, tmp_path):
     cur = read_current(spark, wh)
     assert cur["fact_publication"].count() == 6
     assert sorted(r["journal_id"] for r in cur["dim_journal"].collect()) == [1, 2]
+
+
+def test_parquet_landing_and_non_null_mode(spark, tmp_path):
+    rows_in = [("1", "A (j)", "d1", '["x"]', "1 May 2020"), ("2", "B (j)", None, None, "1 May 2020")]
+    df = spark.createDataFrame(rows_in, "_id string, Title string, DOI string, Authors string, `Publication Date` string")
+    path = str(tmp_path / "pq")
+    df.write.parquet(path)
+    present = read_publications(spark, path, fmt="parquet")
+    assert [r["__required_reason"] for r in present.orderBy("_id").collect()] == [None, None]
+    non_null = read_publications(spark, path, fmt="parquet", required="non_null")
+    assert [r["__required_reason"] for r in non_null.orderBy("_id").collect()] == [None, "missing_required_keys"]
+    assert set(present.columns) >= {"ISSN", "Quartils", "Link", "abstract", "journal_main"}
+
+
+def test_producer_to_stream_roundtrip(spark, tmp_path):
+    from citeloom.streaming import ingest_sensors, publish_readings, read_sensor_stream
+    readings = spark.createDataFrame([(1, 29.411, 50.5, "2024-01-02 03:04:05"), (2, 29.0, 50.0, "2024-01-02 03:04:06")],
+                                     "sensor_id int, temperature double, humidity double, timestamp string")
+    topic_dir = str(tmp_path / "topic")
+    publish_readings(readings, fmt="text", path=topic_dir)
+    out = str(tmp_path / "out")
+    q = ingest_sensors(read_sensor_stream(spark, fmt="text", path=topic_dir), f"{out}/r", f"{out}/q",
+                       checkpoint_location=str(tmp_path / "ck"))
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{out}/r").select("sensor_id", "temperature", "timestamp").collect())
+    assert got == [(1, 29.41, "2024-01-02T03:04:05Z"), (2, 29.0, "2024-01-02T03:04:06Z")]
+
+
+def test_preview_in_load_order(spark):
+    from citeloom.plans.pipeline import preview
+    df = spark.createDataFrame([("b",), ("a",), ("c",)], "load_order string")
+    assert [r["load_order"] for r in preview(df, 2).collect()] == ["a", "b"]
