@@ -17,21 +17,24 @@ from citeloom.operators.validate import required_non_null_reason, required_reaso
 from citeloom.schemas import PUBLICATION_RAW, REQUIRED_KEYS, REQUIRED_REASON_COL
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give an under-partitioned input at least ``min_partitions`` (default:
-    the cluster's default parallelism) partitions before row-wise work.
-
-    A large input already arrives in many splits and is returned unchanged;
-    only an input smaller than the cluster (one unsplittable file, one row
-    group) pays a shuffle, which lets the per-record parsing run on every
-    core instead of one.
+def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = 1 << 30) -> DataFrame:
+    """Give a small, under-partitioned input at least ``min_partitions``
+    (default: the cluster's default parallelism) partitions before row-wise work.
+
+    Only an input that arrives in fewer splits than the cluster has cores
+    *and* whose estimated size is under ``max_bytes`` (one unsplittable file,
+    one row group) is repartitioned: the shuffle is cheap there and lets the
+    per-record parsing use every core. Anything larger is returned untouched,
+    since its splits already keep the cluster busy and a shuffle would only
+    cost time.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan alone
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no JVM plan view (e.g. a Spark Connect session): leave the plan alone
         return df
-    return df if current >= target else df.repartition(target)
+    return df.repartition(target) if current < target and size <= max_bytes else df
 
 
 def _object_id(c):
