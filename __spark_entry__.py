@@ -348,7 +348,7 @@ def q_star_job(spark, sf_dir):
     landing = scratch_path(spark, "landing")
     order_documents(spark, sf_dir).write.mode("overwrite").text(landing)
     staged = stage_clean(spark, landing)
-    t = load_star(normalize_publications(staged))
+    t = load_star(normalize_publications(staged)).build_all()
     rows = [t[n].select(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
             for n in ("dim_author", "dim_date", "dim_journal", "journal_quartile", "fact_publication",
                       "publication_author", "quarantine")]

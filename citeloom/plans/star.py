@@ -16,7 +16,9 @@ appearance in load order (dates follow the calendar).
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -128,15 +130,18 @@ class StarLoad(Mapping):
         self._idempotent = idempotent
         self._salt = salt_buckets
         self._done: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.Lock] = {}
+        self._guard = threading.Lock()
 
     @property
     def _articles(self) -> DataFrame:
         """The articles, persisted on first use: every keyed table reads them
         again, and recomputing the decode for each would repeat the whole
         upstream plan. (The quarantine alone reads them once, unpersisted.)"""
-        if self._cached is None:
-            self._cached = self._source.persist()
-        return self._cached
+        with self._guard:
+            if self._cached is None:
+                self._cached = self._source.persist()
+            return self._cached
 
     def release(self) -> None:
         """Drop the cached articles once the tables have been written."""
@@ -145,10 +150,29 @@ class StarLoad(Mapping):
             self._cached = None
 
     def _get(self, name: str, build) -> DataFrame:
-        if name not in self._done:
-            self._done[name] = build()
+        # One lock per table; tables depend on each other as a DAG and locks
+        # are taken along it, so concurrent builders cannot deadlock.
+        with self._guard:
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:
+            if name not in self._done:
+                self._done[name] = build()
         return self._done[name]
 
+    def build_all(self, parallel: bool = True) -> "StarLoad":
+        """Build every table now. Independent tables are built concurrently
+        (one Spark job stream per thread), in dependency waves."""
+        waves = [["dim_journal"], ["journal_quartile", "fact_publication"],
+                 ["dim_author", "dim_date", "quarantine"], ["publication_author"]]
+        for wave in waves:
+            if parallel and len(wave) > 1:
+                with ThreadPoolExecutor(max_workers=len(wave)) as pool:
+                    list(pool.map(self.__getitem__, wave))
+            else:
+                for name in wave:
+                    self[name]
+        return self
+
     def _keyed(self) -> DataFrame:
         return self._get("__keyed", lambda: keyed_publications(
             self._articles, self["dim_journal"], self._cur["fact_publication"], self._idempotent, self._salt,

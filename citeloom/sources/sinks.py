@@ -9,6 +9,7 @@ load writes a complete new version directory and only then moves the
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,15 +32,25 @@ def create_tables(spark: SparkSession, root: str, version: str = "0") -> dict[st
     return publish_version({n: empty_table(spark, n) for n in STAR_TABLES}, root, version)
 
 
-def publish_version(tables: Mapping[str, DataFrame], root: str, version: str) -> dict[str, str]:
-    """Write every table below ``root/version=<v>/`` and then switch the pointer."""
-    paths = {}
-    spark = None
-    for name, df in tables.items():
-        spark = df.sparkSession
-        path = f"{root}/version={version}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        paths[name] = path
+def publish_version(tables: Mapping[str, DataFrame], root: str, version: str,
+                    parallel: bool = True) -> dict[str, str]:
+    """Write every table below ``root/version=<v>/`` and then switch the pointer.
+    The writes are independent jobs and run concurrently when ``parallel``."""
+    if hasattr(tables, "build_all"):
+        tables.build_all(parallel=parallel)
+    frames = {name: tables[name] for name in tables}
+    paths = {name: f"{root}/version={version}/{name}" for name in frames}
+
+    def write(name: str) -> None:
+        frames[name].write.mode("overwrite").parquet(paths[name])
+
+    if parallel and len(frames) > 1:
+        with ThreadPoolExecutor(max_workers=min(8, len(frames))) as pool:
+            list(pool.map(write, frames))
+    else:
+        for name in frames:
+            write(name)
+    spark = next(iter(frames.values())).sparkSession if frames else None
     if spark is not None:
         spark.createDataFrame([(version,)], _POINTER).coalesce(1).write.mode("overwrite").json(f"{root}/CURRENT")
     return paths
