@@ -32,6 +32,7 @@ from citeloom.session import scratch_path  # noqa: E402
 from citeloom.sources import (explode_users, publications_from_json_lines,  # noqa: E402
                               read_csv, read_json_documents)
 from citeloom.sources.readers import USERS_DOCUMENT, spread  # noqa: E402
+from citeloom.sources.sinks import row_counts  # noqa: E402
 from citeloom.streaming import ingest_sensors, parse_sensor_messages, read_sensor_stream  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -349,13 +350,7 @@ def q_star_job(spark, sf_dir):
     order_documents(spark, sf_dir).write.mode("overwrite").text(landing)
     staged = stage_clean(spark, landing)
     t = load_star(normalize_publications(staged)).build_all()
-    rows = [t[n].select(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
-            for n in ("dim_author", "dim_date", "dim_journal", "journal_quartile", "fact_publication",
-                      "publication_author", "quarantine")]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    return row_counts(t).select(F.col("table").alias("table_name"), F.col("rows").alias("n_rows"))
 
 
 def q_clean_job(spark, sf_dir):

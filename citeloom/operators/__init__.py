@@ -6,12 +6,12 @@ from citeloom.operators.facts import append_rows, bridge_rows, not_loaded, orpha
 from citeloom.operators.keys import assign_keys, max_key
 from citeloom.operators.upsert import merge_last_wins
 from citeloom.operators.validate import (canonical_projection, first_reason, has_keys,
-                                         length_checks, required_non_null_reason,
-                                         required_reason, split_quarantine)
+                                         required_non_null_reason, required_reason,
+                                         required_reason_from_keys, split_quarantine)
 
 __all__ = [
     "append_rows", "assign_keys", "bridge_rows", "canonical_projection", "drop_incomplete",
-    "first_reason", "has_keys", "keep_first", "keep_last", "length_checks", "lookup_or_insert",
+    "first_reason", "has_keys", "keep_first", "keep_last", "lookup_or_insert",
     "max_key", "merge_last_wins", "not_loaded", "orphans", "required_non_null_reason", "required_reason",
-    "resolve_key", "split_quarantine",
+    "required_reason_from_keys", "resolve_key", "split_quarantine",
 ]

@@ -7,14 +7,14 @@ A record that fails a check is not dropped silently: it gets a
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.constants import QUARTILS_DEFAULT
-from citeloom.functions.text import journal_line, too_long
-from citeloom.schemas import PUBLICATION_RAW, REQUIRED_KEYS
+from citeloom.functions.text import journal_line
+from citeloom.schemas import REQUIRED_KEYS
 
 
 def has_keys(json_text, keys: Sequence[str]) -> Column:
@@ -92,14 +92,6 @@ def first_reason(*checks: tuple[Column, str]) -> Column:
     return expr if expr is not None else F.lit(None).cast("string")
 
 
-def length_checks(limits: Mapping[str, int]) -> list[tuple[Column, str]]:
-    return [(F.coalesce(too_long(c, n), F.lit(False)), f"{c}_too_long") for c, n in limits.items()]
-
-
 def split_quarantine(df: DataFrame, reason_col: str = "reject_reason") -> tuple[DataFrame, DataFrame]:
     """``(good, quarantine)``; together they hold every input row exactly once."""
     return df.where(F.col(reason_col).isNull()), df.where(F.col(reason_col).isNotNull())
-
-
-def raw_field_names() -> list[str]:
-    return PUBLICATION_RAW.fieldNames()

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from citeloom.plans.clean import clean_publications
 from citeloom.plans.normalize import normalize_publications
 from citeloom.plans.star import load_star
-from citeloom.schemas import PUBLICATION_RAW, REQUIRED_REASON_COL
 from citeloom.sources.readers import read_publications
 from citeloom.sources.sinks import publish_version, read_current, write_staging
 from citeloom.session import scratch_path
@@ -45,10 +44,6 @@ def run_batch(spark: SparkSession, landing: str, warehouse: str, version: str, f
     return paths
 
 
-def staged_columns() -> list[str]:
-    return PUBLICATION_RAW.fieldNames() + [REQUIRED_REASON_COL]
-
-
 def preview(df: DataFrame, n: int = 2) -> DataFrame:
     """First ``n`` records (in load order) for a look at the decoded output."""
     return df.orderBy(F.col("load_order")).limit(n)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citeloom.functions.jsonish import flatten
 from citeloom.operators.validate import required_non_null_reason, required_reason_from_keys
 from citeloom.schemas import PUBLICATION_RAW, REQUIRED_KEYS, REQUIRED_REASON_COL
 
@@ -148,14 +149,15 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | s
 
 
 def explode_users(docs: DataFrame, doc_cols: list[str] | None = None) -> DataFrame:
-    """One row per user of each document, with the document's settings."""
+    """One row per user of each document, with the document's settings
+    (nested rows lifted one level into plain columns)."""
     keep = [F.col(c) for c in (doc_cols or [])]
-    return (docs.select(*keep, F.posexplode("users").alias("user_pos", "u"),
-                        F.col("settings.theme").alias("theme"),
-                        F.col("settings.language").alias("language"))
-            .select(*keep, "user_pos", F.col("u.id").alias("user_id"),
-                    F.col("u.name").alias("user_name"), F.col("u.email").alias("email"),
-                    "theme", "language"))
+    rows = docs.select(*keep, F.posexplode("users").alias("user_pos", "user"),
+                       F.col("settings.theme").alias("theme"),
+                       F.col("settings.language").alias("language"))
+    flat = flatten(rows, "user", prefix="user_")
+    return flat.select(*keep, "user_pos", F.col("user_id"), F.col("user_name"),
+                       F.col("user_email").alias("email"), "theme", "language")
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from citeloom.functions.dates import iso_utc_text, parse_sensor_timestamp
+from citeloom.operators.validate import split_quarantine
 from citeloom.schemas import SENSOR_MESSAGE
 from citeloom.session import scratch_path
 
@@ -77,9 +78,9 @@ def read_sensor_stream(spark: SparkSession, fmt: str = "kafka", path: str | None
 def _batch_writer(sink_path: str, quarantine_path: str, es_options: Mapping[str, str] | None):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        tagged = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        good = tagged.where(F.col("reject_reason").isNull()).select(*READING_COLUMNS, "batch_id")
-        bad = tagged.where(F.col("reject_reason").isNotNull()).select("raw", "reject_reason", "batch_id")
+        good, bad = split_quarantine(batch.withColumn("batch_id", F.lit(batch_id).cast("long")))
+        good = good.select(*READING_COLUMNS, "batch_id")
+        bad = bad.select("raw", "reject_reason", "batch_id")
         for df, path in ((good, sink_path), (bad, quarantine_path)):
             (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(path))
