@@ -120,6 +120,17 @@ def ingest_sensors(stream: DataFrame, sink_path: str, quarantine_path: str,
     return writer.start()
 
 
+def dropped_late_rows(query: StreamingQuery) -> int:
+    """Rows the dedup state dropped as later than the watermark, summed over
+    the query's recent progress reports (0 when no dedup runs)."""
+    total = 0
+    for progress in query.recentProgress:
+        for op in progress.get("stateOperators", []) if isinstance(progress, dict) else progress.stateOperators:
+            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
+            total += int(n or 0)
+    return total
+
+
 def reading_messages(readings: DataFrame, decimals: int | None = 2, stamp_now: bool = False) -> DataFrame:
     """Readings -> JSON message text, the producer's format: measurements
     rounded to ``decimals``; with ``stamp_now`` a missing timestamp becomes the

@@ -77,8 +77,10 @@ def test_dedup_within_watermark(spark, tmp_path):
     src, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
     _write(src, "a.json", [_msg(1, 29.4), _msg(2, 29.5)])
     _write(src, "b.json", [_msg(1, 29.4), _msg(3, 29.6)])  # sensor 1 delivered twice
-    _run(spark, src, out, ckpt, dedup_delay="1 hour")
+    q = _run(spark, src, out, ckpt, dedup_delay="1 hour")
     assert [r[0] for r in _readings(spark, out)] == [1, 2, 3]
+    from citeloom.streaming import dropped_late_rows
+    assert dropped_late_rows(q) == 0
 
 
 def test_source_timezone_conversion(spark):
@@ -95,3 +97,20 @@ def test_reading_messages_round_and_stamp(spark):
     assert len(msg["timestamp"]) == 19 and msg["timestamp"][10] == " "
     back = parse_sensor_messages(spark.createDataFrame([(json.dumps(msg),)], "value string")).collect()[0]
     assert back["reject_reason"] is None
+
+
+def test_dedup_reports_rows_later_than_watermark(spark, tmp_path):
+    """A row behind the watermark is dropped (and counted) once the watermark
+    has moved in an earlier batch; the file source replays files in
+    modification-time order, one file per batch here."""
+    src, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    files = [("a.json", [_msg(1, 29.4, ts="2024-01-02 12:00:00")]),
+             ("b.json", [_msg(9, 29.9, ts="2024-01-02 12:05:00")]),
+             ("c.json", [_msg(2, 29.5, ts="2024-01-02 10:00:00"), _msg(3, 29.6, ts="2024-01-02 11:30:00")])]
+    for i, (name, lines) in enumerate(files):
+        _write(src, name, lines)
+        os.utime(os.path.join(src, name), (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
+    from citeloom.streaming import dropped_late_rows
+    q = _run(spark, src, out, ckpt, dedup_delay="1 hour")
+    assert [r[0] for r in _readings(spark, out)] == [1, 3, 9]  # sensor 2 is before the watermark
+    assert dropped_late_rows(q) == 1
