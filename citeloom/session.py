@@ -45,7 +45,7 @@ def build_session(app: str = "citeloom", master: str | None = None,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return (spark.conf.get("spark.master", "") or "").startswith("local")
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -56,13 +56,17 @@ def shared_root(spark: SparkSession) -> str:
     gets a private folder; a cluster session without one is an error, since a
     machine-local folder would not survive the loss of that machine.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session: the server owns checkpointing
+        sc = None
+    configured = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None
+                  else spark.conf.get("spark.checkpoint.dir", None))
     if configured:
-        if sc.getCheckpointDir() is None:
+        if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = sc.getCheckpointDir()
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
     if not _is_local(spark):
@@ -70,6 +74,8 @@ def shared_root(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; point it at shared storage "
             "(HDFS, S3, ABFS, ...) so checkpoints survive executor loss")
     folder = tempfile.mkdtemp(prefix="citeloom-ckpt-")
+    if sc is None:
+        return folder
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir().rstrip("/")
 
