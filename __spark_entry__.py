@@ -106,13 +106,14 @@ def order_documents(spark, sf_dir) -> DataFrame:
             .select(F.concat(body, F.lit(', "ISSN": '), F.col("__issn"), F.col("__q"), F.lit("}")).alias("value")))
 
 
-def order_articles(spark, sf_dir) -> DataFrame:
+def order_articles(spark, sf_dir, strict_parity=False) -> DataFrame:
     raw = publications_from_json_lines(order_documents(spark, sf_dir))
-    return normalize_publications(clean_publications(raw))
+    return normalize_publications(clean_publications(raw), strict_parity=strict_parity)
 
 
-def star(spark, sf_dir, current=None, idempotent=False):
-    return load_star(order_articles(spark, sf_dir), current, idempotent=idempotent)
+def star(spark, sf_dir, current=None, idempotent=False, salt_buckets=None, strict_parity=False):
+    return load_star(order_articles(spark, sf_dir, strict_parity), current, idempotent=idempotent,
+                     salt_buckets=salt_buckets)
 
 
 # --------------------------------------------------------------------------
@@ -344,6 +345,21 @@ def q_fact_load(spark, sf_dir):
                                           "journal_id", "journal_main", "issn", "journal_flag", "quartils")
 
 
+def q_salted_fact_load(spark, sf_dir):
+    """fact_load with the fact-to-journal join salted over 8 buckets."""
+    t = star(spark, sf_dir, salt_buckets=8)
+    f = t["fact_publication"]
+    j = t["dim_journal"].select("journal_id", "journal_main", "issn", F.col("quartils").alias("journal_flag"))
+    return f.join(j, "journal_id").select("publication_id", "title", "doi", "publication_date", "abstract",
+                                          "journal_id", "journal_main", "issn", "journal_flag", "quartils")
+
+
+def q_strict_quarantine(spark, sf_dir):
+    """Quarantine under strict parity: records lost after their journal was made."""
+    q = star(spark, sf_dir, strict_parity=True)["quarantine"]
+    return q.select("load_order", "title", "reject_reason", "reject_stage")
+
+
 def q_star_job(spark, sf_dir):
     """E1-E3 end to end through files: landing JSON -> staged Parquet -> star."""
     landing = scratch_path(spark, "landing")
@@ -577,6 +593,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_roundtrip_parquet": q_source_roundtrip_parquet,
     "clean_job": q_clean_job,
     "star_job": q_star_job,
+    "salted_fact_load": q_salted_fact_load,
+    "strict_quarantine": q_strict_quarantine,
 }
 
 

@@ -448,6 +448,19 @@ SELECT CAST(event_id AS INTEGER) AS sensor_id, value AS temperature, value + 1.0
        strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp
 FROM events""",
 
+    "salted_fact_load": _star("""
+SELECT f.publication_id, f.title, f.doi, f.publication_date, f.abstract, f.journal_id, j.journal_main, j.issn,
+       j.quartils AS journal_flag, f.quartils
+FROM fact f JOIN dim_journal j ON f.journal_id = j.journal_id"""),
+
+    "strict_quarantine": _star("""
+SELECT load_order, title, reject_reason, reject_stage FROM quarantine
+UNION ALL
+SELECT load_order, title,
+       CASE WHEN qshape = 1 THEN 'last_quartil_not_an_object' ELSE 'quartils_not_a_list' END AS reject_reason,
+       'after_journal' AS reject_stage
+FROM good WHERE qshape IN (1, 2)"""),
+
     "source_roundtrip_json": "SELECT * FROM part",
     "source_roundtrip_csv": "SELECT * FROM supplier",
     "source_roundtrip_parquet": "SELECT * FROM orders",
