@@ -2,8 +2,8 @@
 
 ``row_number() over (order by k)`` moves every row to one task. Here:
 
-1. range-partition the new rows on the ordering columns and sort each
-   partition (a distributed sort),
+1. range-partition the new rows on the ordering columns (AQE picks the
+   partition count from the data) and sort each partition (a distributed sort),
 2. ``checkpoint()`` the result into the shared checkpoint folder, so the
    partition a row sits in and its position there are fixed facts that a lost
    executor cannot change on recomputation (range bounds come from sampling,
@@ -44,9 +44,13 @@ def assign_keys(df: DataFrame, key_col: str, order_by: Sequence[str], start: int
     read in the same job as the partition counts."""
     spark = df.sparkSession
     shared_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(f"`{c}`") for c in order_by]
-    fixed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (it merges neighbouring ranges, so order is kept): a few hundred new
+    # dimension rows do not turn into thousands of empty partitions and files.
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    fixed = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     tagged = fixed.select("*", F.spark_partition_id().alias("__pid"),
                           F.monotonically_increasing_id().alias("__mid"))
     stats = tagged.groupBy("__pid").agg(F.count(F.lit(1)).cast("long").alias("__n"))
