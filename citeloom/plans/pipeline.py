@@ -7,10 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.operators.validate import required_reason
 from citeloom.plans.clean import clean_publications
 from citeloom.plans.normalize import normalize_publications
 from citeloom.plans.star import load_star
-from citeloom.sources.readers import read_publications
+from citeloom.sources.readers import read_publications, read_publications_text
 from citeloom.sources.sinks import publish_version, read_current, write_staging
 from citeloom.session import scratch_path
 
@@ -26,6 +27,18 @@ def stage_clean(spark: SparkSession, landing: str, staging: str | None = None, f
     return spark.read.schema(cleaned.schema).parquet(path)
 
 
+def landing_rejects(spark: SparkSession, landing: str, fmt: str = "json",
+                    options: Mapping[str, str] | None = None) -> DataFrame:
+    """Landing lines that are not JSON objects at all (unparseable or another
+    JSON type): the clean step would drop them silently as untitled, so they
+    are kept apart, raw text and reason, for the quarantine."""
+    if fmt != "json":
+        return spark.createDataFrame([], "value string, reject_reason string")
+    lines = read_publications_text(spark, landing, options)
+    return lines.select("value", required_reason(F.col("value")).alias("reject_reason")).where(
+        F.col("reject_reason") == "not_an_object")
+
+
 def run_batch(spark: SparkSession, landing: str, warehouse: str, version: str, fmt: str = "json",
               options: Mapping[str, str] | None = None, order: str = "dedupe_first",
               journal_from: str = "title", strict_parity: bool = False,
@@ -38,8 +51,10 @@ def run_batch(spark: SparkSession, landing: str, warehouse: str, version: str, f
                                       normalize_quartiles=normalize_quartiles,
                                       length_check=length_check)
     tables = load_star(articles, read_current(spark, warehouse), idempotent=idempotent,
-                       salt_buckets=salt_buckets, journal_match=journal_match)
-    paths = publish_version(tables, warehouse, version)
+                       salt_buckets=salt_buckets, journal_match=journal_match).build_all()
+    outputs = {name: tables[name] for name in tables}
+    outputs["quarantine_landing"] = landing_rejects(spark, landing, fmt=fmt, options=options)
+    paths = publish_version(outputs, warehouse, version)
     tables.release()
     return paths
 

@@ -68,6 +68,12 @@ def publications_from_json_lines(lines: DataFrame, value_col: str = "value",
     return out
 
 
+def read_publications_text(spark: SparkSession, path: str,
+                           options: Mapping[str, str] | None = None) -> DataFrame:
+    """Landing JSON Lines as raw text, one document per row in ``value``."""
+    return spread(spark.read.options(**dict(options or {})).text(path))
+
+
 def read_publications(spark: SparkSession, path: str, fmt: str = "json",
                       options: Mapping[str, str] | None = None,
                       required: str = "present") -> DataFrame:
@@ -81,7 +87,7 @@ def read_publications(spark: SparkSession, path: str, fmt: str = "json",
     """
     options = dict(options or {})
     if fmt == "json":
-        return publications_from_json_lines(spread(spark.read.options(**options).text(path)), required=required)
+        return publications_from_json_lines(read_publications_text(spark, path, options), required=required)
     if fmt == "parquet":
         df = spark.read.options(**options).parquet(path)
         missing = [f for f in PUBLICATION_RAW.fieldNames() if f not in df.columns]

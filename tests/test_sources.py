@@ -50,7 +50,7 @@ def test_run_batch_publishes_versions(spark, tmp_path):
     docs = [{"_id": str(i), "Title": f"J{i % 2} (P{i})", "DOI": f"d{i}", "Authors": [f"a{i % 3}"],
              "Publication Date": "1 May 2020", "Quartils": [{"année": "2020", "quartil": f"Q{1 + i % 4}"}]}
             for i in range(6)]
-    (landing / "a.json").write_text("\n".join(json.dumps(d, ensure_ascii=False) for d in docs) + "\n")
+    (landing / "a.json").write_text("\n".join(json.dumps(d, ensure_ascii=False) for d in docs) + "\nnot json\n")
     wh = str(tmp_path / "warehouse")
     create_tables(spark, wh, version="0")
     assert current_version(spark, wh) == "0"
@@ -59,6 +59,8 @@ def test_run_batch_publishes_versions(spark, tmp_path):
     assert current_version(spark, wh) == "1"
     cur = read_current(spark, wh)
     assert cur["fact_publication"].count() == 6 and cur["dim_journal"].count() == 2
+    rejected = spark.read.parquet(f"{wh}/version=1/quarantine_landing").collect()
+    assert [(r["value"], r["reject_reason"]) for r in rejected] == [("not json", "not_an_object")]
     run_batch(spark, str(landing), wh, version="2", idempotent=True)
     cur = read_current(spark, wh)
     assert cur["fact_publication"].count() == 6
