@@ -289,3 +289,15 @@ def test_case_insensitive_journal_match(spark, tmp_path):
     assert [(r["journal_main"], r["issn"]) for r in lower["dim_journal"].collect()] == [("Nature", "first")]
     assert [(r["annee"], r["quartil"]) for r in lower["journal_quartile"].collect()] == [("2020", "Q1")]
     assert sorted(r["journal_id"] for r in lower["fact_publication"].collect()) == [1, 1]
+
+
+def test_no_orphans_in_loaded_tables(batch):
+    """Every foreign key of the load points at an existing row (P13)."""
+    authors = {r["author_id"] for r in batch["dim_author"]}
+    pubs = {r["publication_id"] for r in batch["fact_publication"]}
+    journals = {r["journal_id"] for r in batch["dim_journal"]}
+    assert all(b["author_id"] in authors and b["publication_id"] in pubs for b in batch["publication_author"])
+    assert all(f["journal_id"] in journals for f in batch["fact_publication"])
+    assert all(q["id_journal"] in journals for q in batch["journal_quartile"])
+    keys = [r["journal_id"] for r in batch["dim_journal"]]
+    assert sorted(keys) == list(range(1, len(keys) + 1))  # dense, no gaps
