@@ -301,3 +301,10 @@ def test_no_orphans_in_loaded_tables(batch):
     assert all(q["id_journal"] in journals for q in batch["journal_quartile"])
     keys = [r["journal_id"] for r in batch["dim_journal"]]
     assert sorted(keys) == list(range(1, len(keys) + 1))  # dense, no gaps
+
+
+def test_missing_journal_line_is_quarantined_before_journal(spark, tmp_path):
+    arts = articles(spark, tmp_path, [doc("1", "No field"), doc("2", "Has field", journal_main="Published in: J (v)")],
+                    journal_from="field")
+    got = {r["load_order"]: (r["journal_name"], r["reject_reason"], r["reject_stage"]) for r in arts.collect()}
+    assert got == {"1": (None, "journal_name_missing", "before_journal"), "2": ("J", None, None)}
