@@ -345,6 +345,22 @@ def q_fact_load(spark, sf_dir):
                                           "journal_id", "journal_main", "issn", "journal_flag", "quartils")
 
 
+def q_journal_match_lower(spark, sf_dir):
+    """Journal lookup-or-insert with case-insensitive names: part types in two
+    spellings collapse to one journal, stored as first written."""
+    from citeloom.plans.star import load_journals
+    from citeloom.schemas import empty_table
+    p = _t(spark, sf_dir, "part")
+    name = F.when(F.col("p_size") % 2 == 0, F.lower("p_type")).otherwise(F.col("p_type"))
+    line = CF.journal_line(F.concat(name, F.lit(" ("), F.col("p_name"), F.lit(")")))
+    arts = p.select(_key12("p_partkey").alias("load_order"),
+                    CF.extract_journal_name(line).alias("journal_name"),
+                    F.concat(F.lit("I"), _s("p_partkey")).alias("issn"),
+                    F.when(F.col("p_size") > 25, F.lit("indexe")).otherwise(F.lit("pas indexe")).alias("journal_flag"),
+                    F.lit(None).cast("string").alias("reject_stage"))
+    return load_journals(arts, empty_table(spark, "dim_journal"), journal_match="lower")
+
+
 def q_salted_fact_load(spark, sf_dir):
     """fact_load with the fact-to-journal join salted over 8 buckets."""
     t = star(spark, sf_dir, salt_buckets=8)
@@ -594,6 +610,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_job": q_clean_job,
     "star_job": q_star_job,
     "salted_fact_load": q_salted_fact_load,
+    "journal_match_lower": q_journal_match_lower,
     "strict_quarantine": q_strict_quarantine,
 }
 

@@ -461,6 +461,17 @@ SELECT load_order, title,
        'after_journal' AS reject_stage
 FROM good WHERE qshape IN (1, 2)"""),
 
+    "journal_match_lower": f"""
+WITH c AS (
+  SELECT {_key12('p_partkey')} AS load_order,
+         CASE WHEN p_size % 2 = 0 THEN lower(p_type) ELSE p_type END AS journal_main,
+         'I' || CAST(p_partkey AS VARCHAR) AS issn,
+         CASE WHEN p_size > 25 THEN 'indexe' ELSE 'pas indexe' END AS quartils
+  FROM part),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lower(journal_main) ORDER BY load_order) AS rn FROM c)
+      WHERE rn = 1)
+SELECT row_number() OVER (ORDER BY load_order) AS journal_id, journal_main, issn, quartils FROM f""",
+
     "source_roundtrip_json": "SELECT * FROM part",
     "source_roundtrip_csv": "SELECT * FROM supplier",
     "source_roundtrip_parquet": "SELECT * FROM orders",
