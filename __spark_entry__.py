@@ -626,6 +626,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 from oracle_sql import ORACLE_SQL  # noqa: E402
 
+_ORACLES: dict[str, str] = dict(ORACLE_SQL)
+
+# The training-data operators are an optional part: their folder and the corpus
+# pipeline can be absent. Only their own absence is excused.
+try:
+    import corpus_pipeline
+    from citeloom.llm.queries import ORACLE_SQL as _LLM_SQL
+    from citeloom.llm.queries import QUERIES as _LLM_QUERIES
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "citeloom.llm", "citeloom.llm.queries"):
+        raise
+else:
+    _QUERIES |= _LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    _ORACLES |= _LLM_SQL
+    if corpus_pipeline.ORACLE_SQL:
+        _ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in ORACLE_SQL.items() if k in _QUERIES}
+    return {k: v for k, v in _ORACLES.items() if k in _QUERIES}
