@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import decontam, neardup, quality
 from .common import read_table
 
 
@@ -14,8 +14,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.neardup_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontam_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op8_minhash_neardup": op8_minhash_neardup,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
