@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, neardup, quality
+from . import decontam, mixing, neardup, quality, sharding
 from .common import read_table
 
 
@@ -14,6 +14,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharding_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.neardup_digest(read_table(spark, sf_dir, "documents"))
 
@@ -24,6 +32,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_source_mixing": op2_source_mixing,
+    "op3_sharding": op3_sharding,
     "op8_minhash_neardup": op8_minhash_neardup,
     "op10_decontamination": op10_decontamination,
 }
