@@ -1,7 +1,8 @@
 """Corpus pipeline: quality rules, near-duplicates, benchmark decontamination, mixing, sharding.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; between
-stages the rows are written as Parquet and read again.
+stages the rows are written as Parquet and read again. All stages but the last
+return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeloom.llm import quality
+from citeloom.llm import decontam, mixing, neardup, quality, sharding
 from citeloom.llm.common import read_table, stored
 
 
@@ -19,11 +20,35 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_clean(docs)
 
 
+def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return neardup.keep_one(docs)
+
+
+def decontam_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontam.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents appear as often as the mix draws them."""
+    return mixing.mixed(docs)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds each record's size, virtual slot, shard and place in the shard."""
+    return sharding.shard(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", quality_stage),
+    ("near-duplicates", neardup_stage),
+    ("benchmark decontamination", decontam_stage),
+    ("mixing sources", mixing_stage),
+    ("sharding", sharding_stage),
 ]
 
-#: The near-duplicate stage needs sketches and connected components: no SQL.
+#: Sketches, connected components and hypergeometric draws have no SQL form.
 ORACLE_SQL = None
 
 
