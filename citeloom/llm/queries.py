@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, neardup, quality, sharding
+from . import decontam, licenses, mixing, neardup, pii, quality, sharding, urls
 from .common import read_table
 
 
@@ -22,10 +22,22 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharding_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.url_digest(read_table(spark, sf_dir, "pages"))
+
+
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.neardup_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontam_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -34,7 +46,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mixing": op2_source_mixing,
     "op3_sharding": op3_sharding,
+    "op4_license_scan": op4_license_scan,
+    "op5_url_filter": op5_url_filter,
     "op8_minhash_neardup": op8_minhash_neardup,
+    "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
 }
 
