@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, licenses, mixing, neardup, pii, quality, sharding, urls
+from . import classifier, decontam, licenses, mixing, neardup, pii, quality, secrets, sharding, urls
 from .common import read_table
 
 
@@ -30,6 +30,14 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_digest(read_table(spark, sf_dir, "pages"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.neardup_digest(read_table(spark, sf_dir, "documents"))
 
@@ -48,6 +56,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_license_scan": op4_license_scan,
     "op5_url_filter": op5_url_filter,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_secret_scan": op7_secret_scan,
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
