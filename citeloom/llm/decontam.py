@@ -51,6 +51,8 @@ def _gram_hashes(words: Column, k: int) -> Column:
 
 def _winnow(hashes: Column, grams: int) -> Column:
     """The smallest of every ``grams`` consecutive hashes."""
+    if grams == 1:
+        return hashes
     return F.transform(starts(hashes, grams), lambda i: F.least(*[F.get(hashes, i + j) for j in range(grams)]))
 
 
