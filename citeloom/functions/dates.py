@@ -25,9 +25,9 @@ _SECOND = r"(6[01]|[0-5][0-9]|[0-9])"
 _MONTH_NAME = "(" + "|".join(MONTHS) + ")"
 _GAP = PY_SPACE + "+"
 
-DAY_MONTH_YEAR = "(?i)^" + _DAY + _GAP + _MONTH_NAME + _GAP + _YEAR + "$"
+DAY_MONTH_YEAR = "(?i)^" + _DAY + _GAP + _MONTH_NAME + _GAP + _YEAR + r"\z"
 SENSOR_TS = ("^" + _YEAR + "-" + _MONTH_NUM + "-" + _DAY + _GAP + _HOUR + ":"
-             + _MINUTE + ":" + _SECOND + "$")
+             + _MINUTE + ":" + _SECOND + r"\z")
 
 
 def _col(c) -> Column:

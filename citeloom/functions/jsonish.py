@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def to_json_text(*cols, name: str = "value") -> Column:
-    """One JSON object per row from the given columns (NULL fields omitted)."""
-    return F.to_json(F.struct(*cols)).alias(name)
+    """One JSON object per row from the given columns; NULL fields are written as null."""
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias(name)
 
 
 def from_json_text(text, schema) -> Column:

@@ -30,9 +30,17 @@ def looks_like_json_array(text) -> Column:
 
 
 def json_array_elements(text) -> Column:
-    """Element texts of a JSON-array text; NULL for anything else or invalid JSON."""
+    """Element texts of a JSON-array text; NULL for anything else or invalid JSON.
+
+    The parser stops at the end of the first value and would pass over what
+    follows it. Inside an enclosing array and inside an object, trailing text
+    is an error (or a second element), so a text is valid if both accept it.
+    """
     t = _col(text)
-    return F.when(looks_like_json_array(t), F.from_json(t, "array<string>"))
+    strict = {"allowSingleQuotes": "false"}
+    inside = F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<array<string>>", strict)
+    member = F.from_json(F.concat(F.lit('{"v":'), t, F.lit("}")), "struct<v:array<string>>", strict)["v"]
+    return F.when(looks_like_json_array(t) & member.isNotNull() & (F.size(inside) == 1), F.get(inside, F.lit(0)))
 
 
 def is_json_object(text) -> Column:
@@ -64,6 +72,20 @@ def decode_elements(elements) -> Column:
     return F.transform(_col(elements), lambda x: F.struct(x.alias("text"), F.json_object_keys(x).alias("keys")))
 
 
+def is_truthy_json(raw) -> Column:
+    """Python's truth of a JSON value given as JSON text (NULL when absent): null, false, zero and
+    the empty string, list and object are false."""
+    r = _col(raw)
+    empty = r.isin("null", "false", '""', "[]", "{}")
+    zero = ~r.startswith('"') & F.coalesce(r.try_cast("double") == 0, F.lit(False))
+    return r.isNotNull() & ~empty & ~zero
+
+
+def _json_member(text: Column, key: str) -> Column:
+    """A member's value as JSON text: strings keep their quotes, so types stay apart."""
+    return F.to_json(F.try_variant_get(F.try_parse_json(text), f"$['{key}']", "variant"))
+
+
 def _empty_decoded() -> Column:
     return F.array().cast("array<struct<text:string,keys:array<string>>>")
 
@@ -81,14 +103,16 @@ def quartile_candidates(decoded) -> Column:
 
 def quartile_items(decoded) -> Column:
     """Candidate items decoded to struct<pos, annee, quartil>, keeping only
-    those whose year and quartile are both non-empty. ``pos`` is the item's
-    rank among the candidates (load order within a document)."""
-    parsed = F.transform(quartile_candidates(decoded),
-                         lambda s, i: F.struct(i.alias("pos"), F.from_json(s["text"], ITEM_SCHEMA).alias("it")))
-    flat = F.transform(parsed, lambda p: F.struct(p["pos"].alias("pos"), p["it"][YEAR_KEY].alias("annee"),
+    those whose year and quartile are both true values in the original's
+    sense (a score of 0, false or an empty list is skipped like a missing
+    one). ``pos`` is the item's rank among the candidates (load order within a
+    document)."""
+    numbered = F.transform(quartile_candidates(decoded), lambda s, i: F.struct(i.alias("pos"), s["text"].alias("text")))
+    true = F.filter(numbered, lambda p: is_truthy_json(_json_member(p["text"], YEAR_KEY))
+                    & is_truthy_json(_json_member(p["text"], QUARTILE_KEY)))
+    parsed = F.transform(true, lambda p: F.struct(p["pos"].alias("pos"), F.from_json(p["text"], ITEM_SCHEMA).alias("it")))
+    return F.transform(parsed, lambda p: F.struct(p["pos"].alias("pos"), p["it"][YEAR_KEY].alias("annee"),
                                                   p["it"][QUARTILE_KEY].alias("quartil")))
-    return F.filter(flat, lambda s: s["annee"].isNotNull() & (s["annee"] != "")
-                    & s["quartil"].isNotNull() & (s["quartil"] != ""))
 
 
 def journal_flag(decoded) -> Column:

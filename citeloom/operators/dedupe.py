@@ -4,8 +4,9 @@
 row with the smallest ordering value instead, and is expressed as a
 ``min_by`` aggregate, which Spark evaluates partially on the map side: a hot
 key (one title on a third of all rows) is reduced to one row per map task
-before the shuffle, so no task ever receives the whole group. A window
-``row_number() over (partition by key)`` would put that group in one task.
+before the shuffle, so no task ever receives the whole group. (A filter
+``row_number() over (partition by key) = 1`` is cut per task before its
+shuffle too; it sorts the whole rows on both sides as well.)
 """
 
 from __future__ import annotations
@@ -28,10 +29,14 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
     """One row per ``keys`` (NULL keys form one group, as in SQL GROUP BY):
     the row with the lowest ``order_by`` value, or the highest with ``last``."""
     cols = df.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in cols])
+    # The keys travel once, as the group.
+    rest = [c for c in cols if c not in keys]
+    if not rest:
+        return df.dropDuplicates(list(keys))
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
     pick = F.max_by(row, _order(order_by)) if last else F.min_by(row, _order(order_by))
     return (df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(pick.alias("__row"))
-            .select(*[F.col(f"__row.`{c}`").alias(c) for c in cols]))
+            .select(*[(F.col(f"__row.`{c}`") if c in rest else F.col(f"`{c}`")).alias(c) for c in cols]))
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:

@@ -25,9 +25,13 @@ def resolve_key(df: DataFrame, dim: DataFrame, natural_key: str, dim_natural_key
     """
     same = match or (lambda c: c)
     lookup = dim.select(same(F.col(dim_natural_key)).alias("__nk"), F.col(key_col))
+    if match is not None:  # several spellings may match: the oldest row stands for them
+        lookup = lookup.groupBy("__nk").agg(F.min(key_col).alias(key_col))
+    if salt_buckets and not salt_by:
+        raise ValueError("salt_by must name a column that is unique per row")
     if not salt_buckets:
         return df.join(lookup, same(F.col(natural_key)) == F.col("__nk"), how).drop("__nk")
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(F.col(salt_by or natural_key)), F.lit(salt_buckets)))
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(F.col(salt_by)), F.lit(salt_buckets)))
     replicated = lookup.withColumn("__salt2", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")))
     cond = (same(F.col(natural_key)) == F.col("__nk")) & (F.col("__salt") == F.col("__salt2"))
     return salted.join(replicated, cond, how).drop("__nk", "__salt", "__salt2")

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 def publications_per_year(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Publications per year and quartile label (partial counts map-side)."""
-    dated = fact.join(dim_date.select(F.col("full_date").alias("publication_date"), "year"),
-                      "publication_date", "inner")
-    return dated.groupBy("year", "quartils").agg(F.count(F.lit(1)).alias("n_publications"))
+    # Count by date first (partial counts map-side): the join then sees one row per date and
+    # label, however many publications share a date.
+    daily = fact.groupBy("publication_date", "quartils").agg(F.count(F.lit(1)).alias("n"))
+    dated = daily.join(dim_date.select(F.col("full_date").alias("publication_date"), "year"), "publication_date")
+    return dated.groupBy("year", "quartils").agg(F.sum("n").alias("n_publications"))
 
 
 def top_authors(bridge: DataFrame, dim_author: DataFrame, n: int = 10) -> DataFrame:

@@ -86,9 +86,6 @@ def normalize_publications(df: DataFrame, journal_from: str = "title",
         F.col("__required"),
     )
     items = quartile_items(F.col("__elements"))
-    if length_check:
-        items = F.filter(items, lambda s: (F.length(s["annee"]) <= COLUMN_LIMITS["annee"])
-                         & (F.length(s["quartil"]) <= COLUMN_LIMITS["quartil"]))
     last = last_quartil(F.col("__elements"))
     if normalize_quartiles:
         items = F.transform(items, lambda s: s.withField("quartil", normalize_quartile(s["quartil"])))
@@ -113,7 +110,9 @@ def normalize_publications(df: DataFrame, journal_from: str = "title",
                   (_too_long(F.col("doi"), COLUMN_LIMITS["doi"]), "doi_too_long"),
                   (_too_long(F.col("link"), COLUMN_LIMITS["link"]), "link_too_long"),
                   (F.exists(F.col("authors"), lambda a: F.length(a) > COLUMN_LIMITS["author_name"]),
-                   "author_name_too_long")]
+                   "author_name_too_long"),
+                  (F.exists(items, lambda s: (F.length(s["annee"]) > COLUMN_LIMITS["annee"])
+                            | (F.length(s["quartil"]) > COLUMN_LIMITS["quartil"])), "quartile_item_too_long")]
     before_reason = first_reason(*[(c, r) for c, r in before if r])
     before_reason = F.coalesce(F.col("__required"), before_reason)
     after_reason = first_reason(*after)

@@ -12,7 +12,7 @@ from citeloom.plans.clean import clean_publications
 from citeloom.plans.normalize import normalize_publications
 from citeloom.plans.star import load_star
 from citeloom.sources.readers import read_publications, read_publications_text
-from citeloom.sources.sinks import publish_version, read_current, write_staging
+from citeloom.sources.sinks import publish_load, published_loads, read_current, write_staging
 from citeloom.session import scratch_path
 
 
@@ -45,18 +45,22 @@ def run_batch(spark: SparkSession, landing: str, warehouse: str, version: str, f
               normalize_quartiles: bool = False, length_check: bool = False,
               idempotent: bool = False, salt_buckets: int | None = None,
               journal_match: str = "exact") -> dict[str, str]:
-    """E1 -> E3, publishing a new warehouse version. Returns the table paths."""
+    """E1 -> E3, appending the rows of one load to the warehouse. Returns the paths it wrote.
+
+    A version that is already published is refused before any work; one that
+    died halfway can be run again.
+    """
+    if version in published_loads(spark, warehouse):
+        raise ValueError(f"load {version!r} is already published in {warehouse}")
     staged = stage_clean(spark, landing, fmt=fmt, options=options, order=order)
     articles = normalize_publications(staged, journal_from=journal_from, strict_parity=strict_parity,
                                       normalize_quartiles=normalize_quartiles,
                                       length_check=length_check)
     tables = load_star(articles, read_current(spark, warehouse), idempotent=idempotent,
                        salt_buckets=salt_buckets, journal_match=journal_match).build_all()
-    outputs = {name: tables[name] for name in tables}
+    outputs = {name: tables.added(name) for name in tables}
     outputs["quarantine_landing"] = landing_rejects(spark, landing, fmt=fmt, options=options)
-    paths = publish_version(outputs, warehouse, version)
-    tables.release()
-    return paths
+    return publish_load(outputs, warehouse, version)
 
 
 def preview(df: DataFrame, n: int = 2) -> DataFrame:

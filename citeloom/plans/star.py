@@ -29,12 +29,26 @@ from citeloom.operators.facts import bridge_rows, not_loaded, resolve_key
 from citeloom.operators.keys import assign_keys
 from citeloom.operators.upsert import merge_last_wins
 from citeloom.schemas import FACT_PUBLICATION, STAR_TABLES, empty_table
+from citeloom.session import scratch_path
 
 
-def _current(spark, current: Mapping[str, DataFrame] | None) -> dict[str, DataFrame]:
-    current = current or {}
-    return {name: current.get(name) if current.get(name) is not None else empty_table(spark, name)
-            for name in STAR_TABLES}
+class _Current(Mapping):
+    """The tables before a load; missing ones are empty. Tables are asked for one at a time, so
+    that a ``StarLoad`` given as the current state builds only those that are needed."""
+
+    def __init__(self, spark, tables: Mapping[str, DataFrame] | None):
+        self._spark, self._tables = spark, tables or {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in STAR_TABLES:
+            raise KeyError(name)
+        return self._tables[name] if name in self._tables else empty_table(self._spark, name)
+
+    def __iter__(self):
+        return iter(STAR_TABLES)
+
+    def __len__(self) -> int:
+        return len(STAR_TABLES)
 
 
 def journal_candidates(articles: DataFrame) -> DataFrame:
@@ -52,12 +66,17 @@ def _matcher(journal_match: str):
 
 
 def load_journals(articles: DataFrame, dim_journal: DataFrame, journal_match: str = "exact") -> DataFrame:
+    return insert_journals(articles, dim_journal, journal_match)[0]
+
+
+def insert_journals(articles: DataFrame, dim_journal: DataFrame, journal_match: str = "exact"
+                    ) -> tuple[DataFrame, DataFrame]:
+    """(the dimension after the load, the rows the load adds)."""
     cands = journal_candidates(articles).select(
         F.col("journal_name").alias("journal_main"), "issn",
         F.col("journal_flag").alias("quartils"), "load_order")
-    dim, _ = lookup_or_insert(dim_journal, cands, "journal_main", "journal_id", order_by=["load_order"],
-                              match=_matcher(journal_match))
-    return dim
+    return lookup_or_insert(dim_journal, cands, "journal_main", "journal_id", order_by=["load_order"],
+                            match=_matcher(journal_match))
 
 
 def quartile_source(articles: DataFrame, dim_journal: DataFrame, salt_buckets: int | None = None,
@@ -94,19 +113,21 @@ def keyed_publications(articles: DataFrame, dim_journal: DataFrame, fact_publica
 
 
 def load_authors(keyed: DataFrame, dim_author: DataFrame) -> DataFrame:
+    return insert_authors(keyed, dim_author)[0]
+
+
+def insert_authors(keyed: DataFrame, dim_author: DataFrame) -> tuple[DataFrame, DataFrame]:
     names = (keyed.select("load_order", F.posexplode("authors").alias("pos", "author_name"))
              .select("author_name", F.lit(None).cast("string").alias("affiliation"),
                      F.lit(None).cast("string").alias("country"), "load_order", "pos"))
-    dim, _ = lookup_or_insert(dim_author, names, "author_name", "author_id", order_by=["load_order", "pos"])
-    return dim
+    return lookup_or_insert(dim_author, names, "author_name", "author_id", order_by=["load_order", "pos"])
 
 
-def load_dates(new_facts: DataFrame, dim_date: DataFrame) -> DataFrame:
+def insert_dates(new_facts: DataFrame, dim_date: DataFrame) -> tuple[DataFrame, DataFrame]:
     dates = (new_facts.select(F.col("publication_date").alias("full_date"))
              .where(F.col("full_date").isNotNull()).distinct()
              .select("full_date", *date_parts("full_date")))
-    dim, _ = lookup_or_insert(dim_date, dates, "full_date", "date_id")
-    return dim
+    return lookup_or_insert(dim_date, dates, "full_date", "date_id")
 
 
 class StarLoad(Mapping):
@@ -126,7 +147,7 @@ class StarLoad(Mapping):
         self._match = journal_match
         self._source = articles
         self._cached: DataFrame | None = None
-        self._cur = _current(articles.sparkSession, current)
+        self._cur = _Current(articles.sparkSession, current)
         self._idempotent = idempotent
         self._salt = salt_buckets
         self._done: dict[str, DataFrame] = {}
@@ -135,20 +156,17 @@ class StarLoad(Mapping):
 
     @property
     def _articles(self) -> DataFrame:
-        """The articles, persisted on first use: every keyed table reads them
-        again, and recomputing the decode for each would repeat the whole
-        upstream plan. (The quarantine alone reads them once, unpersisted.)"""
+        """The articles, written to the shared folder on first use: every keyed
+        table reads them again (only the columns it needs), and recomputing
+        the decode for each would repeat the whole upstream plan. (The
+        quarantine alone reads them once, unwritten.)"""
         with self._guard:
             if self._cached is None:
-                self._cached = self._source.persist()
+                path = scratch_path(self._source.sparkSession, "articles")
+                self._source.write.parquet(path)
+                self._cached = self._source.sparkSession.read.schema(self._source.schema).parquet(path)
             return self._cached
 
-    def release(self) -> None:
-        """Drop the cached articles once the tables have been written."""
-        if self._cached is not None:
-            self._cached.unpersist()
-            self._cached = None
-
     def _get(self, name: str, build) -> DataFrame:
         # One lock per table; tables depend on each other as a DAG and locks
         # are taken along it, so concurrent builders cannot deadlock.
@@ -181,17 +199,38 @@ class StarLoad(Mapping):
     def _new_facts(self) -> DataFrame:
         return self._keyed().select(*FACT_PUBLICATION.fieldNames())
 
+    def _inserted(self, name: str) -> tuple[DataFrame, DataFrame]:
+        """A dimension after the load, and the rows the load adds to it."""
+        build = {
+            "dim_journal": lambda: insert_journals(self._articles, self._cur["dim_journal"], self._match),
+            "dim_author": lambda: insert_authors(self._keyed(), self._cur["dim_author"]),
+            "dim_date": lambda: insert_dates(self._new_facts(), self._cur["dim_date"])}[name]
+        return self._get("__pair_" + name, build)
+
+    def _new_bridge(self) -> DataFrame:
+        return self._get("__bridge", lambda: bridge_rows(
+            self._keyed(), "publication_id", "authors", self["dim_author"], "author_name", "author_id",
+            salt_buckets=self._salt))
+
+    def added(self, name: str) -> DataFrame:
+        """The rows this load adds to a table (the whole table where rows change in place)."""
+        if name in ("dim_journal", "dim_author", "dim_date"):
+            return self._inserted(name)[1]
+        if name == "fact_publication":
+            return self._new_facts()
+        if name == "publication_author":
+            return self._new_bridge()
+        return self[name]
+
     def __getitem__(self, name: str) -> DataFrame:
         builders = {
-            "dim_journal": lambda: load_journals(self._articles, self._cur["dim_journal"], self._match),
+            "dim_journal": lambda: self._inserted("dim_journal")[0],
             "journal_quartile": lambda: load_quartiles(self._articles, self["dim_journal"],
                                                        self._cur["journal_quartile"], self._salt, self._match),
             "fact_publication": lambda: self._cur["fact_publication"].unionByName(self._new_facts()),
-            "dim_author": lambda: load_authors(self._keyed(), self._cur["dim_author"]),
-            "publication_author": lambda: self._cur["publication_author"].unionByName(
-                bridge_rows(self._keyed(), "publication_id", "authors", self["dim_author"],
-                            "author_name", "author_id", salt_buckets=self._salt)),
-            "dim_date": lambda: load_dates(self._new_facts(), self._cur["dim_date"]),
+            "dim_author": lambda: self._inserted("dim_author")[0],
+            "publication_author": lambda: self._cur["publication_author"].unionByName(self._new_bridge()),
+            "dim_date": lambda: self._inserted("dim_date")[0],
             "quarantine": lambda: (self._cached if self._cached is not None else self._source)
             .where(F.col("reject_reason").isNotNull()),
         }

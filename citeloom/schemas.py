@@ -94,14 +94,14 @@ COLUMN_LIMITS = {
 }
 
 SENSOR_MESSAGE = T.StructType([
-    T.StructField("sensor_id", T.IntegerType()),
+    T.StructField("sensor_id", T.LongType()),
     T.StructField("temperature", T.DoubleType()),
     T.StructField("humidity", T.DoubleType()),
     T.StructField("timestamp", T.StringType()),
 ])
 
 SENSOR_READING = T.StructType([
-    T.StructField("sensor_id", T.IntegerType()),
+    T.StructField("sensor_id", T.LongType()),
     T.StructField("temperature", T.DoubleType()),
     T.StructField("humidity", T.DoubleType()),
     T.StructField("timestamp", T.StringType()),

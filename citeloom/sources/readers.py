@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,26 +18,6 @@ from citeloom.operators.validate import required_non_null_reason, required_reaso
 from citeloom.schemas import PUBLICATION_RAW, REQUIRED_KEYS, REQUIRED_REASON_COL
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = 1 << 30) -> DataFrame:
-    """Give a small, under-partitioned input at least ``min_partitions``
-    (default: the cluster's default parallelism) partitions before row-wise work.
-
-    Only an input that arrives in fewer splits than the cluster has cores
-    *and* whose estimated size is under ``max_bytes`` (one unsplittable file,
-    one row group) is repartitioned: the shuffle is cheap there and lets the
-    per-record parsing use every core. Anything larger is returned untouched,
-    since its splits already keep the cluster busy and a shuffle would only
-    cost time.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no JVM plan view (e.g. a Spark Connect session): leave the plan alone
-        return df
-    return df.repartition(target) if current < target and size <= max_bytes else df
-
-
 def _object_id(c):
     """A Mongo ObjectId exported as {"$oid": "..."} becomes its hex text."""
     return F.coalesce(F.get_json_object(c, "$['$oid']"), c)
@@ -69,29 +49,50 @@ def publications_from_json_lines(lines: DataFrame, value_col: str = "value",
 
 
 def read_publications_text(spark: SparkSession, path: str,
-                           options: Mapping[str, str] | None = None) -> DataFrame:
-    """Landing JSON Lines as raw text, one document per row in ``value``."""
-    return spread(spark.read.options(**dict(options or {})).text(path))
+                           options: Mapping[str, str] | None = None,
+                           partitions: int | None = None) -> DataFrame:
+    """Landing JSON Lines as raw text, one document per row in ``value``.
+
+    Files are read in the splits their format gives. ``partitions`` deals the
+    lines out before they are decoded: for files that cannot be split, such
+    as one large gzip file, which one task would decode otherwise.
+    """
+    lines = spark.read.options(**dict(options or {})).text(path)
+    return lines.repartition(partitions) if partitions else lines
+
+
+def _as_text(df: DataFrame, field: str) -> Column:
+    """A typed column as the text that the JSON landing would hold: nested values as JSON."""
+    kind = df.schema[field].dataType
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        return F.to_json(F.col(f"`{field}`"), {"ignoreNullFields": "false"})
+    return F.col(f"`{field}`").cast("string")
 
 
 def read_publications(spark: SparkSession, path: str, fmt: str = "json",
                       options: Mapping[str, str] | None = None,
-                      required: str = "present") -> DataFrame:
+                      required: str = "present", partitions: int | None = None) -> DataFrame:
     """Landing data -> typed publication records.
 
     * ``json``: JSON Lines files (one document per line), read as text and
       decoded with the fixed schema, so no inference pass over the data.
     * ``mongodb`` (or any document connector): rows are re-encoded to JSON
       and follow the same path; ``options`` carry the connection settings.
-    * ``parquet``: already typed records.
+    * ``parquet``: already typed records; lists, rows and maps are decoded
+      by the same rules as their JSON text.
+
+    ``partitions`` deals the rows out before they are decoded (see
+    ``read_publications_text``).
     """
     options = dict(options or {})
     if fmt == "json":
-        return publications_from_json_lines(read_publications_text(spark, path, options), required=required)
+        return publications_from_json_lines(read_publications_text(spark, path, options, partitions),
+                                            required=required)
     if fmt == "parquet":
         df = spark.read.options(**options).parquet(path)
         missing = [f for f in PUBLICATION_RAW.fieldNames() if f not in df.columns]
-        typed = df.select(*[(F.col(f"`{f}`") if f not in missing else F.lit(None)).cast("string").alias(f)
+        df = df.repartition(partitions) if partitions else df
+        typed = df.select(*[(_as_text(df, f) if f not in missing else F.lit(None).cast("string")).alias(f)
                             for f in PUBLICATION_RAW.fieldNames()])
         if required == "non_null":
             reason = required_non_null_reason(REQUIRED_KEYS)
@@ -100,7 +101,9 @@ def read_publications(spark: SparkSession, path: str, fmt: str = "json",
         return typed.withColumn(REQUIRED_REASON_COL, reason)
     reader = spark.read.format(fmt).options(**options)
     docs = reader.load(path) if path else reader.load()
-    lines = docs.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("value"))
+    docs = docs.repartition(partitions) if partitions else docs
+    lines = docs.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]),
+                                  {"ignoreNullFields": "false"}).alias("value"))
     return publications_from_json_lines(lines, required=required)
 
 
@@ -118,6 +121,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
     if partition_column:
+        if lower_bound is None or upper_bound is None:
+            raise ValueError("partition_column needs lower_bound and upper_bound")
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
                   .option("numPartitions", str(num_partitions or 1)))

@@ -1,9 +1,12 @@
-"""Sinks: staging files, warehouse tables in versions, JDBC targets.
-
-Plain file tables cannot be overwritten while they are read, and a load
-that writes six tables must not leave a half-written state behind. So each
-load writes a complete new version directory and only then moves the
-``CURRENT`` pointer, a one-row file that readers consult first.
+"""Sinks: staging files, append-only warehouse loads, JDBC targets.
+
+A load appends: each table has a folder per load (``load=<version>``) that
+holds the rows this load added, so adding a day writes a day. Only the
+quartile table, which is merged, is written whole by every load; readers take
+its last one. When all tables of a load are written, its row in the ``loads``
+table makes it visible. A load that died before that is invisible, and running
+it again replaces its own folders only; a load that is visible is refused, so
+no run ever writes where published rows lie.
 """
 
 from __future__ import annotations
@@ -11,14 +14,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citeloom.schemas import STAR_TABLES, empty_table
 
-_POINTER = T.StructType([T.StructField("version", T.StringType(), False)])
+LOADS = T.StructType([T.StructField("seq", T.LongType(), False), T.StructField("version", T.StringType(), False)])
+#: The table whose rows show that a warehouse is not empty.
+FACTS = "fact_publication"
+#: Tables that every load writes whole.
+WHOLE = ("journal_quartile",)
 
 
 def write_staging(df: DataFrame, path: str) -> str:
@@ -27,49 +33,71 @@ def write_staging(df: DataFrame, path: str) -> str:
     return path
 
 
-def create_tables(spark: SparkSession, root: str, version: str = "0") -> dict[str, str]:
-    """Empty star tables with their schemas (drop-and-create)."""
-    return publish_version({n: empty_table(spark, n) for n in STAR_TABLES}, root, version)
+def _exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
-def publish_version(tables: Mapping[str, DataFrame], root: str, version: str,
-                    parallel: bool = True) -> dict[str, str]:
-    """Write every table below ``root/version=<v>/`` and then switch the pointer.
-    The writes are independent jobs and run concurrently when ``parallel``."""
-    if hasattr(tables, "build_all"):
-        tables.build_all(parallel=parallel)
-    frames = {name: tables[name] for name in tables}
-    paths = {name: f"{root}/version={version}/{name}" for name in frames}
+def create_tables(spark: SparkSession, root: str, version: str = "0") -> dict[str, str]:
+    """Empty star tables with their schemas, as a first load of no rows."""
+    return publish_load({n: empty_table(spark, n) for n in STAR_TABLES}, root, version)
+
+
+def published_loads(spark: SparkSession, root: str) -> list[str]:
+    """The visible loads in order. Raises if there are tables but no list of loads: that is a
+    damaged warehouse, not an empty one."""
+    if not _exists(spark, f"{root}/loads"):
+        if _exists(spark, f"{root}/{FACTS}"):
+            listed = spark.read.schema(STAR_TABLES[FACTS]).parquet(f"{root}/{FACTS}")
+            if not listed.isEmpty():
+                raise RuntimeError(f"{root} has tables but no list of loads; restore {root}/loads")
+        return []
+    rows = spark.read.schema(LOADS).parquet(f"{root}/loads").orderBy("seq").collect()  # one row a load
+    if not rows:
+        raise RuntimeError(f"{root}/loads is empty; restore it before loading")
+    return [r["version"] for r in rows]
+
+
+def publish_load(added: Mapping[str, DataFrame], root: str, version: str, parallel: bool = True) -> dict[str, str]:
+    """Write the rows a load adds, and then its row in the list of loads.
+
+    ``added`` has the new rows of each table (the whole table for ``WHOLE``). The writes are
+    independent jobs and run concurrently when ``parallel``.
+    """
+    spark = next(iter(added.values())).sparkSession
+    done = published_loads(spark, root)
+    if version in done:
+        raise ValueError(f"load {version!r} is already published in {root}")
+    paths = {name: f"{root}/{name}/load={version}" for name in added}
 
     def write(name: str) -> None:
-        frames[name].write.mode("overwrite").parquet(paths[name])
+        added[name].write.mode("overwrite").parquet(paths[name])
 
-    if parallel and len(frames) > 1:
-        with ThreadPoolExecutor(max_workers=min(8, len(frames))) as pool:
-            list(pool.map(write, frames))
+    if parallel and len(paths) > 1:
+        with ThreadPoolExecutor(max_workers=min(8, len(paths))) as pool:
+            list(pool.map(write, paths))
     else:
-        for name in frames:
+        for name in paths:
             write(name)
-    spark = next(iter(frames.values())).sparkSession if frames else None
-    if spark is not None:
-        spark.createDataFrame([(version,)], _POINTER).coalesce(1).write.mode("overwrite").json(f"{root}/CURRENT")
+    spark.createDataFrame([(len(done), version)], LOADS).coalesce(1).write.mode("append").parquet(f"{root}/loads")
     return paths
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    try:
-        row = spark.read.schema(_POINTER).json(f"{root}/CURRENT").first()
-    except AnalysisException:  # no pointer yet: nothing published
-        return None
-    return row["version"] if row else None
+def current_load(spark: SparkSession, root: str) -> str | None:
+    """The last visible load; None if nothing was published."""
+    done = published_loads(spark, root)
+    return done[-1] if done else None
 
 
 def read_current(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The published tables (empty ones when nothing was published yet)."""
-    version = current_version(spark, root)
-    if version is None:
-        return {n: empty_table(spark, n) for n in STAR_TABLES}
-    return {n: spark.read.schema(s).parquet(f"{root}/version={version}/{n}") for n, s in STAR_TABLES.items()}
+    done = published_loads(spark, root)
+    out = {}
+    for name, schema in STAR_TABLES.items():
+        loads = done[-1:] if name in WHOLE else done
+        paths = [f"{root}/{name}/load={v}" for v in loads]
+        out[name] = spark.read.schema(schema).parquet(*paths) if paths else empty_table(spark, name)
+    return out
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",

@@ -6,23 +6,24 @@ Source  : Kafka topic (``fmt="kafka"``) or a folder of JSON-lines files
 Parse   : ``from_json`` with a fixed schema, key-presence checks on the raw
           text, timestamp text -> ISO-8601 with a literal 'Z'.
 Sink    : ``foreachBatch`` writes good readings and quarantined messages
-          into ``batch_id=<n>`` partitions with dynamic overwrite, so a batch
+          into ``stream_id=<s>/batch_id=<n>`` partitions with dynamic overwrite, so a batch
           replayed after a failure replaces its own output (idempotent).
 Optional: ``dropDuplicatesWithinWatermark`` on (sensor_id, timestamp).
 """
 
 from __future__ import annotations
 
+import hashlib
+import time
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from citeloom.functions.dates import iso_utc_text, parse_sensor_timestamp
 from citeloom.operators.validate import split_quarantine
 from citeloom.schemas import SENSOR_MESSAGE
-from citeloom.session import scratch_path
 
 SENSOR_KEYS = ("sensor_id", "temperature", "humidity", "timestamp")
 READING_COLUMNS = ["sensor_id", "temperature", "humidity", "timestamp"]
@@ -34,6 +35,9 @@ def _reason(raw: Column, ts: Column) -> Column:
     expr = F.when(keys.isNull(), F.lit("malformed_or_not_an_object"))
     for k in SENSOR_KEYS:
         expr = expr.when(~F.array_contains(keys, F.lit(k)), F.lit(f"missing_{k}"))
+    for k in ("sensor_id", "temperature", "humidity"):
+        # A value that is there but not of its type would become NULL and pass.
+        expr = expr.when(F.col(f"m.{k}").isNull() & F.get_json_object(raw, f"$.{k}").isNotNull(), F.lit(f"bad_{k}"))
     return expr.when(ts.isNull(), F.lit("bad_timestamp"))
 
 
@@ -75,18 +79,22 @@ def read_sensor_stream(spark: SparkSession, fmt: str = "kafka", path: str | None
     return reader.load(path)
 
 
-def _batch_writer(sink_path: str, quarantine_path: str, es_options: Mapping[str, str] | None):
+def _batch_writer(sink_path: str, quarantine_path: str, es_options: Mapping[str, str] | None,
+                  stream_id: str = "0"):
     def write(batch: DataFrame, batch_id: int) -> None:
+        # Two writes of one micro-batch: without the cache the second one would run the
+        # batch, and its deduplication state, again.
         batch = batch.persist()
-        good, bad = split_quarantine(batch.withColumn("batch_id", F.lit(batch_id).cast("long")))
-        good = good.select(*READING_COLUMNS, "batch_id")
-        bad = bad.select("raw", "reject_reason", "batch_id")
+        good, bad = split_quarantine(batch.withColumns({
+            "stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("long")}))
+        good = good.select(*READING_COLUMNS, "stream_id", "batch_id")
+        bad = bad.select("raw", "reject_reason", "stream_id", "batch_id")
         for df, path in ((good, sink_path), (bad, quarantine_path)):
             (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(path))
+             .partitionBy("stream_id", "batch_id").parquet(path))
         if es_options:
             # Document id from (sensor_id, timestamp): a replay updates, not duplicates.
-            (good.drop("batch_id").withColumn("doc_id", F.concat_ws("|", "sensor_id", "timestamp"))
+            (good.drop("stream_id", "batch_id").withColumn("doc_id", F.concat_ws("|", "sensor_id", "timestamp"))
              .write.format("org.elasticsearch.spark.sql").options(**es_options)
              .option("es.mapping.id", "doc_id").option("es.mapping.exclude", "doc_id")
              .mode("append").save())
@@ -94,25 +102,66 @@ def _batch_writer(sink_path: str, quarantine_path: str, es_options: Mapping[str,
     return write
 
 
+class LateRows(StreamingQueryListener):
+    """Rows that deduplication dropped as later than the watermark, by query, over all batches.
+
+    ``query.recentProgress`` keeps the last reports only; a listener sees every one.
+    """
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        n = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        self.dropped[str(progress.runId)] = self.dropped.get(str(progress.runId), 0) + n
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+_LATE_ROWS = LateRows()
+_LISTENED: set[int] = set()
+
+
+def _listen(spark: SparkSession) -> None:
+    if id(spark) not in _LISTENED:
+        spark.streams.addListener(_LATE_ROWS)
+        _LISTENED.add(id(spark))
+
+
 def ingest_sensors(stream: DataFrame, sink_path: str, quarantine_path: str,
-                   checkpoint_location: str | None = None, source_tz: str | None = None,
+                   checkpoint_location: str, source_tz: str | None = None,
                    dedup_delay: str | None = None, available_now: bool = True,
                    processing_time: str | None = None,
                    es_options: Mapping[str, str] | None = None) -> StreamingQuery:
     """Start the ingest query (``availableNow`` drains what is there and stops).
 
+    ``checkpoint_location`` is where the query keeps its progress: the same
+    one on every restart, so that no message is read twice or lost. Output
+    lies below ``stream_id=<digest of it>/batch_id=<n>``: a replayed batch
+    replaces itself, and a stream with another checkpoint, whose batch numbers
+    start again, never touches it.
+
     ``dedup_delay`` (e.g. "10 minutes") drops a repeated (sensor_id,
-    timestamp) seen within that delay; rows later than the watermark are then
-    dropped as late and reported in ``numRowsDroppedByWatermark``.
+    timestamp) of valid readings seen within that delay; rejected messages pass
+    it by. Rows later than the watermark are then dropped as late and counted
+    (``dropped_late_rows``).
     """
-    spark = stream.sparkSession
+    if not checkpoint_location:
+        raise ValueError("checkpoint_location must name the stream's checkpoint folder")
+    _listen(stream.sparkSession)
     readings = parse_sensor_messages(stream, source_tz=source_tz)
     if dedup_delay:
-        readings = (readings.withWatermark("event_time", dedup_delay)
-                    .dropDuplicatesWithinWatermark(["sensor_id", "timestamp"]))
-    location = checkpoint_location or scratch_path(spark, "sensor-checkpoint")
-    writer = (readings.writeStream.foreachBatch(_batch_writer(sink_path, quarantine_path, es_options))
-              .option("checkpointLocation", location))
+        good, bad = split_quarantine(readings)
+        readings = (good.withWatermark("event_time", dedup_delay)
+                    .dropDuplicatesWithinWatermark(["sensor_id", "timestamp"]).unionByName(bad))
+    stream_id = hashlib.sha256(checkpoint_location.rstrip("/").encode()).hexdigest()[:16]
+    writer = (readings.writeStream.foreachBatch(_batch_writer(sink_path, quarantine_path, es_options, stream_id))
+              .option("checkpointLocation", checkpoint_location))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -120,15 +169,15 @@ def ingest_sensors(stream: DataFrame, sink_path: str, quarantine_path: str,
     return writer.start()
 
 
-def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows the dedup state dropped as later than the watermark, summed over
-    the query's recent progress reports (0 when no dedup runs)."""
-    total = 0
-    for progress in query.recentProgress:
-        for op in progress.get("stateOperators", []) if isinstance(progress, dict) else progress.stateOperators:
-            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
-            total += int(n or 0)
-    return total
+def dropped_late_rows(query: StreamingQuery, wait_s: float = 10.0) -> int:
+    """Rows that a finished run of the query dropped as later than the watermark, over all of its
+    batches (0 when no dedup runs). Waits for the last report."""
+    last = query.lastProgress
+    end = time.monotonic() + wait_s
+    while last is not None and str(query.runId) not in _LATE_ROWS.dropped and time.monotonic() < end:
+        time.sleep(0.1)
+    time.sleep(0.2)
+    return _LATE_ROWS.dropped.get(str(query.runId), 0)
 
 
 def reading_messages(readings: DataFrame, decimals: int | None = 2, stamp_now: bool = False) -> DataFrame:
@@ -144,7 +193,7 @@ def reading_messages(readings: DataFrame, decimals: int | None = 2, stamp_now: b
             cols.append((F.coalesce(F.col(c), now) if c in readings.columns else now).alias(c))
         elif c in readings.columns:
             cols.append(F.col(c))
-    return readings.select(F.to_json(F.struct(*cols)).alias("value"))
+    return readings.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def publish_readings(readings: DataFrame, fmt: str = "kafka", path: str | None = None,

@@ -13,13 +13,16 @@ JOURNAL_RE = "Published in:" + WS + r"*([^(\n]+)"
 STRIP_RE = "^" + WS + "+|" + WS + "+$"
 
 
-def _key12(c: str) -> str:
-    return f"lpad(CAST({c} AS VARCHAR), 12, '0')"
+def _key19(c: str) -> str:
+    return f"lpad(CAST({c} AS VARCHAR), 19, '0')"
 
 
+# JSON texts of the values that are false in the original's sense.
+FALSY = """('null', 'false', '0', '0.0', '""', '[]', '{}')"""
+
 PART_PUBS = f"""
 src AS (
-  SELECT {_key12('p_partkey')} AS _id, p_name AS title,
+  SELECT {_key19('p_partkey')} AS _id, p_name AS title,
          CASE WHEN p_size > 10 THEN p_type END AS doi,
          CASE WHEN p_size <= 45 THEN p_brand END AS publication_date
   FROM part)"""
@@ -27,7 +30,7 @@ src AS (
 # The orders x customer publications pushed through clean -> normalize -> star.
 STAR = f"""
 src AS (
-  SELECT {_key12('o.o_orderkey')} AS load_order, o.o_orderkey AS k,
+  SELECT {_key19('o.o_orderkey')} AS load_order, o.o_orderkey AS k,
          c.c_name || ' (' || o.o_orderpriority || ')' AS title,
          CASE WHEN o.o_orderstatus <> 'P' THEN 'doi:' || CAST(o.o_orderkey AS VARCHAR) END AS doi,
          [c.c_mktsegment, 'Clerk ' || CAST(o.o_orderkey % 10 AS VARCHAR)] AS authors,
@@ -110,7 +113,8 @@ o AS (
     '[{"année": "' || CAST(year(o_orderdate) AS VARCHAR) || '", "quartil": "Q' || CAST(o_orderkey % 4 + 1 AS VARCHAR)
     || '"}, {"année": "' || CAST(year(o_orderdate) + 1 AS VARCHAR) || '", "quartil": '
     || CASE WHEN o_orderstatus = 'F' THEN 'null' ELSE '"Q2"' END
-    || '}, {"année": "", "quartil": "Q3"}'
+    || '}, {"année": "", "quartil": "Q3"}, {"année": "1999", "quartil": 0.0}, {"année": 0, "quartil": "Q1"}, '
+    || '{"année": "1998", "quartil": []}'
     || CASE WHEN o_orderpriority = '5-LOW' THEN ', "junk"' ELSE '' END || ']' AS q
   FROM orders),
 c AS (
@@ -121,7 +125,7 @@ c AS (
 
 PART_QUARTILS = """
 p0 AS (
-  SELECT p_partkey, p_partkey % 9 AS shape,
+  SELECT p_partkey, p_partkey % 13 AS shape,
     CAST(p_size % 30 + 1990 AS VARCHAR) AS y1, CAST(p_size % 30 + 1991 AS VARCHAR) AS y2,
     CAST(p_size % 4 + 1 AS VARCHAR) AS qa, CAST(p_partkey % 4 + 1 AS VARCHAR) AS qb
   FROM part),
@@ -141,6 +145,11 @@ p AS (
     WHEN 7 THEN '[' || full1 || ', "tail"]'
     WHEN 8 THEN '[{"année": null, "quartil": "Q1"}, {"année": "' || y2 || '", "quartil": ""}, {"année": ' || y1
                 || ', "quartil": "Q4"}]'
+    WHEN 9 THEN '[''Ann'', ''Bo'']'
+    WHEN 10 THEN '[1] and [2]'
+    WHEN 11 THEN '["a"] x]'
+    WHEN 12 THEN '[' || full1 || ', {"année": "' || y2 || '", "quartil": 0}, {"année": 0, "quartil": "Q1"}, {"année": "' || y1
+                 || '", "quartil": false}, {"année": "' || y1 || '", "quartil": "0"}]'
     END AS q
   FROM p1),
 e AS (
@@ -163,6 +172,7 @@ d AS (
     WHEN o_orderpriority = '2-HIGH' THEN strftime(o_orderdate, '%-d %B %Y')
     WHEN o_orderpriority = '3-MEDIUM' THEN strftime(o_orderdate, '%-d %b %Y')
     WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'F' THEN '31 February ' || CAST(year(o_orderdate) AS VARCHAR)
+    WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN strftime(o_orderdate, '%-d %B %Y') || chr(10)
     WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Date of Publication: '
     ELSE lower(strftime(o_orderdate, '%-d %B %Y')) END AS raw
   FROM orders),
@@ -183,7 +193,7 @@ SELECT _id, title, doi, publication_date FROM ranked WHERE rn = 1""",
 
     "dedup_documents": f"""
 SELECT doc_id, lang, source, n_chars FROM (
-  SELECT *, row_number() OVER (PARTITION BY text ORDER BY {_key12('doc_id')}) AS rn FROM documents)
+  SELECT *, row_number() OVER (PARTITION BY text ORDER BY {_key19('doc_id')}) AS rn FROM documents)
 WHERE rn = 1""",
 
     "required_fields": """
@@ -220,8 +230,9 @@ FROM (SELECT page_id, 'Published in: ' || html AS line FROM pages)""",
 
     "publication_date": "WITH " + ORDER_DATES + """
 SELECT o_orderkey,
-  CASE WHEN txt = '' THEN NULL ELSE CAST(try_strptime(txt, '%d %B %Y') AS DATE) END AS publication_date,
-  CASE WHEN txt = '' THEN 'empty' WHEN try_strptime(txt, '%d %B %Y') IS NULL THEN 'reject' ELSE 'ok' END AS status
+  CASE WHEN txt = '' OR contains(txt, chr(10)) THEN NULL ELSE CAST(try_strptime(txt, '%d %B %Y') AS DATE) END AS publication_date,
+  CASE WHEN txt = '' THEN 'empty' WHEN contains(txt, chr(10)) OR try_strptime(txt, '%d %B %Y') IS NULL THEN 'reject'
+       ELSE 'ok' END AS status
 FROM t""",
 
     "quartile_from_score": f"""
@@ -258,8 +269,8 @@ FROM s""",
     "quartils_dispatch": "WITH " + PART_QUARTILS + """
 SELECT p_partkey, kind,
   CASE WHEN coalesce(len(cand), 0) > 0 THEN 'indexe' ELSE 'pas indexe' END AS journal_flag,
-  CAST(coalesce(len(list_filter(cand, lambda x: coalesce(x->>'année', '') <> ''
-                                AND coalesce(x->>'quartil', '') <> '')), 0) AS BIGINT) AS n_items,
+  CAST(coalesce(len(list_filter(cand, lambda x: CAST(x->'année' AS VARCHAR) NOT IN """ + FALSY + """
+                                AND CAST(x->'quartil' AS VARCHAR) NOT IN """ + FALSY + """)), 0) AS BIGINT) AS n_items,
   CASE WHEN coalesce(len(el), 0) = 0 THEN 'Non disponible'
        WHEN json_type(el[-1]) = 'OBJECT' AND list_contains(json_keys(el[-1]), 'quartil') THEN el[-1]->>'quartil'
        ELSE 'Non disponible' END AS last_quartil,
@@ -269,7 +280,7 @@ FROM c""",
     "filter_quartiles": "WITH " + ORDER_QUARTILS + """,
 u AS (SELECT o_orderkey, unnest(cand) AS x, unnest(range(len(cand))) AS pos FROM c)
 SELECT o_orderkey, CAST(pos AS BIGINT) AS pos, x->>'année' AS annee, x->>'quartil' AS quartil FROM u
-WHERE coalesce(x->>'année', '') <> '' AND coalesce(x->>'quartil', '') <> ''""",
+WHERE CAST(x->'année' AS VARCHAR) NOT IN """ + FALSY + """ AND CAST(x->'quartil' AS VARCHAR) NOT IN """ + FALSY,
 
     "last_quartile": "WITH " + ORDER_QUARTILS + """
 SELECT o_orderkey,
@@ -287,7 +298,7 @@ WITH ex AS (
 cand AS (
   SELECT c.c_name AS journal_main, 'ISSN-' || CAST(o.o_orderkey AS VARCHAR) AS issn,
          CASE WHEN o.o_orderstatus = 'F' THEN 'indexe' ELSE 'pas indexe' END AS quartils,
-         {_key12('o.o_orderkey')} AS load_order
+         {_key19('o.o_orderkey')} AS load_order
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
 fw AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY journal_main ORDER BY load_order) AS rn FROM cand)
        WHERE rn = 1),
@@ -302,7 +313,7 @@ WITH ex AS (
   SELECT row_number() OVER (ORDER BY author_name) AS author_id, author_name
   FROM (SELECT DISTINCT lower(p_type) AS author_name FROM part)),
 w AS (
-  SELECT {_key12('p_partkey')} AS load_order, unnest(string_split(p_name, ' ')) AS author_name,
+  SELECT {_key19('p_partkey')} AS load_order, unnest(string_split(p_name, ' ')) AS author_name,
          unnest(range(len(string_split(p_name, ' ')))) AS pos
   FROM part),
 fw AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY author_name ORDER BY load_order, pos) AS rn
@@ -316,7 +327,7 @@ SELECT (SELECT coalesce(max(author_id), 0) FROM ex) + row_number() OVER (ORDER B
     "upsert_quartile": f"""
 WITH r AS (
   SELECT CAST(year(o_orderdate) AS VARCHAR) AS annee, o_custkey AS id_journal, o_orderkey, o_orderstatus,
-         {_key12('o_orderkey')} AS load_order
+         {_key19('o_orderkey')} AS load_order
   FROM orders),
 tf AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY annee, id_journal ORDER BY o_orderkey) AS rn
                       FROM r WHERE o_orderstatus = 'F') WHERE rn = 1),
@@ -430,24 +441,78 @@ FROM (SELECT p_partkey, p_brand, unnest(string_split(p_name, ' ')) AS w,
 
     "sensor_batch": """
 SELECT CASE WHEN event_type = 'error' THEN NULL ELSE CAST(user_id AS INTEGER) END AS sensor_id,
-       CASE WHEN event_type = 'error' THEN NULL ELSE value END AS temperature,
+       CASE WHEN event_type = 'error' OR (event_type = 'purchase' AND user_id % 3 IN (0, 1)) THEN NULL
+            ELSE value END AS temperature,
        CASE WHEN event_type IN ('error', 'signup') THEN NULL ELSE value + 1.0 END AS humidity,
        CASE WHEN event_type IN ('error', 'click') THEN NULL ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS timestamp,
        CASE WHEN event_type = 'error' THEN 'malformed_or_not_an_object'
             WHEN event_type = 'signup' THEN 'missing_humidity'
+            WHEN event_type = 'purchase' AND user_id % 3 IN (0, 1) THEN 'bad_temperature'
             WHEN event_type = 'click' THEN 'bad_timestamp' END AS reject_reason
 FROM events""",
 
     "sensor_stream": """
-SELECT CAST(user_id AS INTEGER) AS sensor_id, value AS temperature, value + 1.0 AS humidity,
-       strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp
-FROM events WHERE event_type NOT IN ('error', 'signup', 'click')""",
+WITH m AS (
+  SELECT *, '{"sensor_id": ' || CAST(user_id AS VARCHAR) AS sid, ', "temperature": ' || CASE
+      WHEN event_type = 'purchase' AND user_id % 3 = 0 THEN '"hot"'
+      WHEN event_type = 'purchase' AND user_id % 3 = 1 THEN '"29.5"' ELSE CAST(value AS VARCHAR) END AS temp,
+    ', "humidity": ' || CAST(value + 1.0 AS VARCHAR) AS hum,
+    ', "timestamp": "' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"}' AS tss,
+    CASE WHEN event_type = 'error' THEN 'malformed_or_not_an_object'
+         WHEN event_type = 'signup' THEN 'missing_humidity'
+         WHEN event_type = 'purchase' AND user_id % 3 IN (0, 1) THEN 'bad_temperature'
+         WHEN event_type = 'click' THEN 'bad_timestamp' END AS reject_reason
+  FROM events)
+SELECT CASE WHEN reject_reason IS NULL THEN user_id END AS sensor_id,
+       CASE WHEN reject_reason IS NULL THEN value END AS temperature,
+       CASE WHEN reject_reason IS NULL THEN value + 1.0 END AS humidity,
+       CASE WHEN reject_reason IS NULL THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS timestamp,
+       CASE WHEN reject_reason IS NULL THEN NULL
+            WHEN event_type = 'error' THEN 'not json ' || CAST(event_id AS VARCHAR)
+            WHEN event_type = 'signup' THEN sid || temp || tss
+            WHEN event_type = 'click' THEN sid || temp || hum || ', "timestamp": "bad"}'
+            ELSE sid || temp || hum || tss END AS raw,
+       reject_reason
+FROM m""",
 
     "sensor_dedup_stream": """
-SELECT CAST(event_id AS INTEGER) AS sensor_id, value AS temperature, value + 1.0 AS humidity,
-       strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp
+SELECT event_id AS sensor_id, value AS temperature, value + 1.0 AS humidity,
+       strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, CAST(NULL AS VARCHAR) AS raw, CAST(NULL AS VARCHAR) AS reject_reason
+FROM events
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, 'broken ' || CAST(event_id AS VARCHAR), 'malformed_or_not_an_object'
+FROM events, range(2) WHERE event_type = 'error'
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, '{"sensor_id": ' || CAST(event_id AS VARCHAR)
+       || ', "temperature": "hot", "humidity": 1.0, "timestamp": "' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"}',
+       'bad_temperature'
+FROM events WHERE event_type = 'error'""",
+
+    "published_readings": """
+SELECT event_id AS sensor_id, CAST(round(round(value / 3, 2) * 100) AS BIGINT) AS hundredths,
+       CASE WHEN event_type <> 'signup' THEN round(value, 2) END AS humidity,
+       strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, true AS has_humidity, CAST(NULL AS VARCHAR) AS reject_reason
 FROM events""",
 
+    "journal_match_facts": """
+WITH n AS (SELECT p_type AS journal_main FROM part UNION SELECT upper(p_type) FROM part UNION SELECT lower(p_type) FROM part),
+d AS (SELECT row_number() OVER (ORDER BY journal_main) AS journal_id, journal_main FROM n),
+m AS (SELECT lower(journal_main) AS name, min(journal_id) AS journal_id FROM d GROUP BY 1)
+SELECT p_partkey, journal_id FROM part JOIN m ON lower(p_type) = name""",
+
+    "preview": _star("""
+SELECT load_order, title, journal_flag, reject_reason FROM arts ORDER BY load_order LIMIT 25"""),
+
+    "typed_parquet": f"""
+SELECT {_key19('o_orderkey')} AS load_order,
+  CASE WHEN o_orderkey % 7 <> 0 THEN c_mktsegment || '|Clerk ' || CAST(o_orderkey % 10 AS VARCHAR) ELSE '' END AS authors,
+  CASE WHEN o_orderstatus = 'F' THEN CAST(c_custkey AS VARCHAR) ELSE 'Non disponible' END AS issn,
+  CAST(CASE o_orderkey % 5 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS BIGINT) AS n_items,
+  CASE o_orderkey % 5 WHEN 0 THEN 'Q2' WHEN 1 THEN 'Q' || CAST(o_orderkey % 4 + 1 AS VARCHAR) ELSE 'Non disponible' END AS last_quartil,
+  CASE WHEN o_orderkey % 5 IN (0, 1) THEN 'indexe' ELSE 'pas indexe' END AS journal_flag,
+  CAST(NULL AS VARCHAR) AS reject_reason
+FROM orders JOIN customer ON o_custkey = c_custkey""",
+
     "salted_fact_load": _star("""
 SELECT f.publication_id, f.title, f.doi, f.publication_date, f.abstract, f.journal_id, j.journal_main, j.issn,
        j.quartils AS journal_flag, f.quartils
@@ -463,7 +528,7 @@ FROM good WHERE qshape IN (1, 2)"""),
 
     "journal_match_lower": f"""
 WITH c AS (
-  SELECT {_key12('p_partkey')} AS load_order,
+  SELECT {_key19('p_partkey')} AS load_order,
          CASE WHEN p_size % 2 = 0 THEN lower(p_type) ELSE p_type END AS journal_main,
          'I' || CAST(p_partkey AS VARCHAR) AS issn,
          CASE WHEN p_size > 25 THEN 'indexe' ELSE 'pas indexe' END AS quartils
@@ -476,3 +541,6 @@ SELECT row_number() OVER (ORDER BY load_order) AS journal_id, journal_main, issn
     "source_roundtrip_csv": "SELECT * FROM supplier",
     "source_roundtrip_parquet": "SELECT * FROM orders",
 }
+
+# Two loads of the same documents, once in memory and once through the published files.
+ORACLE_SQL["warehouse_two_loads"] = ORACLE_SQL["append_fact"]

@@ -1,16 +1,16 @@
-"""Scalar rules against a plain-Python brute force on generated inputs."""
+"""Scalar rules: written tables of input and expected value, and properties against Python's own
+``strptime``, ``float`` and ``str.strip``."""
 
 from __future__ import annotations
 
-import json
 import math
+from datetime import date, datetime
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import pyref
 from citeloom import functions as CF
 
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September",
@@ -21,72 +21,92 @@ def _one_col(spark, values, name="s"):
     return spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(name, T.StringType())]))
 
 
-DATE_CASES = [
-    "15 March 2023", "Date of Publication: 15 March 2023", "Date of Publication: ", "", None,
-    "15 Mar 2023", "31 February 2023", "29 February 2024", "29 February 2023", "5 march 2023",
-    "05 MARCH 2023", "15  March 2023", "15\tMarch 2023", " 15 March 2023", " 5 March 2023",
-    "15 March 2023 ", "15 March 23", "15 March 20231", "0 March 2023", "32 March 2023",
-    "1 January 0000", "1 January 0001", "15 March 2023", "Date of Publication: 1 May 1999",
-    "15 Sept 2023", "7 July 2020x", "Date of Publication: Date of Publication: 1 May 1999",
-]
+def _table(spark, cases, *cols):
+    """The rows of a table of cases by input text."""
+    return {r["s"]: r for r in _one_col(spark, list(cases)).select("s", *cols).collect()}
 
 
-def test_publication_date_matches_strptime(spark):
-    df = _one_col(spark, DATE_CASES).select(
-        "s", CF.parse_publication_date("s").alias("d"), CF.publication_date_rejected("s").alias("bad"))
-    got = {r["s"]: (r["d"], r["bad"]) for r in df.collect()}
-    for s in DATE_CASES:
-        assert got[s] == pyref.parse_date(s), s
+# text -> (date, rejected)
+DATES = {
+    "15 March 2023": (date(2023, 3, 15), False), "Date of Publication: 15 March 2023": (date(2023, 3, 15), False),
+    "Date of Publication: ": (None, False), "": (None, False), None: (None, False), "15 Mar 2023": (None, True),
+    "31 February 2023": (None, True), "29 February 2024": (date(2024, 2, 29), False), "29 February 2023": (None, True),
+    "5 march 2023": (date(2023, 3, 5), False), "05 MARCH 2023": (date(2023, 3, 5), False),
+    "15  March 2023": (date(2023, 3, 15), False), "15\tMarch 2023": (date(2023, 3, 15), False), " 15 March 2023": (None, True),
+    " 5 March 2023": (date(2023, 3, 5), False), "15 March 2023 ": (None, True), "15 March 23": (None, True),
+    "15 March 20231": (None, True), "0 March 2023": (None, True), "32 March 2023": (None, True), "1 January 0000": (None, True),
+    "1 January 0001": (date(1, 1, 1), False), "15 Sept 2023": (None, True), "7 July 2020x": (None, True),
+    "5 March 2023\n": (None, True), "5 March 2023\u2028": (None, True), "5 March 2023\r\n": (None, True),
+}
+
+
+def test_publication_dates(spark):
+    got = _table(spark, DATES, CF.parse_publication_date("s").alias("d"), CF.publication_date_rejected("s").alias("bad"))
+    for text, want in DATES.items():
+        assert (got[text]["d"], got[text]["bad"]) == want, repr(text)
 
 
 @settings(max_examples=20, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 40), st.sampled_from(MONTHS + ["Mar", "sept", "MAY"]),
-                          st.integers(0, 12000), st.sampled_from([" ", "  ", "\t", " "]),
-                          st.booleans()), min_size=1, max_size=20))
-def test_publication_date_property(spark, parts):
-    texts = []
-    for day, month, year, gap, lower in parts:
-        m = month.lower() if lower else month
-        texts.append(f"{day}{gap}{m} {year:04d}" if year < 10000 else f"{day} {m} {year}")
-    df = _one_col(spark, texts).select("s", CF.parse_publication_date("s").alias("d"),
-                                       CF.publication_date_rejected("s").alias("bad"))
-    for r in df.collect():
-        assert (r["d"], r["bad"]) == pyref.parse_date(r["s"]), r["s"]
-
-
-JOURNAL_CASES = [
-    "Published in: Deep Nets (part 1)", "Published in:Deep Nets", "Published in:   Spaces   ",
-    "Published in: (x) y", "Published in: ", "Published in: \nNext line", "Published in: A\nB (c)",
-    "Published in:  Nbsp Journal (1)", "Published in: Em space ", "no prefix here",
-    "xx Published in: Later (z)", "Published in: Tab\tinside (q)", "Published in: \x1ctrail\x1c",
-]
-
-
-def test_journal_name_matches_python_regex(spark):
-    df = _one_col(spark, JOURNAL_CASES).select("s", CF.extract_journal_name("s").alias("j"))
-    got = {r["s"]: r["j"] for r in df.collect()}
-    for s in JOURNAL_CASES:
-        assert got[s] == pyref.journal_name(s), repr(s)
+@given(st.lists(st.tuples(st.integers(0, 40), st.sampled_from([*MONTHS, "Mar", "sept", "MAY"]), st.integers(1, 12000),
+                          st.sampled_from([" ", "  ", "\t", "\u2003"]), st.sampled_from(["", "\n", " ", "."])),
+                min_size=1, max_size=20))
+def test_dates_agree_with_strptime(spark, parts):
+    texts = [f"{day}{gap}{month} {year:04d}{tail}" for day, month, year, gap, tail in parts]
+    for text, r in _table(spark, texts, CF.parse_publication_date("s").alias("d")).items():
+        try:
+            want = datetime.strptime(text, "%d %B %Y").date()
+        except ValueError:
+            want = None
+        assert r["d"] == want, repr(text)
+
+
+JOURNALS = {
+    "Published in: Deep Nets (part 1)": "Deep Nets", "Published in:Deep Nets": "Deep Nets", "Published in:   Spaces   ": "Spaces",
+    "Published in: (x) y": "", "Published in: ": "", "Published in: \nNext line": "Next line",
+    "Published in: A\nB (c)": "A", "Published in: \u00a0Nbsp Journal (1)": "Nbsp Journal", "Published in: Em space\u2003": "Em space",
+    "no prefix here": None, "xx Published in: Later (z)": "Later", "Published in: Tab\tinside (q)": "Tab\tinside",
+    "Published in: \x1ctrail\x1c": "trail",
+}
+
+
+def test_journal_names(spark):
+    got = _table(spark, JOURNALS, CF.extract_journal_name("s").alias("j"))
+    for line, want in JOURNALS.items():
+        assert got[line]["j"] == want, repr(line)
 
 
 @settings(max_examples=15, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from(list("ab (\n\t") + [" ", " ", "\x85"]),
-                        max_size=12), min_size=1, max_size=20))
-def test_journal_name_property(spark, titles):
-    lines = ["Published in: " + t for t in titles]
-    for r in _one_col(spark, lines).select("s", CF.extract_journal_name("s").alias("j")).collect():
-        assert r["j"] == pyref.journal_name(r["s"]), repr(r["s"])
+@given(st.lists(st.tuples(st.text(alphabet=st.sampled_from(list("ab \t\u00a0\u2003\x85")), max_size=8),
+                          st.sampled_from(["", "(rest)", "\nnext", "( a ( b"])), min_size=1, max_size=20))
+def test_journal_names_are_stripped_as_python_strips(spark, parts):
+    names = {"Published in: x" + name + tail: ("x" + name).strip() for name, tail in parts}
+    for line, r in _table(spark, names, CF.extract_journal_name("s").alias("j")).items():
+        assert r["j"] == names[line], repr(line)
+
 
+SCORES = {
+    "4": "Q1", "4.0": "Q1", "3.99": "Q2", "2": "Q2", "1": "Q3", "0": "Q4", "-1": "Q4", "nan": "Q4", "NaN": "Q4", " 2.5 ": "Q2",
+    "inf": "Q1", "-inf": "Q4", "Q2": "Q2", "4d": "4d", "1e1": "Q1", "1_000": "Q1", "1__0": "1__0", "_1": "_1", ".5": "Q4",
+    "5.": "Q1", "+3": "Q2", "": "", "  ": "  ", "0x10": "0x10", "1e": "1e", "Infinity": "Q1", None: None,
+}
 
-SCORE_TEXTS = ["4", "4.0", "3.99", "2", "1", "0", "-1", "nan", "NaN", " 2.5 ", "inf", "-inf", "Q2", "4d",
-               "1e1", "1_000", "1__0", "_1", ".5", "5.", "+3", "", "  ", "0x10", "1e", "Infinity", None]
 
+def test_scores_become_quartiles(spark):
+    got = _table(spark, SCORES, CF.normalize_quartile("s").alias("q"))
+    for text, want in SCORES.items():
+        assert got[text]["q"] == want, repr(text)
 
-def test_normalize_quartile_matches_python(spark):
-    df = _one_col(spark, SCORE_TEXTS).select("s", CF.normalize_quartile("s").alias("q"))
-    got = {r["s"]: r["q"] for r in df.collect()}
-    for s in SCORE_TEXTS:
-        assert got[s] == pyref.normalize_quartile(s), repr(s)
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("0123456789.+-e_ infaQ")), max_size=6), min_size=1, max_size=20))
+def test_texts_that_float_rejects_stay(spark, texts):
+    for text, r in _table(spark, texts, CF.normalize_quartile("s").alias("q")).items():
+        try:
+            float(text)
+        except ValueError:
+            assert r["q"] == text, repr(text)
+        else:
+            assert r["q"] in ("Q1", "Q2", "Q3", "Q4"), repr(text)
 
 
 def test_quartile_from_score_nan_and_null(spark):
@@ -102,65 +122,69 @@ def test_quartile_from_score_nan_and_null(spark):
             assert q == expect[x]
 
 
-SENSOR_TS = ["2024-01-02 03:04:05", "2024-1-2 3:4:5", "2024-01-02  03:04:05", "2024-01-02 03:04:60",
-             "2024-02-30 00:00:00", "bad", "", None, "2024-01-02T03:04:05", "0000-01-01 00:00:00",
-             "2024-01-02 03:04:05 ", "2024-01- 2 03:04:05", "2024-12-31 23:59:59"]
-
-
-def test_sensor_timestamp_matches_python(spark):
-    df = _one_col(spark, SENSOR_TS).select(
-        "s", CF.iso_utc_text(CF.parse_sensor_timestamp("s")).alias("iso"))
-    got = {r["s"]: r["iso"] for r in df.collect()}
-    for s in SENSOR_TS:
-        assert got[s] == pyref.sensor_iso(s), repr(s)
-
-
-def _raw_json_field(value):
-    """The text Spark's reader keeps for a JSON value read as STRING."""
-    if value is None:
-        return None
-    if isinstance(value, str):
-        return value
-    return json.dumps(value, ensure_ascii=False)
-
-
-ISSN_CASES = [{"Electronic ISSN": "1234"}, {"Print ISSN": "1"}, "5678", None, ["a"], "", {"Electronic ISSN": 77}]
-
-
-def test_issn_dispatch(spark):
-    texts = [_raw_json_field(v) for v in ISSN_CASES]
-    df = _one_col(spark, texts).select("s", CF.issn_value("s").alias("i"))
-    got = [r["i"] for r in df.collect()]
-    want = [pyref.issn(v) for v in ISSN_CASES]
-    assert [str(x) if x is not None else None for x in want] == got
-
-
-QUARTILS_CASES = [
-    [{"année": "2020", "quartil": "Q2"}, {"année": "2021", "quartil": "Q1"}],
-    [{"année": "2020"}, "x", {"année": "2021", "quartil": "Q3"}],
-    [], "Journal pas indexé Scopus", "other", {"année": "2020", "quartil": "Q1"},
-    [{"année": None, "quartil": "Q1"}], [{"année": 2020, "quartil": "Q4"}, "tail"],
-    '[{"année": "2019", "quartil": "Q2"}]', "[not json]", [{"année": "", "quartil": "Q1"}],
-    [{"année": "2018", "quartil": None}], [{"année": "2018"}], "",
-]
-
-
-def test_quartils_rules(spark):
-    texts = [_raw_json_field(v) for v in QUARTILS_CASES]
+TIMES = {
+    "2024-01-02 03:04:05": "2024-01-02T03:04:05Z", "2024-1-2 3:4:5": "2024-01-02T03:04:05Z",
+    "2024-01-02  03:04:05": "2024-01-02T03:04:05Z", "2024-01-02 03:04:60": None, "2024-02-30 00:00:00": None, "bad": None,
+    "": None, None: None, "2024-01-02T03:04:05": None, "0000-01-01 00:00:00": None, "2024-01-02 03:04:05 ": None,
+    "2024-01-02 03:04:05\n": None, "2024-01- 2 03:04:05": "2024-01-02T03:04:05Z", "2024-12-31 23:59:59": "2024-12-31T23:59:59Z",
+}
+
+
+def test_sensor_times(spark):
+    got = _table(spark, TIMES, CF.iso_utc_text(CF.parse_sensor_timestamp("s")).alias("iso"))
+    for text, want in TIMES.items():
+        assert got[text]["iso"] == want, repr(text)
+
+
+ISSNS = {
+    '{"Electronic ISSN": "1234"}': "1234", '{"Print ISSN": "1"}': "Non disponible", "5678": "5678", None: "Non disponible",
+    '["a"]': "Non disponible", "": "", '{"Electronic ISSN": 77}': "77", "['a']": "['a']",
+}
+
+
+def test_issns(spark):
+    got = _table(spark, ISSNS, CF.issn_value("s").alias("i"))
+    for text, want in ISSNS.items():
+        assert got[text]["i"] == want, repr(text)
+
+
+# text -> (kind, flag, items, last quartile, last item is no object)
+QUARTILS = {
+    '[{"année": "2020", "quartil": "Q2"}, {"année": "2021", "quartil": "Q1"}]':
+        ("list", "indexe", [("2020", "Q2"), ("2021", "Q1")], "Q1", False),
+    '[{"année": "2020"}, "x", {"année": "2021", "quartil": "Q3"}]': ("list", "indexe", [("2021", "Q3")], "Q3", False),
+    "[]": ("list", "pas indexe", [], "Non disponible", False),
+    "Journal pas indexé Scopus": ("string", "pas indexe", [], "Non disponible", False),
+    "other": ("string", "pas indexe", [], "Non disponible", False),
+    '{"année": "2020", "quartil": "Q1"}': ("object", "pas indexe", [], "Non disponible", False),
+    '[{"année": null, "quartil": "Q1"}]': ("list", "indexe", [], "Q1", False),
+    '[{"année": 2020, "quartil": "Q4"}, "tail"]': ("list", "indexe", [("2020", "Q4")], "Non disponible", True),
+    "[not json]": ("string", "pas indexe", [], "Non disponible", False),
+    "['Ann', 'Bo']": ("string", "pas indexe", [], "Non disponible", False),
+    "[{'année': '2020', 'quartil': 'Q1'}]": ("string", "pas indexe", [], "Non disponible", False),
+    "[1] and [2]": ("string", "pas indexe", [], "Non disponible", False),
+    '["a"] x]': ("string", "pas indexe", [], "Non disponible", False),
+    '["a"]] []': ("string", "pas indexe", [], "Non disponible", False),
+    '["a"], ["b"]': ("string", "pas indexe", [], "Non disponible", False),
+    '[{"année": "", "quartil": "Q1"}]': ("list", "indexe", [], "Q1", False),
+    '[{"année": "2018", "quartil": null}]': ("list", "indexe", [], None, False),
+    '[{"année": "2018"}]': ("list", "pas indexe", [], "Non disponible", False),
+    "": ("string", "pas indexe", [], "Non disponible", False),
+    '[{"année": "2018", "quartil": 0}, {"année": "2018", "quartil": 0.0}, {"année": 0, "quartil": "Q1"}, '
+    '{"année": "2018", "quartil": false}, {"année": "2018", "quartil": []}, {"année": "2018", "quartil": {}}, '
+    '{"année": "2018", "quartil": "0"}, {"année": "2018", "quartil": 0.5}, {"année": "2018", "quartil": true}]':
+        ("list", "indexe", [("2018", "0"), ("2018", "0.5"), ("2018", "true")], "true", False),
+}
+
+
+def test_quartils(spark):
     kind = CF.quartils_kind(F.col("s"))
     el = CF.decode_elements(F.when(kind == "list", CF.json_array_elements(F.col("s"))))
-    df = _one_col(spark, texts).select(
-        "s", kind.alias("kind"), CF.journal_flag(el).alias("flag"),
-        CF.quartile_items(el).alias("items"), CF.last_quartil(el).alias("last"),
-        CF.last_item_not_object(el).alias("last_bad"))
-    got = df.collect()
-    for value, r in zip(QUARTILS_CASES, got):
-        flag, items, last, lost = pyref.quartils_view(value)
-        assert r["flag"] == flag, value
-        assert [(i["annee"], i["quartil"]) for i in r["items"]] == items, value
-        assert r["last"] == (None if last is None else str(last)), value
-        strict_lost = (r["kind"] == "string" and r["s"] != "") or (r["kind"] == "list" and r["last_bad"])
-        assert strict_lost == lost, value
+    got = _table(spark, QUARTILS, kind.alias("kind"), CF.journal_flag(el).alias("flag"), CF.quartile_items(el).alias("items"),
+                 CF.last_quartil(el).alias("last"), CF.last_item_not_object(el).alias("last_bad"))
+    for text, want in QUARTILS.items():
+        r = got[text]
+        assert (r["kind"], r["flag"], [(i["annee"], i["quartil"]) for i in r["items"]], r["last"], r["last_bad"]) == want, text
 
 
 def test_authors_array(spark):
@@ -174,4 +198,4 @@ def test_json_roundtrip(spark):
     out = df.select("id", CF.from_json_text("props", "k long")["k"].alias("k"))
     assert sorted((r["id"], r["k"]) for r in out.collect()) == [(1, 5), (2, None)]
     enc = out.select(CF.to_json_text(F.col("id"), F.col("k"), name="j")).collect()
-    assert sorted(r["j"] for r in enc) == ['{"id":1,"k":5}', '{"id":2}']
+    assert sorted(r["j"] for r in enc) == ['{"id":1,"k":5}', '{"id":2,"k":null}']

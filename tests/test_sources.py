@@ -4,31 +4,29 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from citeloom.plans.pipeline import run_batch
 from citeloom.schemas import STAR_TABLES
-from citeloom.sources import (create_tables, current_version, explode_users, read_csv, read_current,
+from citeloom.sources import (create_tables, current_load, explode_users, publish_load, read_csv, read_current,
                               read_json_documents, read_publications, write_staging)
 
-USERS_DOC = {
-    "users": [{"id": 1, "name": "Ann", "email": "ann@example.com"},
-              {"id": 2, "name": "Bo", "email": "bo@example.com"},
-              {"id": 3, "name": "Cy", "email": "cy@example.com"}],
-    "settings": {"theme": "dark", "notifications": True, "language": "en"},
-    "metadata": {"version": "1.0", "generated_at": "2024-11-08T20:00:00Z"},
-}
+READERS = {"users": [{"id": 40 + i, "name": f"reader-{i}", "email": f"r{i}@library.test"} for i in range(2)],
+           "settings": {"theme": "sepia", "notifications": False, "language": "fr"},
+           "metadata": {"version": "7", "generated_at": "never"}}
 
 
 def test_multiline_document_and_explode(spark, tmp_path):
-    (tmp_path / "doc.json").write_text(json.dumps(USERS_DOC, indent=2))
-    docs = read_json_documents(spark, str(tmp_path / "doc.json"))
-    users = explode_users(docs).collect()
-    assert [(u["user_id"], u["user_name"], u["theme"]) for u in users] == [(1, "Ann", "dark"), (2, "Bo", "dark"), (3, "Cy", "dark")]
+    (tmp_path / "readers.json").write_text(json.dumps(READERS, indent=1))
+    rows = explode_users(read_json_documents(spark, str(tmp_path / "readers.json"))).collect()
+    assert sorted((r["user_pos"], r["user_id"], r["email"], r["theme"], r["language"]) for r in rows) == [
+        (0, 40, "r0@library.test", "sepia", "fr"), (1, 41, "r1@library.test", "sepia", "fr")]
 
 
 def test_csv_with_header(spark, tmp_path):
-    (tmp_path / "users.csv").write_text("id,name,email\n1,Ann,ann@example.com\n2,Bo,bo@example.com\n")
-    df = read_csv(spark, str(tmp_path / "users.csv"), "id int, name string, email string")
-    assert [tuple(r) for r in df.orderBy("id").collect()] == [(1, "Ann", "ann@example.com"), (2, "Bo", "bo@example.com")]
+    (tmp_path / "shelf.csv").write_text('code,title,copies\n7,"Rivers, a history",3\n9,Atlas,\n')
+    df = read_csv(spark, str(tmp_path / "shelf.csv"), "code int, title string, copies int")
+    assert sorted(tuple(r) for r in df.collect()) == [(7, "Rivers, a history", 3), (9, "Atlas", None)]
 
 
 def test_object_id_and_staging_overwrite(spark, tmp_path):
@@ -44,27 +42,90 @@ def test_object_id_and_staging_overwrite(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1
 
 
-def test_run_batch_publishes_versions(spark, tmp_path):
+def landing_of(tmp_path, n=6, extra="not json\n"):
     landing = tmp_path / "landing"
     landing.mkdir()
     docs = [{"_id": str(i), "Title": f"J{i % 2} (P{i})", "DOI": f"d{i}", "Authors": [f"a{i % 3}"],
              "Publication Date": "1 May 2020", "Quartils": [{"année": "2020", "quartil": f"Q{1 + i % 4}"}]}
-            for i in range(6)]
-    (landing / "a.json").write_text("\n".join(json.dumps(d, ensure_ascii=False) for d in docs) + "\nnot json\n")
-    wh = str(tmp_path / "warehouse")
+            for i in range(n)]
+    (landing / "a.json").write_text("\n".join(json.dumps(d, ensure_ascii=False) for d in docs) + "\n" + extra)
+    return str(landing)
+
+
+def state(spark, wh):
+    return {n: sorted(map(str, t.collect())) for n, t in read_current(spark, wh).items()}
+
+
+def test_loads_append(spark, tmp_path):
+    landing, wh = landing_of(tmp_path), str(tmp_path / "warehouse")
     create_tables(spark, wh, version="0")
-    assert current_version(spark, wh) == "0"
+    assert current_load(spark, wh) == "0"
     assert all(read_current(spark, wh)[n].count() == 0 for n in STAR_TABLES)
-    run_batch(spark, str(landing), wh, version="1")
-    assert current_version(spark, wh) == "1"
-    cur = read_current(spark, wh)
-    assert cur["fact_publication"].count() == 6 and cur["dim_journal"].count() == 2
-    rejected = spark.read.parquet(f"{wh}/version=1/quarantine_landing").collect()
+    run_batch(spark, landing, wh, version="1")
+    first = state(spark, wh)
+    assert len(first["fact_publication"]) == 6 and len(first["dim_journal"]) == 2 and len(first["journal_quartile"]) == 2
+    rejected = spark.read.parquet(f"{wh}/quarantine_landing/load=1").collect()
     assert [(r["value"], r["reject_reason"]) for r in rejected] == [("not json", "not_an_object")]
-    run_batch(spark, str(landing), wh, version="2", idempotent=True)
-    cur = read_current(spark, wh)
-    assert cur["fact_publication"].count() == 6
-    assert sorted(r["journal_id"] for r in cur["dim_journal"].collect()) == [1, 2]
+    run_batch(spark, landing, wh, version="2", idempotent=True)
+    assert state(spark, wh) == first
+    assert spark.read.parquet(f"{wh}/fact_publication/load=2").count() == 0  # a load writes its own rows only
+    run_batch(spark, landing, wh, version="3")
+    assert len(state(spark, wh)["fact_publication"]) == 12
+    assert spark.read.parquet(f"{wh}/fact_publication/load=3").count() == 6
+
+
+def test_a_published_load_is_refused_and_stays(spark, tmp_path):
+    landing, wh = landing_of(tmp_path), str(tmp_path / "warehouse")
+    run_batch(spark, landing, wh, version="1")
+    before = state(spark, wh)
+    with pytest.raises(ValueError, match="already published"):
+        run_batch(spark, landing, wh, version="1")
+    assert state(spark, wh) == before
+
+
+def test_a_load_that_died_between_tables_is_invisible_and_can_run_again(spark, tmp_path):
+    landing, wh = landing_of(tmp_path), str(tmp_path / "warehouse")
+    run_batch(spark, landing, wh, version="1")
+    before = state(spark, wh)
+    some = {n: t for n, t in read_current(spark, wh).items() if n in ("dim_author", "fact_publication")}
+    broken = some | {"dim_date": spark.range(1).selectExpr("assert_true(false) as x")}
+    with pytest.raises(Exception):
+        publish_load(broken, wh, "2", parallel=False)
+    assert state(spark, wh) == before and current_load(spark, wh) == "1"
+    run_batch(spark, landing, wh, version="2")
+    assert len(state(spark, wh)["fact_publication"]) == 12
+
+
+def test_a_lost_list_of_loads_raises(spark, tmp_path):
+    landing, wh = landing_of(tmp_path), tmp_path / "warehouse"
+    run_batch(spark, landing, str(wh), version="1")
+    (wh / "loads").rename(tmp_path / "lost")
+    with pytest.raises(RuntimeError, match="no list of loads"):
+        read_current(spark, str(wh))
+    (wh / "loads").mkdir()
+    with pytest.raises(RuntimeError, match="is empty"):
+        run_batch(spark, landing, str(wh), version="2")
+
+
+def test_typed_rows_equal_their_json_text(spark, tmp_path):
+    docs = [{"_id": "1", "Title": "A (j)", "DOI": "d1", "Authors": ["Ann", "Bo"], "Publication Date": "1 May 2020",
+             "ISSN": {"Electronic ISSN": "E1"}, "Quartils": [{"année": "2020", "quartil": "Q1"}, {"année": "2021", "quartil": None}]},
+            {"_id": "2", "Title": "B (j)", "DOI": "d2", "Authors": None, "Publication Date": "2 May 2020", "ISSN": None,
+             "Quartils": []}]
+    text = tmp_path / "json"
+    text.mkdir()
+    (text / "a.json").write_text("\n".join(json.dumps(d, ensure_ascii=False) for d in docs))
+    typed = spark.read.schema(
+        "_id string, Title string, DOI string, Authors array<string>, `Publication Date` string, "
+        "ISSN struct<`Electronic ISSN`:string>, Quartils array<struct<`année`:string,quartil:string>>").json(str(text))
+    for fmt in ("parquet", "orc"):
+        typed.write.format(fmt).save(str(tmp_path / fmt))
+    from citeloom.plans import normalize_publications
+    want, *got = (sorted(map(str, normalize_publications(read_publications(spark, str(tmp_path / f), fmt=f)).collect()))
+                  for f in ("json", "parquet", "orc"))
+    assert "reject_reason=None" in want[1] and "Ann" in want[0]
+    for rows in got:
+        assert rows == want
 
 
 def test_parquet_landing_and_non_null_mode(spark, tmp_path):

@@ -83,6 +83,36 @@ def test_dedup_within_watermark(spark, tmp_path):
     assert dropped_late_rows(q) == 0
 
 
+def test_rejects_pass_deduplication_by(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    broken = ["nonsense"] * 3 + ["{}"] * 2 + [json.dumps({"sensor_id": 1, "temperature": "hot", "humidity": 1.0,
+                                                         "timestamp": "2024-01-02 03:04:05"})] * 2
+    _write(src, "a.json", [*broken, _msg(1, 29.4), _msg(1, 29.4)])
+    _run(spark, src, out, ckpt, dedup_delay="1 hour")
+    assert [r[0] for r in _readings(spark, out)] == [1]
+    reasons = sorted(r["reject_reason"] for r in spark.read.parquet(f"{out}/quarantine").collect())
+    assert reasons == ["bad_temperature"] * 2 + ["malformed_or_not_an_object"] * 3 + ["missing_sensor_id"] * 2
+
+
+def test_mistyped_values_are_quarantined(spark):
+    cases = {'"hot"': "bad_temperature", '"29.5"': "bad_temperature", "null": None, "29": None, "[]": "bad_temperature"}
+    rows = [(k, f'{{"sensor_id": 3000000000, "temperature": {k}, "humidity": 1.5, "timestamp": "2024-01-02 03:04:05"}}') for k in cases]
+    rows.append(("id", '{"sensor_id": "s-7", "temperature": 1.0, "humidity": 1.5, "timestamp": "2024-01-02 03:04:05"}'))
+    got = parse_sensor_messages(spark.createDataFrame(rows, "k string, value string")).collect()
+    assert [r["reject_reason"] for r in got] == [*cases.values(), "bad_sensor_id"]
+    assert got[0]["sensor_id"] == 3000000000
+
+
+def test_a_new_checkpoint_never_replaces_stored_readings(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _write(src, "a.json", [_msg(1, 29.4), _msg(2, 29.5)])
+    _run(spark, src, out, str(tmp_path / "one"))
+    other = str(tmp_path / "in2")
+    _write(other, "b.json", [_msg(3, 29.6)])
+    _run(spark, other, out, str(tmp_path / "two"))
+    assert [r[0] for r in _readings(spark, out)] == [1, 2, 3]
+
+
 def test_source_timezone_conversion(spark):
     df = parse_sensor_messages(spark.createDataFrame([(_msg(1, 29.0, ts="2024-07-01 12:00:00"),)], "value string"),
                                source_tz="Europe/Paris")
@@ -97,6 +127,9 @@ def test_reading_messages_round_and_stamp(spark):
     assert len(msg["timestamp"]) == 19 and msg["timestamp"][10] == " "
     back = parse_sensor_messages(spark.createDataFrame([(json.dumps(msg),)], "value string")).collect()[0]
     assert back["reject_reason"] is None
+    missing = reading_messages(df.selectExpr("sensor_id", "temperature", "cast(null as double) as humidity", "'2024-01-02 03:04:05' as timestamp"))
+    assert json.loads(missing.collect()[0]["value"])["humidity"] is None
+    assert parse_sensor_messages(missing).collect()[0]["reject_reason"] is None
 
 
 def test_dedup_reports_rows_later_than_watermark(spark, tmp_path):
