@@ -20,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from citeloom import functions as CF  # noqa: E402
-from citeloom.operators import (assign_keys, keep_first, merge_last_wins, orphans,  # noqa: E402
+from citeloom.operators import (assign_keys, join_dimension, keep_first, merge_last_wins, orphans,  # noqa: E402
                                 required_reason, resolve_key, canonical_projection)
 from citeloom.plans import (clean_publications, index_share, load_star,  # noqa: E402
                             normalize_publications, publications_per_year, quartile_changes,
@@ -423,11 +423,11 @@ def q_typed_parquet(spark, sf_dir):
 
 
 def q_salted_fact_load(spark, sf_dir):
-    """fact_load with the fact-to-journal join salted over 8 buckets."""
+    """fact_load with both fact-to-journal joins, by name and by key, salted over 8 buckets."""
     t = star(spark, sf_dir, salt_buckets=8)
     f = t["fact_publication"]
     j = t["dim_journal"].select("journal_id", "journal_main", "issn", F.col("quartils").alias("journal_flag"))
-    return f.join(j, "journal_id").select("publication_id", "title", "doi", "publication_date", "abstract",
+    return join_dimension(f, j, "journal_id", salt_buckets=8, salt_by="publication_id").select("publication_id", "title", "doi", "publication_date", "abstract",
                                           "journal_id", "journal_main", "issn", "journal_flag", "quartils")
 
 

@@ -2,7 +2,8 @@
 
 from citeloom.operators.dedupe import drop_incomplete, keep_first, keep_last
 from citeloom.operators.dimension import lookup_or_insert
-from citeloom.operators.facts import append_rows, bridge_rows, not_loaded, orphans, resolve_key
+from citeloom.operators.facts import (append_rows, bridge_rows, join_dimension, not_loaded, orphans,
+                                      resolve_key)
 from citeloom.operators.keys import assign_keys, max_key
 from citeloom.operators.upsert import merge_last_wins
 from citeloom.operators.validate import (canonical_projection, first_reason, has_keys,
@@ -11,7 +12,7 @@ from citeloom.operators.validate import (canonical_projection, first_reason, has
 
 __all__ = [
     "append_rows", "assign_keys", "bridge_rows", "canonical_projection", "drop_incomplete",
-    "first_reason", "has_keys", "keep_first", "keep_last", "lookup_or_insert",
+    "first_reason", "has_keys", "join_dimension", "keep_first", "keep_last", "lookup_or_insert",
     "max_key", "merge_last_wins", "not_loaded", "orphans", "required_non_null_reason", "required_reason",
     "required_reason_from_keys", "resolve_key", "split_quarantine",
 ]

@@ -32,6 +32,10 @@ from citeloom.schemas import FACT_PUBLICATION, STAR_TABLES, empty_table
 from citeloom.session import scratch_path
 
 
+#: Identifies an article's row while a load runs; fixed when the articles are written.
+ROW_ID = "__row_id"
+
+
 class _Current(Mapping):
     """The tables before a load; missing ones are empty. Tables are asked for one at a time, so
     that a ``StarLoad`` given as the current state builds only those that are needed."""
@@ -100,16 +104,21 @@ def load_quartiles(articles: DataFrame, dim_journal: DataFrame, journal_quartile
 def keyed_publications(articles: DataFrame, dim_journal: DataFrame, fact_publication: DataFrame,
                        idempotent: bool = False, salt_buckets: int | None = None,
                        journal_match: str = "exact") -> DataFrame:
-    """New publications with their surrogate key (and their author list)."""
+    """New publications with their surrogate key (and their author list). ``articles`` are written
+    rows with their ``ROW_ID``."""
     good = articles.where(F.col("reject_reason").isNull())
     rows = resolve_key(good, dim_journal, "journal_name", "journal_main", "journal_id",
                        salt_buckets=salt_buckets, salt_by="load_order",
                        match=_matcher(journal_match)).select(
-        "load_order", "title", "doi", "publication_date", "link", "abstract", "journal_id",
+        ROW_ID, "load_order", "title", "doi", "publication_date", "link", "abstract", "journal_id",
         F.col("last_quartil").alias("quartils"), "authors")
     if idempotent:
         rows = not_loaded(rows, fact_publication, ["title", "doi"])
-    return assign_keys(rows, "publication_id", ["load_order"], after=fact_publication)
+    # Only the order travels through the range shuffle and the checkpoint; titles, abstracts and
+    # authors join their key afterwards. The row id parts repeated and missing load orders.
+    keys = assign_keys(rows.select(ROW_ID, "load_order"), "publication_id", ["load_order", ROW_ID],
+                       after=fact_publication)
+    return rows.join(keys.select(ROW_ID, "publication_id"), ROW_ID).drop(ROW_ID)
 
 
 def load_authors(keyed: DataFrame, dim_author: DataFrame) -> DataFrame:
@@ -163,8 +172,9 @@ class StarLoad(Mapping):
         with self._guard:
             if self._cached is None:
                 path = scratch_path(self._source.sparkSession, "articles")
-                self._source.write.parquet(path)
-                self._cached = self._source.sparkSession.read.schema(self._source.schema).parquet(path)
+                numbered = self._source.withColumn(ROW_ID, F.monotonically_increasing_id())
+                numbered.write.parquet(path)
+                self._cached = self._source.sparkSession.read.schema(numbered.schema).parquet(path)
             return self._cached
 
     def _get(self, name: str, build) -> DataFrame:
@@ -232,7 +242,7 @@ class StarLoad(Mapping):
             "publication_author": lambda: self._cur["publication_author"].unionByName(self._new_bridge()),
             "dim_date": lambda: self._inserted("dim_date")[0],
             "quarantine": lambda: (self._cached if self._cached is not None else self._source)
-            .where(F.col("reject_reason").isNotNull()),
+            .where(F.col("reject_reason").isNotNull()).drop(ROW_ID),
         }
         if name not in builders:
             raise KeyError(name)
