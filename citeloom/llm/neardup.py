@@ -11,14 +11,17 @@ borrow from another bucket chosen by a fixed probe sequence.
 2. Registers are banded, four to a band. Documents of a band bucket are
    candidates. With 32 bands, a pair at similarity 0.75 shares none with a
    chance of 5e-6.
-3. Buckets are not expanded to pairs. Each round takes a few pivots a bucket
-   and compares them with the members of other components; the registers give
-   a Jaccard estimate, corrected for chance register collisions, and pairs
-   that reach ``threshold - slack`` are verified on their full sets. Verified
-   links merge components. Rounds go on until every member outside the largest
-   component of its bucket has been a pivot there, so no pair of a bucket that
-   lies across components stays untested; pairs inside a component need no
-   test, as classes and components are the result.
+3. Buckets are not expanded to pairs. First, every member of a bucket is
+   compared with its first one. The registers give a Jaccard estimate, corrected
+   for chance register collisions; pairs within five standard deviations of the
+   threshold are verified on their full sets, and verified links merge
+   components. Left open are members outside the largest component of their
+   bucket. They are gathered by that component, and blocks of them, of bounded
+   size, meet the stream of all members of its buckets: registers first, then
+   full sets, best estimates first, until a member is linked to a component or
+   no candidate is left. Rounds go on while a largest component changes, so no
+   pair of a bucket that lies across components stays uncompared; pairs inside
+   a component need no comparison, as classes and components are the result.
 4. Verification streams: a pivot's set is followed by its partners' sets in
    one sorted partition. A pivot with many partners is dealt over several
    chunks, each of which gets the pivot's set. Memory: two sets.
@@ -53,12 +56,12 @@ REST_BITS = 64 - BUCKET_BITS
 MANTISSA_BITS = 10
 ROWS = 4
 BANDS = BUCKETS // ROWS
-#: Similarity in percent, and how far below it an estimate still leads to verification (over
-#: five standard deviations of 128 registers; short sets have fewer independent registers).
+#: Similarity in percent, and the standard deviations of an estimate by which it may miss it.
 PERCENT = 75
-SLACK = 0.35
-#: Pivots a bucket takes in the first rounds; later rounds take four times as many each.
-FIRST_PIVOTS = 4
+DEVIATIONS = 5
+#: Shingles of the open members in a block (8 bytes each), and members that a block meets in one task.
+BLOCK = 1 << 20
+STREAM = 16384
 #: Partners that share one copy of their pivot's set.
 CHUNK = 256
 #: Words whose hash a Python worker remembers.
@@ -168,6 +171,11 @@ def shared(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    both = shared(a, b)
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+
 SKETCH = "row_key long, id {id}, n_shingles long, digest binary, registers binary, bands array<bigint>"
 
 
@@ -217,16 +225,81 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
+def likely(agree: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether a pair with this share of equal registers may reach the threshold."""
+    small, large = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
+    filled = BUCKETS * (1 - np.exp(-small / BUCKETS))  # registers that are not borrowed
+    slack = DEVIATIONS * np.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / filled)
+    chance = chance_collision(n_a, n_b)
+    good = (agree - chance) / (1 - chance) >= PERCENT / 100 - slack
+    return good & (100 * small >= PERCENT * large)  # else the sizes alone rule it out
+
+
+def _registers(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
+
+
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        regs = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
-                for c in ("regs_a", "regs_b")]
-        sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
-        low = np.minimum(*sizes) * 100 >= np.maximum(*sizes) * PERCENT  # else the sizes rule it out
-        good = low & (estimate(*regs, *sizes) >= PERCENT / 100 - SLACK)
-        yield batch.select(["a", "b"]).filter(pa.array(good))
+        if batch.num_rows:
+            agree = (_registers(batch.column("regs_a")) == _registers(batch.column("regs_b"))).mean(axis=1)
+            good = likely(agree, batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy())
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+
+class _Block:
+    """Open members around a component, and the components each is linked to by now."""
+
+    def __init__(self):
+        self.nodes: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.registers: list[np.ndarray] = []
+        self.linked: list[set] = []
+
+    def add(self, nodes: list[int], comps: list[int], sets: list[np.ndarray], regs: np.ndarray) -> None:
+        self.nodes += nodes
+        self.sets += sets
+        self.registers += list(regs)
+        self.linked += [{c} for c in comps]
+
+    def meet(self, nodes: list[int], comps: np.ndarray, sets: list[np.ndarray], regs: np.ndarray
+             ) -> Iterator[tuple[int, int]]:
+        """Links found with these members, one for each component at most."""
+        sizes = np.array([len(x) for x in sets])
+        for node, own, own_regs, linked in zip(self.nodes, self.sets, self.registers, self.linked, strict=True):
+            other = np.flatnonzero(~np.isin(comps, list(linked)))
+            if not len(other):
+                continue
+            agree = (regs[other] == own_regs).mean(axis=1)
+            good = likely(agree, np.full(len(other), len(own)), sizes[other])
+            for i in other[good][np.argsort(-agree[good], kind="stable")].tolist():
+                comp = int(comps[i])
+                if comp not in linked and similar(own, sets[i]):
+                    linked.add(comp)
+                    yield node, nodes[i]
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by component, block and part of the stream, open members before the others."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    key, block = None, _Block()
+    for whole_batch in batches:
+        for at in range(0, whole_batch.num_rows, 1024):
+            batch = whole_batch.slice(at, 1024)
+            keys = np.stack([batch.column(c).to_numpy() for c in ("main", "block", "part", "kind")], axis=1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            regs = _registers(batch.column("registers"))
+            nodes, comps = batch.column("node").to_pylist(), batch.column("comp").to_numpy()
+            sets = [np.frombuffer(x, dtype=_U) for x in batch.column("set").to_pylist()]
+            found = []
+            for low, high in zip(cuts, cuts[1:], strict=False):
+                if tuple(keys[low][:3]) != key:
+                    key, block = tuple(keys[low][:3]), _Block()
+                if keys[low][3] == 0:
+                    block.add(nodes[low:high], comps[low:high].tolist(), sets[low:high], regs[low:high])
+                else:
+                    found += block.meet(nodes[low:high], comps[low:high], sets[low:high], regs[low:high])
+            yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found], schema=schema)
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,10 +312,8 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = np.frombuffer(row["set"], dtype=_U)
             if row["partner"] is None:
                 pivot, own = row["pivot"], s
-            elif row["pivot"] == pivot:
-                both = shared(own, s)
-                if 100 * both >= PERCENT * (len(own) + len(s) - both):
-                    out.append({"a": pivot, "b": row["partner"]})
+            elif row["pivot"] == pivot and similar(own, s):
+                out.append({"a": pivot, "b": row["partner"]})
         yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
@@ -265,15 +336,20 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         labels = new.select("node", "comp")
 
 
-def _link(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a pivot, b partner) that are similar on their full sets."""
+def _passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose registers let them reach the threshold."""
     for side in ("a", "b"):
         pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"),
                                         F.col("registers").alias(f"regs_{side}")), side)
-    likely = stored(pairs.select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
-                    .mapInArrow(_estimated, "a long, b long"), "likely")
-    chunks = likely.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    partners = (likely.join(chunks, "a")
+    return (pairs.select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
+            .mapInArrow(_estimated, "a long, b long"))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a pivot, b partner) that are similar on their full sets."""
+    pairs = stored(pairs, "pairs")
+    chunks = pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    partners = (pairs.join(chunks, "a")
                 .select(F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), "chunks").cast("int").alias("chunk"),
                         F.col("b").alias("partner"))
                 .join(sets.withColumnRenamed("node", "partner"), "partner")
@@ -288,6 +364,26 @@ def _link(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
             .mapInArrow(_verified, "a long, b long"))
 
 
+def _met_links(open_: DataFrame, stream: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) between open members and the other members around the same component.
+
+    Both come as (main, node, comp); ``nodes`` has the size, registers and set of every node.
+    """
+    sized = open_.join(nodes.select("node", "n_shingles"), "node")
+    shape = (stream.groupBy("main").agg(F.ceil(F.count("*") / STREAM).cast("int").alias("parts"))
+             .join(sized.groupBy("main").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks")), "main"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = (open_.join(shape, "main")
+            .select("main", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"),
+                    every("parts").alias("part"), F.lit(0).alias("kind"), "node", "comp")
+            .unionByName(stream.join(shape, "main").select(
+                "main", every("blocks").alias("block"), F.pmod(F.xxhash64("node", F.lit(1)), "parts").cast("int").alias("part"),
+                F.lit(1).alias("kind"), "node", "comp")))
+    return (rows.join(nodes, "node").select("main", "block", "part", "kind", "node", "comp", "registers", "set")
+            .repartition("main", "block", "part").sortWithinPartitions("main", "block", "part", "kind")
+            .mapInArrow(_met, "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row: id, row_key, n_shingles, node (its class), component, component_id.
 
@@ -306,19 +402,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .where("first <> last"))
     members = stored(banded.join(active.select("band", "first"), "band"), "members")
     ids = members.select("node").distinct()
-    busy = nodes.join(ids, "node", "left_semi")
+    found = nodes.join(ids, "node", "left_semi")
     texts = (docs.select(row_key(id_col, text_col).alias("row_key"),
                          F.col(text_col).cast("string").cast("binary").alias("t")))
-    sets = stored(texts.join(busy.select("row_key", "node", "digest"), "row_key")
+    sets = stored(texts.join(found.select("row_key", "node", "digest"), "row_key")
                   .select("node", "digest", "t").mapInArrow(_sets, "node long, set binary")
                   .dropDuplicates(["node"]), "sets")
-    nodes_busy = stored(busy.select("node", "n_shingles", "registers"), "busy")
+    busy = stored(found.select("node", "n_shingles", "registers"), "busy")
 
-    # First round: the first member of each bucket against the others.
     pairs = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    edges = stored(_link(pairs, nodes_busy, sets), "links")
-    tried = members.where("node = first").select("band", "node")
-    pivots = FIRST_PIVOTS
+    edges = stored(_linked(_passing(pairs, busy), sets), "links")
+    full = busy.join(sets, "node")
+    done = members.where("node = first").select("band", "node")
     while True:
         labels = components(edges, "round")
         placed = members.select("band", "node").join(labels, "node", "left").select(
@@ -327,21 +422,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         main = (counts.groupBy("band").agg(F.max(F.struct("n", "comp")).alias("main"), F.count("*").alias("comps"))
                 .where("comps > 1").select("band", F.col("main.comp").alias("main")))
         placed = stored(placed.join(main, "band"), "placed")
-        # Members outside the main component that have not been pivots in this bucket.
-        open_ = placed.where("comp <> main").join(tried, ["band", "node"], "left_anti")
-        left = open_.groupBy("band").agg(F.count("*").alias("left"), F.min("node").alias("least"))
-        chosen = stored(open_.join(left, "band").where(
-            (F.col("node") == F.col("least"))
-            | (F.pmod(F.xxhash64("node", F.lit(pivots)), F.ceil(F.col("left") / pivots)) == 0))
-            .select("band", "node", "comp"), "pivots")
-        if chosen.isEmpty():
+        # Members outside the largest component of their bucket that have not met it.
+        open_ = stored(placed.where("comp <> main").join(done, ["band", "node"], "left_anti"), "open")
+        if open_.isEmpty():
             break
-        pairs = (placed.select("band", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-                 .join(chosen.select("band", F.col("node").alias("a"), "comp"), "band")
-                 .where("comp <> comp_b").select("a", "b").distinct())
-        edges = stored(edges.union(_link(pairs, nodes_busy, sets)), "links")
-        tried = tried.union(chosen.select("band", "node"))
-        pivots *= 4
+        around = placed.join(open_.select("band").distinct(), "band", "left_semi")
+        edges = stored(edges.union(_met_links(*[x.select("main", "node", "comp").distinct() for x in (open_, around)],
+                                              full)), "links")
+        done = stored(done.union(open_.select("band", "node")), "done")
     linked = (classes.join(labels, "node", "left")
               .select("digest", "node", F.coalesce("comp", "node").alias("component"), "least"))
     smallest = linked.groupBy("component").agg(F.min("least").alias("component_id"))
