@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from citeloom.operators.dedupe import drop_incomplete, keep_first
 from citeloom.schemas import CLEAN_REQUIRED
@@ -12,7 +13,8 @@ from citeloom.schemas import CLEAN_REQUIRED
 
 def clean_publications(df: DataFrame, order: str = "dedupe_first", key: str = "Title",
                        order_by: Sequence[str] = ("_id",),
-                       required: Sequence[str] = CLEAN_REQUIRED) -> DataFrame:
+                       required: Sequence[str] = CLEAN_REQUIRED,
+                       observations: Mapping[str, Observation] | None = None) -> DataFrame:
     """One record per ``key`` (the lowest ``order_by`` survives), then drop
     records with a NULL in ``required``.
 
@@ -24,9 +26,34 @@ def clean_publications(df: DataFrame, order: str = "dedupe_first", key: str = "T
     to one row per map task, so it never lands whole in one task. (A separate
     ``key IS NOT NULL`` filter is not added: Catalyst would push it below the
     JSON decoding and decode every record twice.)
+
+    ``observations`` (``clean_observations()``) count the records before,
+    between and after the two steps in the job that writes the result.
     """
+    steps = {"dedupe": lambda d: keep_first(d, [key], list(order_by)),
+             "filter": lambda d: drop_incomplete(d, required)}
     if order == "dedupe_first":
-        return drop_incomplete(keep_first(df, [key], list(order_by)), required)
-    if order == "filter_first":
-        return keep_first(drop_incomplete(df, required), [key], list(order_by))
-    raise ValueError(f"unknown order {order!r}")
+        names = ("dedupe", "filter")
+    elif order == "filter_first":
+        names = ("filter", "dedupe")
+    else:
+        raise ValueError(f"unknown order {order!r}")
+
+    def counted(d: DataFrame, place: str) -> DataFrame:
+        return d.observe(observations[place], F.count(F.lit(1)).alias("n")) if observations else d
+
+    out = counted(df, "read")
+    out = counted(steps[names[0]](out), "between")
+    return counted(steps[names[1]](out), "kept")
+
+
+def clean_observations() -> dict[str, Observation]:
+    return {place: Observation() for place in ("read", "between", "kept")}
+
+
+def clean_counts(observations: Mapping[str, Observation], order: str = "dedupe_first") -> dict[str, int]:
+    """Records read, dropped as duplicates, dropped as incomplete, and kept: read = the other three."""
+    read, between, kept = (observations[p].get["n"] for p in ("read", "between", "kept"))
+    first, second = read - between, between - kept
+    repeated, incomplete = (first, second) if order == "dedupe_first" else (second, first)
+    return {"read": read, "duplicates": repeated, "incomplete": incomplete, "kept": kept}

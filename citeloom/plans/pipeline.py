@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.operators.validate import required_reason
-from citeloom.plans.clean import clean_publications
+from citeloom.plans.clean import clean_counts, clean_observations, clean_publications
 from citeloom.plans.normalize import normalize_publications
 from citeloom.plans.star import load_star
 from citeloom.sources.readers import read_publications, read_publications_text
@@ -18,12 +18,16 @@ from citeloom.session import scratch_path
 
 def stage_clean(spark: SparkSession, landing: str, staging: str | None = None, fmt: str = "json",
                 options: Mapping[str, str] | None = None, order: str = "dedupe_first",
-                required: str = "present") -> DataFrame:
+                required: str = "present", counts: dict[str, int] | None = None) -> DataFrame:
     """E1: clean the landing data and write it to a run-scoped staging path,
-    then read it back (the staging file cuts the lineage)."""
+    then read it back (the staging file cuts the lineage). ``counts`` is filled
+    with the records read, dropped (duplicates, incomplete) and kept."""
     raw = read_publications(spark, landing, fmt=fmt, options=options, required=required)
-    cleaned = clean_publications(raw, order=order)
+    seen = clean_observations()
+    cleaned = clean_publications(raw, order=order, observations=seen)
     path = write_staging(cleaned, staging or scratch_path(spark, "staging"))
+    if counts is not None:
+        counts.update(clean_counts(seen, order))
     return spark.read.schema(cleaned.schema).parquet(path)
 
 

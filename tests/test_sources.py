@@ -74,6 +74,18 @@ def test_loads_append(spark, tmp_path):
     assert spark.read.parquet(f"{wh}/fact_publication/load=3").count() == 6
 
 
+@pytest.mark.parametrize("order, duplicates, incomplete, kept", [("dedupe_first", 2, 1, 2), ("filter_first", 1, 2, 2)])
+def test_clean_counts_add_up(spark, tmp_path, order, duplicates, incomplete, kept):
+    docs = [("1", "A", "d"), ("2", "A", "d"), ("3", "B", "d"), ("4", "C", None), ("5", "C", None)]
+    (tmp_path / "a.json").write_text("\n".join(json.dumps(
+        {"_id": i, "Title": t, "DOI": d, "Authors": [], "Publication Date": "1 May 2020"}) for i, t, d in docs))
+    from citeloom.plans.pipeline import stage_clean
+    counts = {}
+    staged = stage_clean(spark, str(tmp_path / "a.json"), order=order, counts=counts)
+    assert counts == {"read": 5, "duplicates": duplicates, "incomplete": incomplete, "kept": kept}
+    assert staged.count() == kept
+
+
 def test_a_published_load_is_refused_and_stays(spark, tmp_path):
     landing, wh = landing_of(tmp_path), str(tmp_path / "warehouse")
     run_batch(spark, landing, wh, version="1")
