@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import classifier, decontam, licenses, mixing, neardup, pii, quality, secrets, sharding, urls
-from .common import read_table
+from .common import LOWER, UPPER, read_table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,4 +63,78 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+UPPER_LOWER = f"'{UPPER}', '{LOWER}'"
+BLANK_WORDS = r"regexp_extract_all({x}, '[^\x20\x09-\x0D]+')"
+ALNUM_WORDS = r"regexp_extract_all(translate(coalesce({x}, ''), " + UPPER_LOWER + r"), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_PHRASES = " OR ".join(f"contains(lower(l), '{p}')" for p in quality.BOILERPLATE)
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, {BLANK_WORDS.format(x='t')} AS w FROM d),
+g AS (SELECT r, unnest(range(len(w) - 2)) AS i, w FROM w WHERE len(w) > 2),
+h AS (SELECT r, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS gram FROM g),
+twice AS (SELECT r, i FROM (SELECT *, count(*) OVER (PARTITION BY r, gram) AS n FROM h) WHERE n > 1),
+repeated AS (SELECT r, count(DISTINCT i + j) AS n FROM twice, range(3) AS x(j) GROUP BY r),
+lines AS (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d),
+parts AS (
+  SELECT r, l, len({BLANK_WORDS.format(x='l')}) AS n,
+         len(regexp_extract_all(l, '{quality.MARK_RUN}')) AS marks,
+         len(regexp_extract_all(l, '{quality.SEPARATOR}')) AS seps FROM lines),
+judged AS (
+  SELECT *, (marks >= 2 AND marks * 100 > n * {quality.MARK_PERCENT})
+         OR (n >= {quality.BARE_WORDS} AND NOT regexp_matches(l, '\p{{P}}'))
+         OR (seps >= 2 AND seps * 100 > n * {quality.SEPARATOR_PERCENT})
+         OR (n <= {quality.BOILERPLATE_WORDS} AND ({_PHRASES})) AS bad FROM parts),
+by_doc AS (
+  SELECT r, count(*) FILTER (n > 0) - count(DISTINCT l) FILTER (n > 0) AS n_dup_lines, count(*) FILTER (bad) AS n_bad_lines,
+         coalesce(sum(length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g'))) FILTER (bad), 0) AS lost
+  FROM judged GROUP BY r),
+m AS (
+  SELECT w.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, n_dup_lines, coalesce(x.n, 0) AS n_repeat_words,
+         n_bad_lines, lost
+  FROM w JOIN by_doc USING (r) LEFT JOIN repeated x USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+         AND lost * 100 <= word_chars * {quality.LOST_PERCENT} AS kept, n_bad_lines, CAST(lost AS BIGINT) AS lost_chars
+FROM m""",
+
+    "op8_minhash_neardup": rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         {BLANK_WORDS.format(x=f"translate(coalesce(text, ''), {UPPER_LOWER})")} AS w FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS x
+  FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+  UNION ALL SELECT r, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+links AS (
+  SELECT p.a, p.b FROM (
+    SELECT s.r AS a, o.r AS b, count(*) AS both_ FROM s JOIN s AS o ON s.x = o.x AND s.r <> o.r GROUP BY ALL) AS p
+  JOIN n AS na ON na.r = p.a JOIN n AS nb ON nb.r = p.b
+  WHERE 100 * both_ >= 75 * (na.n + nb.n - both_)),
+reach(a, b) AS (SELECT r, r FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+low AS (SELECT reach.a AS r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY 1)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN low USING (r) LEFT JOIN n USING (r)""",
+
+    "op10_decontamination": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {ALNUM_WORDS.format(x='text')} AS w FROM documents),
+b AS (SELECT item_id, w, least(len(w), 10) AS k FROM (SELECT item_id, {ALNUM_WORDS.format(x='text')} AS w FROM benchmark)
+      WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS x
+       FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM b)),
+dw AS (SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS x
+       FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM b) WHERE len(w) >= k)),
+hits AS (SELECT dw.r, dw.i, dw.k, bw.item_id FROM dw JOIN bw ON dw.x = bw.x AND dw.k = bw.k),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hits) GROUP BY r),
+items AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT r, item_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+}
