@@ -69,6 +69,57 @@ ALNUM_WORDS = r"regexp_extract_all(translate(coalesce({x}, ''), " + UPPER_LOWER
 
 _PHRASES = " OR ".join(f"contains(lower(l), '{p}')" for p in quality.BOILERPLATE)
 
+
+
+def _url_sql() -> str:
+    """The URL filter: rules, generalised segments, one pair of steps a level of the tree, purity."""
+    rules = sorted(urls.RULES, key=lambda r: (len(r[0]) + len(r[1]), len(r[0])), reverse=True)
+    fits = [f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))" for h, p, _ in rules]
+    rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (h, p, _) in zip(fits, rules, strict=True))
+    verdict = " ".join(f"WHEN {f} THEN '{v}'" for f, (_, _, v) in zip(fits, rules, strict=True))
+    ext = r"regexp_extract(s, '(\.[A-Za-z][A-Za-z0-9]{0,4})$', 1)"
+    stem = r"regexp_replace(s, '\.[A-Za-z][A-Za-z0-9]{0,4}$', '')"
+    general = rf"""CASE WHEN regexp_matches({stem}, '^[0-9]+$') THEN '{{n}}' || {ext}
+      WHEN regexp_matches({stem}, '^[0-9]{{4}}-[0-9]{{2}}(-[0-9]{{2}})?$') THEN '{{date}}' || {ext}
+      WHEN regexp_matches({stem}, '[0-9]') AND regexp_matches({stem}, '^[0-9a-fA-F-]{{8,}}$') THEN '{{hex}}' || {ext}
+      WHEN regexp_matches({stem}, '[0-9]') AND regexp_matches({stem}, '^[A-Za-z0-9_-]{{16,}}$') THEN '{{id}}' || {ext}
+      WHEN regexp_matches({stem}, '^[A-Za-z_-]+[0-9]+$') THEN regexp_extract({stem}, '^([A-Za-z_-]+)', 1) || '{{n}}' || {ext}
+      ELSE s END"""
+    url = r"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)'"
+    levels = ""
+    for k in range(urls.DEPTH + 1):
+        levels += f""",
+c{k} AS (SELECT host, template, segs[{k + 1}] AS child, sum(n) AS n, sum(a) AS a, sum(b) AS b FROM t{k}
+  WHERE len(segs) > {k} GROUP BY ALL),
+q{k} AS (SELECT *, count(*) OVER p AS children, sum(n) OVER p AS pages, sum(a) OVER p AS aa, sum(b) OVER p AS bb FROM c{k}
+  WINDOW p AS (PARTITION BY host, template)),
+z{k} AS (SELECT *, (b + 1) / (a + b + 2) AS s1, (bb - b + 1) / (aa + bb - a - b + 2) AS s2, (bb + 2) / (aa + bb + 4) AS s FROM q{k}),
+n{k} AS (SELECT host, template, child, CASE
+    WHEN children >= {urls.VARIABLE_CHILDREN} AND pages < children * {urls.REPEATS} THEN '*'
+    WHEN a + b > 0 AND aa + bb - a - b > 0 AND abs(s1 - s2) <= {urls.NEAR}
+     AND abs(s1 - s2) <= {urls.Z} * sqrt(s * (1 - s) * (1 / (a + b + 2) + 1 / (aa + bb - a - b + 2))) THEN '*'
+    ELSE child END AS name FROM z{k}),
+t{k + 1} AS (SELECT t.host, segs, n, a, b, CASE WHEN name IS NULL THEN t.template ELSE t.template || '/' || name END AS template
+  FROM t{k} t LEFT JOIN n{k} x ON x.host = t.host AND x.template = t.template AND x.child = t.segs[{k + 1}])"""
+    last = f"t{urls.DEPTH + 1}"
+    return f"""
+WITH u AS (
+  SELECT row_number() OVER () AS r, page_id, translate({url}, 1), {UPPER_LOWER}) AS host, {url}, 2) AS path FROM pages),
+j AS (SELECT *, CASE {rule} END AS rule, CASE {verdict} END AS by_rule,
+        list_filter(string_split(path, '/'), lambda s: s <> '') AS parts FROM u),
+g AS (SELECT r, page_id, host, path, rule, by_rule,
+        list_transform(parts[1:{urls.DEPTH}], lambda s: {general})
+        || CASE WHEN len(parts) > {urls.DEPTH} THEN ['**'] ELSE [] END AS segs FROM j),
+t0 AS (SELECT host, segs, count(*) AS n, count(*) FILTER (by_rule = 'allow') AS a, count(*) FILTER (by_rule = 'block') AS b,
+        '' AS template FROM g GROUP BY host, segs){levels},
+f AS (SELECT host, template, sum(a) AS a, sum(b) AS b FROM {last} GROUP BY ALL),
+h AS (SELECT host, (sum(b) + 1) / (sum(a) + sum(b) + 2) AS hp FROM f GROUP BY host),
+v AS (SELECT f.host, template, (b + {urls.HOST_LABELS} * hp) / (a + b + {urls.HOST_LABELS}) AS purity FROM f JOIN h USING (host))
+SELECT page_id, g.host, path, rule, coalesce(by_rule, CASE WHEN purity >= {urls.REJECT} THEN 'block' ELSE 'allow' END) AS verdict,
+       x.template, purity
+FROM g JOIN {last} x ON x.host = g.host AND x.segs = g.segs JOIN v ON v.host = x.host AND v.template = x.template"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": rf"""
 WITH d AS (
@@ -137,4 +188,5 @@ items AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(id, ',' ORDER
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+    "op5_url_filter": _url_sql(),
 }

@@ -139,7 +139,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, path: str |
 
 def sharding_digest(docs: DataFrame) -> DataFrame:
     """The digest of ``op3``: one row per document; sizes of the shards are nearly equal."""
-    return shard(docs.select("doc_id", "text")).select(
-        "doc_id", "size", F.crc32(whole(F.col("text")).cast("binary")).alias("text_crc32"),
-        F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"), "vslot")
+    # The checksum is taken before the shuffle, so that the text stays behind.
+    summed = docs.select("doc_id", "text", F.crc32(whole(F.col("text")).cast("binary")).alias("text_crc32"))
+    return shard(summed).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "vslot")
