@@ -154,7 +154,11 @@ def keep_clean(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
 
     ``n_chars``, where there is such a column, is set to the length of the new text.
     """
-    d = annotate(docs, text_col, out="__quality", **options).where("__quality.kept")
+    d = annotate(docs, text_col, out="__quality", **options)
+    # The row number makes the value one that filters are not pushed through. Pushed down, the
+    # verdict would be spelled out below the steps that compute it, line rules inside line loops.
+    d = d.withColumn("__quality", F.when(F.monotonically_increasing_id() >= 0, F.col("__quality")))
+    d = d.where("__quality.kept")
     cols = [F.col("__quality.cleaned").alias(c) if c == text_col
             else F.char_length("__quality.cleaned").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
             else F.col(f"`{c}`") for c in docs.columns]
