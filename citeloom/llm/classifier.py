@@ -41,7 +41,8 @@ PART = 64
 #: Bounds of the training sample.
 TRAIN_ROWS = 3000
 TRAIN_CHUNKS = 10
-EPOCHS = 8
+#: Batches to learn from: eight passes over the full sample, more over a smaller one.
+STEPS = 376
 BATCH = 64
 RATE = 0.01
 SEED = 7
@@ -146,14 +147,14 @@ class Network:
         return {"filters": gf, "bias": gr.sum(axis=0), "w1": v.T @ gh, "b1": gh.sum(axis=0), "w2": h.T @ g,
                 "b2": np.array([g.sum()])}
 
-    def fit(self, docs: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, rate: float = RATE,
+    def fit(self, docs: list[np.ndarray], y: np.ndarray, steps: int = STEPS, rate: float = RATE,
             seed: int = SEED) -> Network:
         """Adam over shuffled batches; reruns agree."""
         r = np.random.default_rng(seed)
         m = {k: np.zeros_like(x) for k, x in self.p.items()}
         s = {k: np.zeros_like(x) for k, x in self.p.items()}
         t = 0
-        for _ in range(epochs):
+        while t < steps:
             order = r.permutation(len(docs))
             for low in range(0, len(docs), BATCH):
                 pick = order[low:low + BATCH]
