@@ -65,7 +65,7 @@ STREAM = 16384
 #: Partners that share one copy of their pivot's set.
 CHUNK = 256
 #: Words whose hash a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 
 _U = np.uint64
 _COEFFICIENTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -189,6 +189,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     schema = None
     for batch in batches:
+        # An idle worker keeps what its allocator holds: give it back between batches.
+        pa.default_memory_pool().release_unused()
         schema = schema or pa.schema([("row_key", pa.int64()), ("id", batch.schema.field("id").type),
                                       ("n_shingles", pa.int64()), ("digest", pa.binary()),
                                       ("registers", pa.binary()), ("bands", pa.list_(pa.int64()))])

@@ -132,8 +132,11 @@ def annotate(docs: DataFrame, text_col: str = "text", out: str = "quality",
     })
     n, chars, rep = F.col("__q_n"), F.col("__q_chars"), F.col("__q_repeated")
     clean = F.col("__q_clean")
+    # The row number makes this a step that filters are not pushed through. Pushed down, a filter
+    # on the verdict would spell the steps below out again, line rules inside line loops.
     d = d.withColumns({
-        "__q_failed": (n < min_words) | (rep * 100 > n * repeat_percent),
+        "__q_failed": F.when(F.monotonically_increasing_id() >= 0,
+                             (n < min_words) | (rep * 100 > n * repeat_percent)),
         "__q_lost": F.when(F.exists(bad, lambda b: b), chars - _letters(clean)).otherwise(F.lit(0)).cast("long"),
         "__q_dup": (F.size("__q_worded") - F.size(F.array_distinct("__q_worded"))).cast("long"),
     })
@@ -155,9 +158,6 @@ def keep_clean(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     ``n_chars``, where there is such a column, is set to the length of the new text.
     """
     d = annotate(docs, text_col, out="__quality", **options)
-    # The row number makes the value one that filters are not pushed through. Pushed down, the
-    # verdict would be spelled out below the steps that compute it, line rules inside line loops.
-    d = d.withColumn("__quality", F.when(F.monotonically_increasing_id() >= 0, F.col("__quality")))
     d = d.where("__quality.kept")
     cols = [F.col("__quality.cleaned").alias(c) if c == text_col
             else F.char_length("__quality.cleaned").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
