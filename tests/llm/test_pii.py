@@ -77,5 +77,37 @@ def test_texts_are_sanitised(spark):
     assert got[105] == "reach the shore quickly, w5b; nothing else" and got[201] == ""
 
 
+def far_off(spark):
+    """Emails three in a hundred documents; ``passholder`` far from them, or without one; ``vaultkey`` is rare."""
+    rows = [(i, f"Passholder {'and then more ' * 20} user{i}@mail.org {'so on and ' * 20} PASSHOLDER"
+             + (" vaultkey" if i < 4 else "")) for i in range(30)]
+    rows += [(100 + i, f"and then more so on {'shore' if i % 2 else 'reach'}") for i in range(970)]
+    return spark.createDataFrame([*rows, (2000, "a passholder without an address")], "doc_id long, text string")
+
+
+def test_disclosing_terms_are_marked_at_any_distance(spark):
+    docs = far_off(spark)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: [texts[r.doc_id][int(s):int(e)] for k, s, e in (x.split(":") for x in r.spans.split(",") if x)
+                      if k == "term"] for r in pii.pii_digest(docs).collect()}
+    assert got[3] == ["Passholder", "PASSHOLDER", "vaultkey"] and got[4] == ["Passholder", "PASSHOLDER"]
+    assert got[100] == got[101] == []
+
+
+def test_texts_without_an_entity_are_sanitised(spark):
+    got = {r.id: r.text for r in pii.sanitised(far_off(spark)).collect()}
+    assert got[2000] == "a  without an address" and got[100] == "and then more so on reach"
+    assert "asshol" not in got[3] and "PASS" not in got[3] and "vaultkey" not in got[3] and "and then more" in got[3]
+
+
+def test_terms_outside_spans_match_word_by_word():
+    for _, text in LINES:
+        text += " Größe@a.b x1@mail.org-und Wort é49 mail.Wort +49 30 1234567 Ende"
+        spans = pii.entities(text)
+        words = [m for m in pii.WORD.finditer(text) if not any(s < m.end() and m.start() < e for s, _, e in spans)]
+        want = {m[0].encode().lower() for m in words if len(m[0]) >= pii.TERM_LENGTH and not re.search("[0-9]", m[0])}
+        assert pii.terms_outside(text, spans) == want
+
+
 def test_empty_table(spark):
     assert pii.pii_digest(empty(spark)).count() == 0
