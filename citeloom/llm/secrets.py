@@ -1,8 +1,11 @@
 """Secret scan: candidate strings judged by a random forest.
 
-Candidates are runs of token characters that are long enough, hold a digit or
-follow a key word, and strings with the form of well-known credentials. A
-forest then removes false positives by each candidate's length, its character
+Candidates are runs of token characters that are long enough and hold a digit or
+follow a key word (a key name and its value part at ``=``), strings with the form
+of well-known credentials wherever they stand, whole values that are assigned to
+a key word, whatever their characters and length, and the password of
+``user:password@host``. Candidates may overlap; of secrets that do, one inside
+another is left out. A forest then removes false positives by each candidate's length, its character
 classes and transitions between them, its dictionary coverage, the path it
 stands in and its neighbouring words.
 
@@ -12,7 +15,7 @@ that are at least as common as chance would make them is its coverage.
 
 The forest learns from labelled findings (id, start, end, label) where they are
 given. Without them, clear cases label themselves: strings in the form of a
-credential, or quoted after ``key =``, are secrets; digit-only strings, words, numbers and
+credential, passwords before ``@host``, and values after ``key =`` are secrets; digit-only strings, words, numbers and
 addresses without a key word are not. At most ``TRAIN_FINDINGS`` findings, by
 hash, are used: a bounded, documented sample.
 
@@ -36,14 +39,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"[A-Za-z0-9_+/=.@-]{12,}")
+TOKEN = re.compile(r"[A-Za-z0-9_+/.@-]{12,}(?:={1,2}(?![A-Za-z0-9_+/=.@-]))?")
 HAS_DIGIT = re.compile(r"[0-9]")
 KEY = re.compile(r"(?i)(token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key)")
-ASSIGNED = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|credential)s?"
-                      r"[\x20\t]*(?:=|:|=>)[\x20\t]*[\"']$")
+#: Texts without any of these (in lower case) hold no key word.
+KEY_PARTS = ("token", "secret", "passw", "pwd", "api", "access", "auth", "credential", "private")
+VALUE_KEY = re.compile(
+    r"(?i:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential)"
+    r"(?i:s|orization|entication)?(?:[_-][A-Za-z0-9_-]{0,20}|[A-Z][A-Za-z0-9_]{0,20}|[0-9]{1,3})?[\"'`]?"
+    r"[\x20\t]*(?::=|=>|={1,3}|:)(?!//|:)[\x20\t]*(?:(?i:bearer|basic)[\x20\t]+)?")
+ASSIGNED = re.compile(VALUE_KEY.pattern + r"[\"'`]?(?:(?i:bearer|basic)[\x20\t]+)?$")
+QUOTED = {q: re.compile(rf"{q}((?:\\.|[^{q}\\\n])+){q}") for q in "\"'`"}
+#: A value without quotes ends at a blank, a quote, or the next ``&name=`` or ``;name=``.
+BARE = re.compile(r"(?:(?![&;][\w.%-]+=)[^\s\"'`])+")
+#: ``user:password@host``; ``mailto:`` and the like name no user.
+USERINFO = re.compile(r"(?:://[^\s:/?#@\"'`<>]*|(?<![A-Za-z0-9._%+/-])(?!(?i:mailto|e-?mail|mail|sips?|xmpp|acct|contact):)"
+                      r"[A-Za-z0-9._%+-]+):([^\s:/\"'`<>]+)@(?=[A-Za-z0-9\[])")
+AFTER_USER = re.compile(r"(?:://[^\s:/?#@\"'`<>]*|(?<![A-Za-z0-9._%+/-])[A-Za-z0-9._%+-]+):$")
 #: Forms of well-known credentials (published prefixes).
-FORMS = re.compile(r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|"
-                   r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+|sk_live_[A-Za-z0-9]{20,})$")
+FORM = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Z])|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|"
+                  r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+|sk_live_[A-Za-z0-9]{20,}")
+FORM_PARTS = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "eyJ", "sk_live_")
+ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 PLACEHOLDER = re.compile(r"(?i)(example|sample|dummy|placeholder|changeme|xxxx|your[_-])")
 CHECKSUM_NEAR = re.compile(r"(?i)(sha-?(1|256|512)?|md5|checksum|commit|digest|etag|uuid|version)")
 TEST_PATH = re.compile(r"(?i)(test|example|sample|fixture|doc)")
@@ -59,17 +76,57 @@ SEED = 11
 THRESHOLD = 0.5
 CLASSES = bytes(1 if 48 <= c <= 57 else 2 if 65 <= c <= 90 else 3 if 97 <= c <= 122 else 0 for c in range(256))
 FEATURES = ("length", "digits", "upper", "lower", "other", "transitions", "entropy", "hex", "coverage", "form",
-            "placeholder", "quoted", "assigned", "key_near", "checksum_near", "in_path", "test_path", "address")
-
-
-def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of the strings that could be secrets."""
-    for m in TOKEN.finditer(text):
+            "placeholder", "quoted", "assigned", "key_near", "checksum_near", "in_path", "test_path", "address",
+            "userinfo")
+
+
+def values(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the values that are assigned to a key word, with or without quotes."""
+    end = stop = 0
+    for m in VALUE_KEY.finditer(text):
+        at = m.end()
+        quoted = QUOTED.get(text[at:at + 1])
+        if quoted:
+            if found := quoted.match(text, at):
+                yield found.span(1)
+            continue
+        if at >= end:  # else it stands within the value before, which ends where this one does
+            found = BARE.match(text, at)
+            stop = end = found.end() if found else at
+            while stop > at and text[stop - 1] in ",;.)]}&":
+                stop -= 1
+        if stop > at:
+            yield at, stop
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Spans of the strings that could be secrets, by start; they may overlap."""
+    found, rest = set(), text
+    if any(x in text for x in FORM_PARTS):
+        found.update(m.span() for m in FORM.finditer(text))
+        rest = FORM.sub(lambda m: " " * len(m[0]), text)
+    for m in TOKEN.finditer(rest):
         s, e = m.span()
         while e > s and text[e - 1] in ".@-/=+_" and not (text[e - 1] == "=" and e - s >= 20):
             e -= 1
         if e - s >= 12 and (HAS_DIGIT.search(text, s, e) or KEY.search(text, max(0, s - NEAR), s)):
-            yield s, e
+            found.add((s, e))
+    if "=" in text or ":" in text:
+        low = text.lower()
+        if any(x in low for x in KEY_PARTS):
+            found.update(values(text))
+        if "@" in text and ":" in text:
+            found.update(m.span(1) for m in USERINFO.finditer(text))
+    return sorted(found)
+
+
+def outermost(spans: list[tuple]) -> list[tuple]:
+    """The spans (start, end, ...) that lie within no other one."""
+    out: list[tuple] = []
+    for x in sorted(spans, key=lambda x: (x[0], -x[1])):
+        if not out or x[1] > out[-1][1]:
+            out.append(x)
+    return out
 
 
 def trigram(a: int, b: int, c: int) -> int:
@@ -102,7 +159,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 def features(text: str, s: int, e: int, common: np.ndarray, path: str = "") -> list[float]:
     """The numbers by which the forest judges a candidate."""
     token = text[s:e]
-    b = token.encode("ascii")
+    b = token.encode("utf-8", "replace")
     n = len(b)
     kinds = b.translate(CLASSES)
     shares = [kinds.count(k) / n for k in (1, 2, 3, 0)]
@@ -114,18 +171,24 @@ def features(text: str, s: int, e: int, common: np.ndarray, path: str = "") -> l
     before, after = text[max(0, s - NEAR):s], text[e:e + NEAR]
     left = before[-1:]
     return [n, *shares, moves, float(-(p * np.log2(p)).sum()), float(bool(HEX.match(token))), coverage,
-            float(bool(FORMS.match(token))), float(bool(PLACEHOLDER.search(token + after))),
-            float(left in "\"'" and left != ""), float(bool(ASSIGNED.search(before))), float(bool(KEY.search(before))),
+            float(bool(FORM.fullmatch(token))), float(bool(PLACEHOLDER.search(token + after))),
+            float(left in "\"'`" and left != ""), float(bool(ASSIGNED.search(text, max(0, s - 2 * NEAR), s))),
+            float(bool(KEY.search(before))),
             float(bool(CHECKSUM_NEAR.search(before))), float("/" in token or "://" in before[-12:]),
-            float(bool(TEST_PATH.search(path))), float("@" in token)]
+            float(bool(TEST_PATH.search(path))), float(bool(ADDRESS.fullmatch(token))),
+            float(after[:1] == "@" and left == ":" and bool(AFTER_USER.search(text, max(0, s - 2 * NEAR), s)))]
 
 
 def self_label(x: list[float]) -> int | None:
     """1 for a clear secret, 0 for a clear false positive, None if unclear."""
     v = dict(zip(FEATURES, x, strict=True))
-    if v["placeholder"] or v["address"]:
+    if v["placeholder"]:
         return 0
-    if v["form"] or (v["assigned"] and v["quoted"] and v["entropy"] >= 2.5 and v["digits"] < 1):
+    if v["form"] or v["userinfo"]:
+        return 1
+    if v["address"]:
+        return None if v["assigned"] else 0
+    if v["assigned"] and v["entropy"] >= 2.5 and v["digits"] < 1 and (v["digits"] > 0 or v["quoted"] and v["coverage"] < 0.5):
         return 1
     if not v["key_near"] and (v["digits"] == 1 or v["coverage"] >= 0.5 or v["in_path"] or v["checksum_near"]):
         return 0
@@ -258,7 +321,8 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_
                     judged = [(s, e, forest.score(features(text, s, e, common, row["path"])) if forest else 1.0)
                               for s, e in candidates(text)]
                     out.append({"n_candidates": len(judged), "max_score": max((j[2] for j in judged), default=0.0),
-                                "secrets": [{"start": s, "end": e, "score": p} for s, e, p in judged if p >= threshold]})
+                                "secrets": [{"start": s, "end": e, "score": p} for s, e, p in
+                                            outermost([j for j in judged if j[2] >= threshold])]})
             made = pa.RecordBatch.from_pylist(out, schema=schema)
             yield pa.RecordBatch.from_arrays([batch.column("id"), *made.columns], ["id", *schema.names])
 

@@ -33,6 +33,41 @@ def test_false_positives_go_and_secrets_stay(spark):
             assert not spans, (r.text, spans)
 
 
+HEX36 = "0a1B2c3D4e5F6a7B8c9D0e1F2a3B4c5D6e7F"
+FORMS = [("AWS_ACCESS_KEY_ID={}", "AKIA" + "Q1B2C3D4E5F6G7H8"), ("token={}", "ghp_" + HEX36), ("api_key={};", "sk_live_" + HEX36),
+         ("https://site.org/cb?x=1&token={}&y=2", "gho_" + HEX36), ("path/to/{}", "ghp_" + HEX36), ("k@{}", "ghs_" + HEX36),
+         ('password = "{}"', "p@ss!w0rd#12$zz"), ("pwd: '{}'", "Tr0ub4dor&3"), ('{{"db_password": "{}"}}', "s3cr\u00e9t & 9x!"),
+         ("PASSWORD={}", "x9!Kq#7$"), ("postgres://admin:{}@db.site.org/x", "hunt3r2!K"), ("login root:{}@db.site.org", "hunt3r2!K"),
+         ("Authorization: Bearer {}", "q8Zr2Lw9Xb4Tn6Vc1Mk3"), ("secret={}", "QWxhZGRpbjpvcGVuIHNlc2FtZTEyMzQ1Njc=")]
+
+
+def test_common_forms_of_secrets_are_candidates():
+    for form, value in FORMS:
+        text = f"some words {form.format(value)} and more"
+        assert value in {text[s:e] for s, e in secrets.candidates(text)}, text
+
+
+def test_common_forms_of_secrets_are_found(spark):
+    extra = [(1000 + i, f"some words {form.format(value)} and more", "src/app.py") for i, (form, value) in enumerate(FORMS)]
+    docs = corpus(spark)
+    docs = docs.union(spark.createDataFrame(extra, docs.schema))
+    got = {r.id: [(x.start, x.end) for x in r.secrets] for r in secrets.scan(docs, path_col="path").collect()}
+    missed = [text for i, text, _ in extra if FORMS[i - 1000][1] not in {text[s:e] for s, e in got[i]}]
+    assert not missed
+    assert not any(got[i] for i in range(120) if i % 5)
+
+
+def test_address_and_form_label_themselves():
+    common = np.zeros(26 ** 3)
+    label = lambda text, v: secrets.self_label(secrets.features(text, text.index(v), text.index(v) + len(v), common))
+    assert label("mail user123456@mail.example.org", "user123456@mail.example.org") == 0
+    assert label("password: 'p@ss!w0rd#12$zz'", "p@ss!w0rd#12$zz") == 1 and label(f"k@ghp_{HEX36}", f"ghp_{HEX36}") == 1
+
+
+def test_a_long_line_of_keys_takes_no_square_time():
+    assert len(secrets.candidates("token=" * 20_000 + "x")) >= 20_000
+
+
 def test_labelled_findings_teach(spark):
     """Labels given by the user win over the clear cases: here commit hashes are the secrets."""
     docs = corpus(spark)
