@@ -47,7 +47,7 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """Cuts the lineage: writes a table in the shared folder and reads it back.
 
     The files survive lost executors, and later reads take only the columns
@@ -55,7 +55,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, f"llm-{purpose}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, decontam, licenses, mixing, neardup, pii, quality, secrets, sharding, urls
+from . import (alignment, chat, classifier, decontam, licenses, mixing, neardup, pii, quality, secrets, sharding, urls,
+               vectors)
 from .common import LOWER, UPPER, read_table
 
 
@@ -50,6 +51,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontam_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.code_digest(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_digest(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mixing": op2_source_mixing,
@@ -61,6 +74,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_chat_format": op12_chat_format,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 UPPER_LOWER = f"'{UPPER}', '{LOWER}'"
@@ -120,6 +136,41 @@ SELECT page_id, g.host, path, rule, coalesce(by_rule, CASE WHEN purity >= {urls.
 FROM g JOIN {last} x ON x.host = g.host AND x.segs = g.segs JOIN v ON v.host = x.host AND v.template = x.template"""
 
 
+def _vector_sql() -> str:
+    """Codebooks by measuring every part against every entry, one triple of steps a round."""
+    rounds = ""
+    for k in range(vectors.ROUNDS + 1):
+        rounds += f""",
+a{k} AS (SELECT r, part, min(row(far, entry)) AS hit FROM (
+  SELECT p.r, p.part, c.entry, CAST(list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS far
+  FROM p JOIN c{k} AS c USING (part)) GROUP BY r, part)"""
+        if k < vectors.ROUNDS:
+            rounds += f""",
+m{k} AS (SELECT part, entry, pos, CAST(floor(sum(y) / count(*)) AS BIGINT) AS mean FROM (
+  SELECT p.part, hit[2] AS entry, unnest(p.x) AS y, unnest(range(len(p.x))) AS pos FROM p JOIN a{k} USING (r, part)) GROUP BY ALL),
+c{k + 1} AS (SELECT part, entry, coalesce(n.x, c.x) AS x FROM c{k} AS c
+  LEFT JOIN (SELECT part, entry, list(mean ORDER BY pos) AS x FROM m{k} GROUP BY ALL) AS n USING (part, entry))"""
+    last = vectors.ROUNDS
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor({vectors.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT r, part, q[part * len(q) // {vectors.PARTS} + 1:(part + 1) * len(q) // {vectors.PARTS}] AS x
+      FROM v, range({vectors.PARTS}) AS t(part)),
+c0 AS (SELECT part, entry, x FROM p JOIN (
+  SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v QUALIFY entry < {vectors.ENTRIES}) USING (r)){rounds},
+coded AS (SELECT vec_id, label, code, error FROM v JOIN (
+  SELECT r, string_agg(printf('%02x', hit[2]), '' ORDER BY part) AS code, CAST(sum(hit[1]) AS BIGINT) AS error FROM a{last}
+  GROUP BY r) USING (r)),
+books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{last})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, books"""
+
+
+#: Characters that the template adds to a text: backslashes, marks that follow another, ends of turns.
+_ESCAPES = ("(length({x}) - length(replace({x}, '\\', '')) + length({x}) - length(replace({x}, '#', ''))"
+            " - len(regexp_extract_all({x}, '#+')) + (length({x}) - length(replace({x}, '</turn>', ''))) // 7)")
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": rf"""
 WITH d AS (
@@ -189,4 +240,17 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
     "op5_url_filter": _url_sql(),
+    "op11_vector_codes": _vector_sql(),
+    "op12_chat_format": rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT {chat.PROBE[0]}, 0, 'user', '{chat.PROBE[1]}' UNION ALL SELECT {chat.PROBE[0]}, 1, 'assistant', '{chat.PROBE[1]}'),
+t AS (SELECT *, replace(replace(role, '%', '%25'), ':', '%3A') AS r FROM c),
+m AS (SELECT *, length(r) + {_ESCAPES.format(x="r")} + length(text) + {_ESCAPES.format(x="text")} + 14 AS n FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id""",
 }
