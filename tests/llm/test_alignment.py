@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 
 from citeloom.llm import alignment
 
-from .edge import documents, empty, ordered
+from .edge import documents, empty, ordered, prose
 
 pytestmark = pytest.mark.skipif(not os.path.exists(alignment.TOKENIZERS), reason="no tokenizer files")
 
@@ -63,6 +63,17 @@ def test_digest(spark, most):
     assert got == brute([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_both_ways_to_read_a_byte_level_vocabulary_agree():
+    first, _ = alignment.tokenizers()
+    (fast, table), (general, entries) = first.open(), first.open_general()
+    rng = random.Random(8)
+    texts = TEXTS + [prose(rng, 300) for _ in range(20)] + [" " * 3000, "x" * 5000, "\n \n" * 800, "é" * 2000]
+    for begin in range(0, 0x110000, 0x1000):  # every character, between letters, digits, marks and blanks
+        texts.append("".join(f"a{c}1{c} {c}!{c}\n" for c in map(chr, range(begin, begin + 0x1000)) if not "\ud800" <= c <= "\udfff"))
+    assert fast(texts) == general(texts)
+    assert table == entries[:len(table)]
+
+
 def test_texts_that_do_not_come_back_have_no_tokens(spark):
     docs = documents(spark, rows=["", None, "▁", "a  b", "plain words"])
     got = {r.doc_id: r for r in alignment.alignment_digest(docs).collect()}
