@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain, pairwise
 from typing import Any
 
@@ -184,10 +185,27 @@ class Portion:
     line: Coalesced
 
 
-def _opened(*of: ByteLevel | Pieces) -> list[tuple]:
-    """(encoder, bytes of each id, their numbers) of each tokenizer."""
-    made = [x.open() for x in of]
-    return [(encode, table, np.array([len(x) for x in table], np.int64)) for encode, table in made]
+class Both:
+    """Two tokenizers, opened once in each Python worker, however many tasks it runs: tasks get
+    them as a broadcast value, which a worker keeps."""
+
+    def __init__(self, first: ByteLevel | Pieces, second: ByteLevel | Pieces):
+        self.first, self.second = first, second
+
+    def __reduce__(self):
+        return Both, (self.first, self.second)
+
+    @cached_property
+    def opened(self) -> list[tuple]:
+        """(encoder, bytes of each id, their numbers) of each tokenizer."""
+        made = [x.open() for x in (self.first, self.second)]
+        return [(encode, table, np.array([len(x) for x in table], np.int64)) for encode, table in made]
+
+    @cached_property
+    def shown(self) -> np.ndarray:
+        """Each id as text behind what parts it from the one before: nothing, comma, bar, semicolon."""
+        top = max(len(table) for _, table, _ in self.opened)
+        return np.array([[mark + str(i).encode() for i in range(top)] for mark in (b"", b",", b"|", b";")], object)
 
 
 def _portion(texts: list[str | None], a_open: tuple, b_open: tuple) -> Portion:
@@ -243,8 +261,10 @@ def aligned(docs: DataFrame, first: ByteLevel | Pieces, second: ByteLevel | Piec
             text_col: str = "text") -> DataFrame:
     """One row per document row: its id, ``groups`` (byte range, ids of A, ids of B) and ``overlaps``
     (position in A, position in B, whether the two end together)."""
+    both = docs.sparkSession.sparkContext.broadcast(Both(first, second))
+
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_open, b_open = _opened(first, second)
+        a_open, b_open = both.value.opened
         for batch in batches:
             for begin, texts in _portions(batch.column("text")):
                 p = _portion(texts, a_open, b_open)
@@ -290,11 +310,11 @@ def links(docs: DataFrame, first: ByteLevel | Pieces, second: ByteLevel | Pieces
           text_col: str = "text") -> DataFrame:
     """One row per document row: tokens, groups (also as a digest) and links, and the document's
     distinct links, ``PAIR`` times A's id plus B's, with how often each stands in it. A written table."""
+    both = docs.sparkSession.sparkContext.broadcast(Both(first, second))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_open, b_open = _opened(first, second)
-        # Each id as text behind what parts it from the one before: nothing, comma, bar, semicolon.
-        top = max(len(a_open[1]), len(b_open[1]))
-        shown = np.array([[mark + str(i).encode() for i in range(top)] for mark in (b"", b",", b"|", b";")], object)
+        a_open, b_open = both.value.opened
+        shown = both.value.shown
         for batch in batches:
             for begin, texts in _portions(batch.column("text")):
                 p = _portion(texts, a_open, b_open)
