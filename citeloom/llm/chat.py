@@ -285,10 +285,16 @@ def _head(role: Column) -> Column:
     return F.concat(F.lit(OPEN), escape_role(role), F.lit(": "))
 
 
+def _one_by_one(records: DataFrame) -> DataFrame:
+    """One row per turn: ``conversation``, ``turn``, ``pos``, ``t``. (An inner explode would have Spark
+    infer a filter on the turns, which it pushes to the scan with the whole mapping written out.)"""
+    return records.select("conversation", "turn", F.posexplode_outer("turns").alias("pos", "t")).where(F.col("pos").isNotNull())
+
+
 def formatted_turns(records: DataFrame) -> DataFrame:
     """One row per turn of ``canonical`` records, without any shuffle: ``conversation``, ``turn``,
     ``pos``, its piece of the formatted text, and the span of the piece that is learned (or null)."""
-    one = records.select("conversation", "turn", F.posexplode("turns").alias("pos", "t"))
+    one = _one_by_one(records)
     head, body = _head(F.col("t.role")), escape(F.col("t.text"))
     begin = F.length(head)
     return one.select("conversation", "turn", "pos", F.concat(head, body, F.lit(CLOSE + "\n")).alias("piece"),
@@ -305,7 +311,7 @@ def _starts(lengths: Column) -> Column:
 def formatted(records: DataFrame) -> DataFrame:
     """One row per conversation: ``formatted``, and the ``loss`` mask, spans (turn, start, end) in
     code points of that text. Turns of all records of a conversation join in order."""
-    turns = records.select("conversation", "turn", F.posexplode("turns").alias("pos", "t"))
+    turns = _one_by_one(records)
     # The texts travel as they are; what the template adds is added where they meet.
     met = turns.groupBy("conversation").agg(
         F.sort_array(F.collect_list(F.struct("turn", "pos", "t.role", "t.text"))).alias("turns"))
