@@ -20,11 +20,11 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from citeloom import functions as CF  # noqa: E402
-from citeloom.operators import (assign_keys, join_dimension, keep_first, merge_last_wins, orphans,  # noqa: E402
-                                required_reason, resolve_key, canonical_projection)
+from citeloom.operators import (assign_keys, join_dimension, keep_first, merge_last_wins, merge_touched,  # noqa: E402
+                                orphans, required_reason, resolve_key, canonical_projection)
 from citeloom.plans import (clean_publications, index_share, load_star,  # noqa: E402
                             normalize_publications, publications_per_year, quartile_changes,
-                            top_authors)
+                            split_orphans, top_authors)
 from citeloom.plans.pipeline import preview, run_batch, stage_clean  # noqa: E402
 from citeloom.plans.star import load_authors  # noqa: E402
 from citeloom.schemas import DIM_AUTHOR, DIM_JOURNAL, JOURNAL_QUARTILE  # noqa: E402
@@ -33,7 +33,7 @@ from citeloom.sources import (create_tables, explode_users, publications_from_js
                               read_csv, read_current, read_json_documents, read_parquet, read_publications,
                               write_staging)
 from citeloom.sources.readers import USERS_DOCUMENT  # noqa: E402
-from citeloom.sources.sinks import row_counts  # noqa: E402
+from citeloom.sources.sinks import bucket_of, row_counts  # noqa: E402
 from citeloom.streaming import (ingest_sensors, parse_sensor_messages, publish_readings,  # noqa: E402
                                 read_sensor_stream)
 from citeloom.streaming.sensors import READING_COLUMNS  # noqa: E402
@@ -68,11 +68,13 @@ def part_publications(spark, sf_dir) -> DataFrame:
         F.when(F.col("p_size") <= 45, F.col("p_brand")).alias("Publication Date"))
 
 
-def order_documents(spark, sf_dir) -> DataFrame:
+def order_documents(spark, sf_dir, half: int | None = None) -> DataFrame:
     """orders x customer as raw JSON publication documents (one per line).
     ISSN and Quartils take several JSON types, DOI is sometimes null, dates
-    come in good, prefixed, abbreviated, lower-case and empty forms."""
+    come in good, prefixed, abbreviated, lower-case and empty forms. ``half``:
+    the orders whose key leaves that remainder by 2, as one day's landing."""
     o = _t(spark, sf_dir, "orders")
+    o = o if half is None else o.where(F.col("o_orderkey") % 2 == half)
     c = _t(spark, sf_dir, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
     k = F.col("o_orderkey")
@@ -265,10 +267,10 @@ def _part_quartils(spark, sf_dir) -> DataFrame:
 
 
 def q_quartils_dispatch(spark, sf_dir):
-    p = _part_quartils(spark, sf_dir)
-    kind = CF.quartils_kind(F.col("q"))
-    elements = CF.decode_elements(F.when(kind == "list", CF.json_array_elements(F.col("q"))))
-    return p.select("p_partkey", kind.alias("kind"), CF.journal_flag(elements).alias("journal_flag"),
+    p = _part_quartils(spark, sf_dir).withColumn("elements", CF.decode_list("q"))
+    elements = F.col("elements")
+    return p.select("p_partkey", CF.quartils_kind("q", elements).alias("kind"),
+                    CF.journal_flag(elements).alias("journal_flag"),
                     F.size(CF.quartile_items(elements)).cast("long").alias("n_items"),
                     CF.last_quartil(elements).alias("last_quartil"),
                     CF.mentions_not_indexed(F.col("q")).alias("mentions_not_indexed"))
@@ -289,15 +291,15 @@ def _order_quartils(spark, sf_dir) -> DataFrame:
 
 def q_filter_quartiles(spark, sf_dir):
     o = _order_quartils(spark, sf_dir)
-    items = CF.quartile_items(CF.decode_elements(CF.json_array_elements(F.col("q"))))
+    items = CF.quartile_items(CF.decode_list("q"))
     return (o.select("o_orderkey", F.explode(items).alias("it"))
             .select("o_orderkey", F.col("it.pos").cast("long").alias("pos"),
                     F.col("it.annee").alias("annee"), F.col("it.quartil").alias("quartil")))
 
 
 def q_last_quartile(spark, sf_dir):
-    o = _order_quartils(spark, sf_dir)
-    el = CF.decode_elements(CF.json_array_elements(F.col("q")))
+    o = _order_quartils(spark, sf_dir).withColumn("elements", CF.decode_list("q"))
+    el = F.col("elements")
     return o.select("o_orderkey", CF.last_quartil(el).alias("last_quartil"),
                     CF.journal_flag(el).alias("journal_flag"))
 
@@ -386,14 +388,87 @@ def q_journal_match_facts(spark, sf_dir):
         "p_partkey", "journal_id")
 
 
+def _loaded_warehouse(spark, sf_dir, halves: bool):
+    """A warehouse after two loads through files: of the same landing data, or of one half each."""
+    place = scratch_path(spark, "warehouse")
+    warehouse = create_tables(spark, "w_" + place[-32:], place)
+    for version, odd in (("1", 0), ("2", 1)):
+        landing = scratch_path(spark, "landing")
+        order_documents(spark, sf_dir, odd if halves else None).write.text(landing)
+        run_batch(spark, landing, warehouse, version=version)
+    return read_current(spark, warehouse)
+
+
 def q_warehouse_two_loads(spark, sf_dir):
     """Tables created, two loads run through files and published, the facts read back."""
-    landing, warehouse = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
-    order_documents(spark, sf_dir).write.text(landing)
-    create_tables(spark, warehouse, version="0")
-    for version in ("1", "2"):
-        run_batch(spark, landing, warehouse, version=version)
-    return read_current(spark, warehouse)["fact_publication"].select("publication_id", "title", "doi", "journal_id")
+    return _loaded_warehouse(spark, sf_dir, halves=False)["fact_publication"].select(
+        "publication_id", "title", "doi", "journal_id")
+
+
+def _by_name(t) -> DataFrame:
+    """Every star table's rows by their natural keys, and each table's number of rows and of keys."""
+    j = t["dim_journal"].select("journal_id", "journal_main")
+    text = F.lit(None).cast("string")
+    out = [
+        t["dim_journal"].select(F.lit("dim_journal").alias("table_name"), F.col("journal_main").alias("a"),
+                                F.col("issn").alias("b"), F.col("quartils").alias("c")),
+        t["dim_author"].select(F.lit("dim_author"), "author_name", text, text),
+        t["dim_date"].select(F.lit("dim_date"), _s("full_date"), _s("year"), text),
+        t["journal_quartile"].join(j, F.col("id_journal") == j["journal_id"]).select(
+            F.lit("journal_quartile"), "journal_main", "annee", "quartil"),
+        t["fact_publication"].join(j, "journal_id").select(F.lit("fact_publication"), "title", "doi", "journal_main"),
+        t["publication_author"].join(t["fact_publication"], "publication_id").join(t["dim_author"], "author_id").select(
+            F.lit("publication_author"), "title", "author_name", text)]
+    for name, key in (("dim_journal", "journal_id"), ("dim_author", "author_id"), ("dim_date", "date_id"),
+                      ("journal_quartile", "quartil_id"), ("fact_publication", "publication_id")):
+        out.append(t[name].agg(F.lit("keys of " + name), _s(F.count(F.lit(1))), _s(F.count_distinct(key)), _s(F.max(key))))
+    union = out[0]
+    for more in out[1:]:
+        union = union.union(more)
+    return union
+
+
+def q_warehouse_tables(spark, sf_dir):
+    """Two loads of one half of the landing data each: every table by its natural keys, and its keys."""
+    return _by_name(_loaded_warehouse(spark, sf_dir, halves=True))
+
+
+def q_orphan_split(spark, sf_dir):
+    """Line items loaded as rows that point to orders and parts: those without a parent, in the load or
+    in the tables before it, are told apart. The tables hold the orders before 1996 and the larger
+    parts, the load adds the orders of 1996 and 1997."""
+    o, p = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "part")
+    since = lambda year: F.col("o_orderdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz")
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    kept, orphans_found = split_orphans(
+        {"orders": o.where(since(1996) & ~since(1998)), "lineitem": li},
+        {"orders": o.where(~since(1996)), "part": p.where(F.col("p_size") > 5)},
+        {"lineitem": (("l_orderkey", "orders", "o_orderkey"), ("l_partkey", "part", "p_partkey"))})
+    return (kept["lineitem"].select(F.lit("kept").alias("fate"), _s("l_orderkey").alias("key_value"), _s("l_linenumber").alias("line"))
+            .unionByName(orphans_found.select(F.col("reject_reason").alias("fate"), "key_value", F.lit(None).cast("string").alias("line"))))
+
+
+def q_merge_touched(spark, sf_dir):
+    """The quartiles of finished orders in a table partitioned by journal bucket; those of the
+    open ones of every twentieth customer merged into the buckets that they touch, the others kept."""
+    rows = _quartile_rows(spark, sf_dir)
+    tgt = rows.where(F.col("o_orderstatus") == "F").select(
+        "annee", "id_journal", "o_orderkey", F.concat(F.lit("Q"), _s(F.col("o_orderkey") % 4 + 1)).alias("quartil"))
+    first = keep_first(tgt, ["annee", "id_journal"], ["o_orderkey"])
+    path = scratch_path(spark, "quartiles")
+    (assign_keys(first, "quartil_id", ["id_journal", "annee"]).select(*JOURNAL_QUARTILE.fieldNames())
+     .withColumn("bucket", bucket_of(F.col("id_journal"))).write.partitionBy("bucket").parquet(path))
+    target = spark.read.parquet(path)
+    source = rows.where((F.col("o_orderstatus") != "F") & (F.col("id_journal") % 20 == 0)).select(
+        "annee", "id_journal", "load_order", "pos",
+        F.concat(F.lit("Q"), _s((F.col("o_orderkey") / 7).cast("long") % 4 + 1)).alias("quartil"))
+    changed = merge_touched(target, source, ["annee", "id_journal"], ["quartil"], ["load_order", "pos"], "quartil_id",
+                            bucket=lambda: bucket_of(F.col("id_journal")), bucket_col="bucket")
+    out = scratch_path(spark, "touched")
+    changed.withColumn("bucket", bucket_of(F.col("id_journal"))).write.partitionBy("bucket").parquet(out)
+    merged = spark.read.schema(target.schema).parquet(out)
+    kept = target.join(merged.select("bucket").distinct(), "bucket", "left_anti")
+    return kept.unionByName(merged).select(*JOURNAL_QUARTILE.fieldNames())
 
 
 def q_preview(spark, sf_dir):
@@ -699,6 +774,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "journal_match_lower": q_journal_match_lower,
     "journal_match_facts": q_journal_match_facts,
     "warehouse_two_loads": q_warehouse_two_loads,
+    "warehouse_tables": q_warehouse_tables,
+    "orphan_split": q_orphan_split,
+    "merge_touched": q_merge_touched,
     "preview": q_preview,
     "typed_parquet": q_typed_parquet,
     "published_readings": q_published_readings,

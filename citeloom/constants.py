@@ -2,14 +2,11 @@
 
 FIXED VALUES — these must stay exactly as written for results to match the
 publication pipeline this library re-implements (labels stored in the
-warehouse, prefixes removed from source fields, and the capture rule for
-journal names). They are data, not logic.
+warehouse, prefixes removed from source fields). They are data, not logic.
 """
 
-# Prefix put in front of the title to form the journal line, and the capture
-# rule that later cuts the journal name out of that line.
+# Prefix put in front of the title to form the journal line.
 JOURNAL_LINE_PREFIX = "Published in: "
-JOURNAL_NAME_RULE = r"Published in:\s*([^(\n]+)"
 
 # Prefix removed from publication dates before parsing ("%d %B %Y").
 DATE_PREFIX = "Date of Publication: "

@@ -3,46 +3,75 @@
 The reader keeps such fields as JSON text (an array or object arrives as its
 raw JSON, a string as its content). The rules below dispatch on that text:
 
-* JSON-array text (starts with '[' and ends with ']') decodes to its element
-  texts, one per item; an item that is an object keeps its own JSON text, so
-  one odd item never hides the others.
+* JSON-array text (starts with '[' and ends with ']') is parsed once, into a
+  VARIANT, from which elements and their members are read without parsing
+  again. One odd item never hides the others.
 * An object is recognised by having top-level keys (``json_object_keys``).
+
+A text that VARIANT refuses although it is a list in the original's sense (an
+object that repeats a key, ``NaN``) is decoded element by element from its
+text instead; ordinary texts never take that way. Scalars read as text are in
+VARIANT's form: 1.0 is "1".
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from citeloom.constants import (ELECTRONIC_ISSN_KEY, INDEXED, NOT_AVAILABLE,
                                 NOT_INDEXED, QUARTILE_KEY, YEAR_KEY)
 
-ITEM_SCHEMA = f"struct<`{YEAR_KEY}`:string,{QUARTILE_KEY}:string>"
+#: Follows a text in the array that encloses it; a text that holds it is decoded from its text.
+_END = "\ue000end of text\ue000"
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def looks_like_json_array(text) -> Column:
     t = _col(text)
     return t.startswith("[") & t.endswith("]")
 
 
-def json_array_elements(text) -> Column:
-    """Element texts of a JSON-array text; NULL for anything else or invalid JSON.
+def _parsed_array(t: Column, kind: str) -> Column:
+    """The elements of a JSON-array text as ``kind``, by one parse; NULL for what VARIANT refuses.
 
-    The parser stops at the end of the first value and would pass over what
-    follows it. Inside an enclosing array and inside an object, trailing text
-    is an error (or a second element), so a text is valid if both accept it.
+    The parser stops at the end of the first value and would pass over what follows it; so the
+    text is parsed inside an array, before an end mark: if the mark is the second element, the
+    text is one value.
+    """
+    enclosed = F.try_parse_json(F.concat(F.lit("["), t, F.lit(f',"{_END}"]')))
+    return F.when(looks_like_json_array(t) & ~t.contains(_END), _let(enclosed, lambda p: F.when(
+        F.try_variant_get(p, "$[1]", "string") == _END, F.try_variant_get(p, "$[0]", kind))))
+
+
+def _text_elements(t: Column) -> Column:
+    """Element texts of a JSON-array text by the text parser, which takes repeated keys and NaN.
+
+    Inside an enclosing array and inside an object, trailing text is an error (or a second
+    element), so a text is valid if both accept it.
     """
-    t = _col(text)
     strict = {"allowSingleQuotes": "false"}
     inside = F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<array<string>>", strict)
     member = F.from_json(F.concat(F.lit('{"v":'), t, F.lit("}")), "struct<v:array<string>>", strict)["v"]
     return F.when(looks_like_json_array(t) & member.isNotNull() & (F.size(inside) == 1), F.get(inside, F.lit(0)))
 
 
+def json_array_elements(text) -> Column:
+    """Element texts of a JSON-array text; NULL for anything else or invalid JSON."""
+    t = _col(text)
+    return F.coalesce(_parsed_array(t, "array<string>"), _text_elements(t))
+
+
 def is_json_object(text) -> Column:
     return F.json_object_keys(_col(text)).isNotNull()
 
@@ -56,22 +85,6 @@ def json_value(text, key: str) -> Column:
     return F.get_json_object(_col(text), f"$['{key}']")
 
 
-def quartils_kind(text) -> Column:
-    """'missing' (NULL), 'list', 'object', or 'string' (incl. invalid JSON arrays)."""
-    t = _col(text)
-    return (F.when(t.isNull(), F.lit("missing"))
-            .when(json_array_elements(t).isNotNull(), F.lit("list"))
-            .when(is_json_object(t), F.lit("object"))
-            .otherwise(F.lit("string")))
-
-
-def decode_elements(elements) -> Column:
-    """Element texts -> array<struct<text, keys>>: each item's top-level keys
-    are read once (NULL keys for an item that is not an object) and reused by
-    every rule below."""
-    return F.transform(_col(elements), lambda x: F.struct(x.alias("text"), F.json_object_keys(x).alias("keys")))
-
-
 def is_truthy_json(raw) -> Column:
     """Python's truth of a JSON value given as JSON text (NULL when absent): null, false, zero and
     the empty string, list and object are false."""
@@ -81,44 +94,89 @@ def is_truthy_json(raw) -> Column:
     return r.isNotNull() & ~empty & ~zero
 
 
-def _json_member(text: Column, key: str) -> Column:
-    """A member's value as JSON text: strings keep their quotes, so types stay apart."""
-    return F.to_json(F.try_variant_get(F.try_parse_json(text), f"$['{key}']", "variant"))
+def _items(members: Column) -> Column:
+    """array<struct<object, year, quartile, has_year, has_quartile>> of variants -> the items that the rules read."""
+    def read(m: Column) -> Column:
+        return F.struct(m["object"].alias("object"), m["has_year"].alias("has_year"), m["has_quartile"].alias("has_quartile"),
+                        F.try_variant_get(m["year"], "$", "string").alias("annee"),
+                        F.try_variant_get(m["quartile"], "$", "string").alias("quartil"),
+                        F.to_json(m["year"]).alias("year_json"), F.to_json(m["quartile"]).alias("quartile_json"))
+
+    return F.transform(F.transform(members, read), lambda r: F.struct(
+        r["object"].alias("object"), r["has_quartile"].alias("has_quartile"),
+        (r["has_year"] & r["has_quartile"]).alias("candidate"),
+        (is_truthy_json(r["year_json"]) & is_truthy_json(r["quartile_json"])).alias("valid"),
+        r["annee"].alias("annee"), r["quartil"].alias("quartil")))
+
+
+def _variant_items(elements: Column) -> Column:
+    found = F.transform(elements, lambda x: F.struct(
+        x.alias("x"), F.try_variant_get(x, f"$['{YEAR_KEY}']", "variant").alias("year"),
+        F.try_variant_get(x, f"$['{QUARTILE_KEY}']", "variant").alias("quartile")))
+    return _items(F.transform(found, lambda s: F.struct(
+        F.coalesce(s["year"].isNotNull() | s["quartile"].isNotNull() | F.schema_of_variant(s["x"]).startswith("OBJECT"),
+                   F.lit(False)).alias("object"),
+        s["year"].alias("year"), s["quartile"].alias("quartile"),
+        s["year"].isNotNull().alias("has_year"), s["quartile"].isNotNull().alias("has_quartile"))))
+
+
+def _text_items(elements: Column) -> Column:
+    found = F.transform(elements, lambda x: F.struct(
+        F.json_object_keys(x).alias("keys"),
+        F.from_json(x, f"struct<`{YEAR_KEY}`:variant,{QUARTILE_KEY}:variant>").alias("it")))
+
+    def has(s: Column, key: str) -> Column:
+        return F.coalesce(F.array_contains(s["keys"], F.lit(key)), F.lit(False))
 
+    return _items(F.transform(found, lambda s: F.struct(
+        s["keys"].isNotNull().alias("object"), s["it"][YEAR_KEY].alias("year"), s["it"][QUARTILE_KEY].alias("quartile"),
+        has(s, YEAR_KEY).alias("has_year"), has(s, QUARTILE_KEY).alias("has_quartile"))))
 
-def _empty_decoded() -> Column:
-    return F.array().cast("array<struct<text:string,keys:array<string>>>")
+
+def decode_list(text) -> Column:
+    """A JSON-array text as its items, in order, one struct each: whether it is an ``object``, has
+    the quartile key (``has_quartile``), has the year key too (``candidate``), whether both values
+    are true in the original's sense (``valid``), and the values as text (``annee``, ``quartil``).
+    NULL for anything but a list. Every rule below reads this; select it under a name of its own
+    where several rules use it."""
+    t = _col(text)
+    return F.coalesce(_variant_items(_parsed_array(t, "array<variant>")), _text_items(_text_elements(t)))
+
+
+def quartils_kind(text, decoded) -> Column:
+    """'missing' (NULL), 'list', 'object', or 'string' (incl. invalid JSON arrays)."""
+    t = _col(text)
+    return (F.when(t.isNull(), F.lit("missing"))
+            .when(_col(decoded).isNotNull(), F.lit("list"))
+            .when(is_json_object(t), F.lit("object"))
+            .otherwise(F.lit("string")))
 
 
-def _has(s: Column, key: str) -> Column:
-    return F.coalesce(F.array_contains(s["keys"], F.lit(key)), F.lit(False))
+def _no_items() -> Column:
+    return F.array().cast("array<struct<object:boolean,has_quartile:boolean,candidate:boolean,valid:boolean,"
+                          "annee:string,quartil:string>>")
 
 
 def quartile_candidates(decoded) -> Column:
     """Items that are objects carrying both the year and the quartile key
     (key presence: an item with a null year still counts)."""
-    return F.filter(F.coalesce(_col(decoded), _empty_decoded()),
-                    lambda s: _has(s, YEAR_KEY) & _has(s, QUARTILE_KEY))
+    return F.filter(F.coalesce(_col(decoded), _no_items()), lambda s: s["candidate"])
 
 
 def quartile_items(decoded) -> Column:
-    """Candidate items decoded to struct<pos, annee, quartil>, keeping only
-    those whose year and quartile are both true values in the original's
-    sense (a score of 0, false or an empty list is skipped like a missing
-    one). ``pos`` is the item's rank among the candidates (load order within a
-    document)."""
-    numbered = F.transform(quartile_candidates(decoded), lambda s, i: F.struct(i.alias("pos"), s["text"].alias("text")))
-    true = F.filter(numbered, lambda p: is_truthy_json(_json_member(p["text"], YEAR_KEY))
-                    & is_truthy_json(_json_member(p["text"], QUARTILE_KEY)))
-    parsed = F.transform(true, lambda p: F.struct(p["pos"].alias("pos"), F.from_json(p["text"], ITEM_SCHEMA).alias("it")))
-    return F.transform(parsed, lambda p: F.struct(p["pos"].alias("pos"), p["it"][YEAR_KEY].alias("annee"),
-                                                  p["it"][QUARTILE_KEY].alias("quartil")))
+    """Candidate items as struct<pos, annee, quartil>, keeping only those
+    whose year and quartile are both true values in the original's sense (a
+    score of 0, false or an empty list is skipped like a missing one). ``pos``
+    is the item's rank among the candidates (load order within a document)."""
+    numbered = F.transform(quartile_candidates(decoded), lambda s, i: F.struct(
+        i.alias("pos"), s["annee"].alias("annee"), s["quartil"].alias("quartil"), s["valid"].alias("valid")))
+    return F.transform(F.filter(numbered, lambda s: s["valid"]),
+                       lambda s: F.struct(s["pos"].alias("pos"), s["annee"].alias("annee"), s["quartil"].alias("quartil")))
 
 
 def journal_flag(decoded) -> Column:
     """'indexe' when at least one candidate item exists, else 'pas indexe'."""
-    return F.when(F.exists(F.coalesce(_col(decoded), _empty_decoded()),
-                           lambda s: _has(s, YEAR_KEY) & _has(s, QUARTILE_KEY)),
+    return F.when(F.exists(F.coalesce(_col(decoded), _no_items()), lambda s: s["candidate"]),
                   F.lit(INDEXED)).otherwise(F.lit(NOT_INDEXED))
 
 
@@ -131,26 +189,25 @@ def last_quartil(decoded) -> Column:
     its 'quartil' value (NULL when explicitly null), 'Non disponible' when the
     key is absent, the list is empty, or there is no list."""
     last = last_item(decoded)
-    return (F.when(F.coalesce(F.size(_col(decoded)), F.lit(0)) == 0, F.lit(NOT_AVAILABLE))
-            .when(_has(last, QUARTILE_KEY), json_value(last["text"], QUARTILE_KEY))
-            .otherwise(F.lit(NOT_AVAILABLE)))
+    return F.when(last["has_quartile"], last["quartil"]).otherwise(F.lit(NOT_AVAILABLE))
 
 
 def last_item_not_object(decoded) -> Column:
     """True for a non-empty list whose last item is not an object."""
-    d = _col(decoded)
-    return F.coalesce(F.size(d) > 0, F.lit(False)) & last_item(d)["keys"].isNull()
+    return F.coalesce(~last_item(decoded)["object"], F.lit(False))
 
 
 def issn_value(text) -> Column:
     """Object -> its 'Electronic ISSN' (default when the key is absent);
     plain text -> itself; no value or a list -> default."""
     t = _col(text)
+    # Only what begins like an object or a list is parsed at all.
+    as_object = _let(F.json_object_keys(t), lambda keys: F.when(
+        keys.isNull(), t).when(F.array_contains(keys, F.lit(ELECTRONIC_ISSN_KEY)), json_value(t, ELECTRONIC_ISSN_KEY))
+        .otherwise(F.lit(NOT_AVAILABLE)))
     return (F.when(t.isNull(), F.lit(NOT_AVAILABLE))
-            .when(is_json_object(t),
-                  F.when(has_key(t, ELECTRONIC_ISSN_KEY), json_value(t, ELECTRONIC_ISSN_KEY))
-                  .otherwise(F.lit(NOT_AVAILABLE)))
-            .when(json_array_elements(t).isNotNull(), F.lit(NOT_AVAILABLE))
+            .when(F.ltrim(t, F.lit(" \t\r\n")).startswith("{"), as_object)
+            .when(looks_like_json_array(t), F.when(json_array_elements(t).isNotNull(), F.lit(NOT_AVAILABLE)).otherwise(t))
             .otherwise(t))
 
 

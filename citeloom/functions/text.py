@@ -16,7 +16,7 @@ from citeloom.constants import (JOURNAL_LINE_PREFIX, NOT_INDEXED_MARKER)
 # Characters for which Python's str.isspace() is true (Java regex syntax).
 PY_SPACE = r"[\t\n\x0B\f\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 
-# Journal-name capture (see constants.JOURNAL_NAME_RULE) with Python's \s.
+# What follows the prefix, up to a parenthesis or the end of the line.
 _JOURNAL_RULE_JAVA = r"Published in:" + PY_SPACE + r"*([^(\n]+)"
 
 

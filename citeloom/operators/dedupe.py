@@ -7,6 +7,10 @@ key (one title on a third of all rows) is reduced to one row per map task
 before the shuffle, so no task ever receives the whole group. (A filter
 ``row_number() over (partition by key) = 1`` is cut per task before its
 shuffle too; it sorts the whole rows on both sides as well.)
+
+Where rows are wide and stored with a row id, ``repeated_rows`` finds the rows
+that lose on digests of their keys alone, and ``drop_rows`` reads the wide rows
+once, without a sort.
 """
 
 from __future__ import annotations
@@ -39,8 +43,23 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
             .select(*[(F.col(f"__row.`{c}`") if c in rest else F.col(f"`{c}`")).alias(c) for c in cols]))
 
 
-def keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
-    return keep_first(df, keys, order_by, last=True)
+def repeated_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], row_id: str) -> DataFrame:
+    """The ``row_id`` of every row that ``keep_first`` drops, found without its other columns.
+
+    Keys travel as 128-bit digests (NULL keys form one group); the winner of each is an aggregate
+    that combines in each task, so a hot key is one row a task. ``row_id`` has to be a stored
+    column, unique and the same in every scan.
+    """
+    digests = [F.coalesce(F.md5(F.col(f"`{k}`").cast("string")), F.lit("")) for k in keys]
+    narrow = df.select(F.concat_ws(",", *digests).alias("__key"), _order([*order_by, row_id]).alias("__order"), row_id)
+    winners = narrow.groupBy("__key").agg(F.min_by(row_id, "__order").alias(row_id))
+    return narrow.select(row_id).join(winners, row_id, "left_anti")
+
+
+def drop_rows(df: DataFrame, dropped: DataFrame, row_id: str) -> DataFrame:
+    """``df`` without the rows whose id is in ``dropped``. The wide rows stay where they are if the
+    dropped ids are few enough to broadcast, by their measured size."""
+    return df.join(dropped, row_id, "left_anti").select(*df.columns)
 
 
 def drop_incomplete(df: DataFrame, subset: Sequence[str]) -> DataFrame:

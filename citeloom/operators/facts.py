@@ -65,15 +65,6 @@ def not_loaded(new: DataFrame, existing: DataFrame, natural_keys: Sequence[str])
     return new.join(keys, cond, "left_anti")
 
 
-def append_rows(existing: DataFrame, new: DataFrame, natural_keys: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Append-only load. With ``natural_keys`` the load is idempotent: rows
-    whose natural key is already present are not appended again.
-    Returns ``(table, appended)``."""
-    if natural_keys:
-        new = not_loaded(new, existing, natural_keys)
-    return existing.unionByName(new), new
-
-
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent row. (An anti join
     needs no distinct parent keys, so none is computed: that would be a shuffle

@@ -31,12 +31,6 @@ from citeloom.session import shared_root
 _ROW_BITS = 33  # monotonically_increasing_id = partition << 33 | row position
 
 
-def max_key(df: DataFrame, key_col: str) -> int:
-    """Largest existing key, 0 for an empty table (one scalar to the driver)."""
-    value = df.agg(F.max(key_col)).first()[0]
-    return int(value) if value is not None else 0
-
-
 def assign_keys(df: DataFrame, key_col: str, order_by: Sequence[str], start: int = 0,
                 num_partitions: int | None = None, after: DataFrame | None = None) -> DataFrame:
     """Keys ``start + 1, start + 2, ...`` in ``order_by`` order; with ``after``

@@ -7,14 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from citeloom.operators.dedupe import drop_incomplete, keep_first
+from citeloom.operators.dedupe import drop_incomplete, drop_rows, keep_first, repeated_rows
 from citeloom.schemas import CLEAN_REQUIRED
 
 
 def clean_publications(df: DataFrame, order: str = "dedupe_first", key: str = "Title",
                        order_by: Sequence[str] = ("_id",),
                        required: Sequence[str] = CLEAN_REQUIRED,
-                       observations: Mapping[str, Observation] | None = None) -> DataFrame:
+                       observations: Mapping[str, Observation] | None = None,
+                       row_id: str | None = None) -> DataFrame:
     """One record per ``key`` (the lowest ``order_by`` survives), then drop
     records with a NULL in ``required``.
 
@@ -29,22 +30,27 @@ def clean_publications(df: DataFrame, order: str = "dedupe_first", key: str = "T
 
     ``observations`` (``clean_observations()``) count the records before,
     between and after the two steps in the job that writes the result.
+    ``row_id`` names a stored column that numbers the rows: repeated records
+    are then found on narrow rows (``repeated_rows``).
     """
-    steps = {"dedupe": lambda d: keep_first(d, [key], list(order_by)),
-             "filter": lambda d: drop_incomplete(d, required)}
-    if order == "dedupe_first":
-        names = ("dedupe", "filter")
-    elif order == "filter_first":
-        names = ("filter", "dedupe")
-    else:
+    if order not in ("dedupe_first", "filter_first"):
         raise ValueError(f"unknown order {order!r}")
 
     def counted(d: DataFrame, place: str) -> DataFrame:
         return d.observe(observations[place], F.count(F.lit(1)).alias("n")) if observations else d
 
-    out = counted(df, "read")
-    out = counted(steps[names[0]](out), "between")
-    return counted(steps[names[1]](out), "kept")
+    def dedupe(d: DataFrame, plain: DataFrame) -> DataFrame:
+        if row_id is None:
+            return keep_first(d, [key], list(order_by))
+        return drop_rows(d, repeated_rows(plain, [key], list(order_by), row_id), row_id)
+
+    # ``plain`` is the same without counters: the narrow scan reads few columns and counts nothing.
+    out, plain = counted(df, "read"), df
+    if order == "dedupe_first":
+        out = counted(dedupe(out, plain), "between")
+        return counted(drop_incomplete(out, required), "kept")
+    out, plain = counted(drop_incomplete(out, required), "between"), drop_incomplete(plain, required)
+    return counted(dedupe(out, plain), "kept")
 
 
 def clean_observations() -> dict[str, Observation]:

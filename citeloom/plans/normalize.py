@@ -12,11 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.functions import (authors_array, decode_elements, extract_journal_name, issn_value,
-                                journal_flag, json_array_elements, last_item_not_object,
-                                last_quartil, normalize_quartile, parse_day_month_year,
-                                publication_date_text, quartile_items)
-from citeloom.functions.polymorphic import is_json_object
+from citeloom.functions import (authors_array, decode_list, extract_journal_name, issn_value,
+                                journal_flag, last_item_not_object, last_quartil, normalize_quartile,
+                                parse_day_month_year, publication_date_text, quartile_items, quartils_kind)
 from citeloom.operators.validate import canonical_projection, first_reason
 from citeloom.schemas import COLUMN_LIMITS, REQUIRED_REASON_COL
 
@@ -56,16 +54,12 @@ def normalize_publications(df: DataFrame, journal_from: str = "title",
     parsed = canon.select(
         "*",
         publication_date_text(F.col("`Publication Date`")).alias("__date_text"),
-        json_array_elements(F.col("Quartils")).alias("__array"),
-        is_json_object(F.col("Quartils")).alias("__is_object"),
+        decode_list("Quartils").alias("__elements"),
         extract_journal_name(line).alias("__journal_name"),
         line.alias("__journal_line"))
-    kind = (F.when(F.col("Quartils").isNull(), F.lit("missing"))
-            .when(F.col("__array").isNotNull(), F.lit("list"))
-            .when(F.col("__is_object"), F.lit("object"))
-            .otherwise(F.lit("string")))
+    kind = quartils_kind("Quartils", "__elements")
     date = F.when(F.col("__date_text") != "", parse_day_month_year(F.col("__date_text")))
-    dated = parsed.select("*", date.alias("__date"), decode_elements(F.col("__array")).alias("__elements"))
+    dated = parsed.select("*", date.alias("__date"))
     staged = dated.select(
         F.col("_id").alias("load_order"),
         F.col("Title").alias("title"),

@@ -27,9 +27,10 @@ from citeloom.functions.dates import date_parts
 from citeloom.operators.dimension import lookup_or_insert
 from citeloom.operators.facts import bridge_rows, not_loaded, resolve_key
 from citeloom.operators.keys import assign_keys
-from citeloom.operators.upsert import merge_last_wins
+from citeloom.operators.upsert import merge_last_wins, merge_touched
 from citeloom.schemas import FACT_PUBLICATION, STAR_TABLES, empty_table
 from citeloom.session import scratch_path
+from citeloom.sources.sinks import bucket_of
 
 
 #: Identifies an article's row while a load runs; fixed when the articles are written.
@@ -112,11 +113,10 @@ def keyed_publications(articles: DataFrame, dim_journal: DataFrame, fact_publica
                        match=_matcher(journal_match)).select(
         ROW_ID, "load_order", "title", "doi", "publication_date", "link", "abstract", "journal_id",
         F.col("last_quartil").alias("quartils"), "authors")
-    if idempotent:
-        rows = not_loaded(rows, fact_publication, ["title", "doi"])
+    new = not_loaded(rows, fact_publication, ["title", "doi"]) if idempotent else rows
     # Only the order travels through the range shuffle and the checkpoint; titles, abstracts and
     # authors join their key afterwards. The row id parts repeated and missing load orders.
-    keys = assign_keys(rows.select(ROW_ID, "load_order"), "publication_id", ["load_order", ROW_ID],
+    keys = assign_keys(new.select(ROW_ID, "load_order"), "publication_id", ["load_order", ROW_ID],
                        after=fact_publication)
     return rows.join(keys.select(ROW_ID, "publication_id"), ROW_ID).drop(ROW_ID)
 
@@ -139,6 +139,14 @@ def insert_dates(new_facts: DataFrame, dim_date: DataFrame) -> tuple[DataFrame,
     return lookup_or_insert(dim_date, dates, "full_date", "date_id")
 
 
+def touched_quartiles(articles: DataFrame, dim_journal: DataFrame, journal_quartile: DataFrame,
+                      salt_buckets: int | None = None, journal_match: str = "exact") -> DataFrame:
+    """The rows after the merge of those buckets of the quartile table that the articles touch."""
+    return merge_touched(journal_quartile, quartile_source(articles, dim_journal, salt_buckets, journal_match),
+                         keys=["annee", "id_journal"], values=["quartil"], order_by=["load_order", "pos"],
+                         key_col="quartil_id", bucket=lambda: bucket_of(F.col("id_journal")))
+
+
 class StarLoad(Mapping):
     """The tables of one load, each computed when first asked for.
 
@@ -177,6 +185,13 @@ class StarLoad(Mapping):
                 self._cached = self._source.sparkSession.read.schema(numbered.schema).parquet(path)
             return self._cached
 
+    @staticmethod
+    def _written(purpose: str, rows: DataFrame) -> DataFrame:
+        """Rows made from a table that they will be written into: kept apart from it meanwhile."""
+        path = scratch_path(rows.sparkSession, purpose)
+        rows.write.parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
     def _get(self, name: str, build) -> DataFrame:
         # One lock per table; tables depend on each other as a DAG and locks
         # are taken along it, so concurrent builders cannot deadlock.
@@ -187,18 +202,19 @@ class StarLoad(Mapping):
                 self._done[name] = build()
         return self._done[name]
 
-    def build_all(self, parallel: bool = True) -> "StarLoad":
-        """Build every table now. Independent tables are built concurrently
-        (one Spark job stream per thread), in dependency waves."""
+    def build_all(self, parallel: bool = True, added: bool = False) -> "StarLoad":
+        """Build every table now (with ``added``, only the rows it adds). Independent tables are
+        built concurrently (one Spark job stream per thread), in dependency waves."""
         waves = [["dim_journal"], ["journal_quartile", "fact_publication"],
                  ["dim_author", "dim_date", "quarantine"], ["publication_author"]]
+        build = self.added if added else self.__getitem__
         for wave in waves:
             if parallel and len(wave) > 1:
                 with ThreadPoolExecutor(max_workers=len(wave)) as pool:
-                    list(pool.map(self.__getitem__, wave))
+                    list(pool.map(build, wave))
             else:
                 for name in wave:
-                    self[name]
+                    build(name)
         return self
 
     def _keyed(self) -> DataFrame:
@@ -223,7 +239,10 @@ class StarLoad(Mapping):
             salt_buckets=self._salt))
 
     def added(self, name: str) -> DataFrame:
-        """The rows this load adds to a table (the whole table where rows change in place)."""
+        """The rows this load adds to a table (where rows change in place, the touched buckets whole)."""
+        if name == "journal_quartile":
+            return self._get("__touched", lambda: self._written("touched-quartiles", touched_quartiles(
+                self._articles, self["dim_journal"], self._cur["journal_quartile"], self._salt, self._match)))
         if name in ("dim_journal", "dim_author", "dim_date"):
             return self._inserted(name)[1]
         if name == "fact_publication":

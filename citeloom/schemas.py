@@ -80,6 +80,15 @@ STAR_TABLES = {
     "publication_author": PUBLICATION_AUTHOR,
 }
 
+#: Rows that a load could not place: articles with their reason, and landing lines that are no documents.
+QUARANTINE = (
+    "load_order string, title string, doi string, authors array<string>, publication_date_text string, "
+    "publication_date date, link string, abstract string, journal_line string, journal_name string, issn string, "
+    "quartils_kind string, journal_flag string, quartile_items array<struct<pos:int,annee:string,quartil:string>>, "
+    "last_quartil string, reject_reason string, reject_stage string")
+QUARANTINE_LANDING = "value string, reject_reason string"
+QUARANTINE_ORPHANS = "table_name string, foreign_key string, key_value string, reject_reason string"
+
 # Target column widths of the warehouse DDL (varchar(n)); checked only when a
 # load asks for it, since file tables do not enforce them.
 COLUMN_LIMITS = {

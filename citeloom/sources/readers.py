@@ -24,22 +24,24 @@ def _object_id(c):
 
 
 def publications_from_json_lines(lines: DataFrame, value_col: str = "value",
-                                 required: str = "present") -> DataFrame:
+                                 required: str = "present", keep_raw: bool = False) -> DataFrame:
     """Raw JSON documents (one per row) -> typed publication records.
 
     ``required="present"`` tests key presence on the raw text (a key with a
     null value counts as present); ``"non_null"`` tests values instead. The
     outcome travels as a column so the check happens after deduplication, in
-    the original order of steps.
+    the original order of steps. With ``keep_raw`` a column ``raw`` has the text
+    of rows that are no JSON object, and NULL for the others.
     """
     raw = F.col(value_col)
     parsed = lines.select(F.from_json(raw, PUBLICATION_RAW).alias("__doc"),
-                          F.json_object_keys(raw).alias("__keys"))
+                          F.json_object_keys(raw).alias("__keys"), raw.alias("__text"))
     reason = required_reason_from_keys(F.col("__keys"), REQUIRED_KEYS)
     out = parsed.select(
         *[(_object_id(F.col("__doc._id")) if f == "_id" else F.col(f"__doc.`{f}`")).alias(f)
           for f in PUBLICATION_RAW.fieldNames()],
-        reason.alias(REQUIRED_REASON_COL))
+        reason.alias(REQUIRED_REASON_COL),
+        *([F.when(F.col("__keys").isNull(), F.col("__text")).alias("raw")] if keep_raw else []))
     if required == "non_null":
         out = out.withColumn(REQUIRED_REASON_COL,
                              F.coalesce(F.when(F.col(REQUIRED_REASON_COL) == "not_an_object",
@@ -71,7 +73,7 @@ def _as_text(df: DataFrame, field: str) -> Column:
 
 def read_publications(spark: SparkSession, path: str, fmt: str = "json",
                       options: Mapping[str, str] | None = None,
-                      required: str = "present", partitions: int | None = None) -> DataFrame:
+                      required: str = "present", partitions: int | None = None, keep_raw: bool = False) -> DataFrame:
     """Landing data -> typed publication records.
 
     * ``json``: JSON Lines files (one document per line), read as text and
@@ -82,12 +84,13 @@ def read_publications(spark: SparkSession, path: str, fmt: str = "json",
       by the same rules as their JSON text.
 
     ``partitions`` deals the rows out before they are decoded (see
-    ``read_publications_text``).
+    ``read_publications_text``); ``keep_raw`` keeps the text of lines that are no
+    objects (see ``publications_from_json_lines``; NULL for typed rows).
     """
     options = dict(options or {})
     if fmt == "json":
         return publications_from_json_lines(read_publications_text(spark, path, options, partitions),
-                                            required=required)
+                                            required=required, keep_raw=keep_raw)
     if fmt == "parquet":
         df = spark.read.options(**options).parquet(path)
         missing = [f for f in PUBLICATION_RAW.fieldNames() if f not in df.columns]
@@ -98,13 +101,14 @@ def read_publications(spark: SparkSession, path: str, fmt: str = "json",
             reason = required_non_null_reason(REQUIRED_KEYS)
         else:  # a typed file has every key on every row, or on none
             reason = F.lit("missing_required_keys" if set(missing) & set(REQUIRED_KEYS) else None).cast("string")
-        return typed.withColumn(REQUIRED_REASON_COL, reason)
+        typed = typed.withColumn(REQUIRED_REASON_COL, reason)
+        return typed.withColumn("raw", F.lit(None).cast("string")) if keep_raw else typed
     reader = spark.read.format(fmt).options(**options)
     docs = reader.load(path) if path else reader.load()
     docs = docs.repartition(partitions) if partitions else docs
     lines = docs.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]),
                                   {"ignoreNullFields": "false"}).alias("value"))
-    return publications_from_json_lines(lines, required=required)
+    return publications_from_json_lines(lines, required=required, keep_raw=keep_raw)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

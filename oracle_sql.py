@@ -544,3 +544,50 @@ SELECT row_number() OVER (ORDER BY load_order) AS journal_id, journal_main, issn
 
 # Two loads of the same documents, once in memory and once through the published files.
 ORACLE_SQL["warehouse_two_loads"] = ORACLE_SQL["append_fact"]
+
+
+def _half(odd: int, select: str) -> str:
+    """A select over the star tables of one half of the orders, as a subquery."""
+    star = STAR.replace("ON o.o_custkey = c.c_custkey", f"ON o.o_custkey = c.c_custkey AND o.o_orderkey % 2 = {odd}")
+    return f"(WITH {star}\n{select})"
+
+
+# Two loads of one half each: the first load's journals, authors and dates stay, quartiles of the second win.
+_HALVES = ",\n".join(f"{name}{odd} AS {_half(odd, select)}" for odd in (0, 1) for name, select in (
+    ("j", "SELECT journal_main AS a, issn AS b, quartils AS c FROM dim_journal"),
+    ("u", "SELECT author_name AS a FROM dim_author"),
+    ("d", "SELECT full_date AS a FROM dim_date"),
+    ("q", "SELECT journal_main AS a, annee AS b, quartil AS c FROM journal_quartile JOIN dim_journal ON journal_id = id_journal"),
+    ("f", "SELECT title AS a, doi AS b, journal_main AS c FROM fact JOIN dim_journal USING (journal_id)"),
+    ("p", "SELECT title AS a, author_name AS b FROM bridge JOIN fact USING (publication_id) JOIN dim_author USING (author_id)")))
+
+ORACLE_SQL["warehouse_tables"] = f"""
+WITH {_HALVES},
+journals AS (SELECT * FROM j0 UNION ALL SELECT * FROM j1 WHERE a NOT IN (SELECT a FROM j0)),
+authors AS (SELECT a FROM u0 UNION SELECT a FROM u1),
+dates AS (SELECT a FROM d0 UNION SELECT a FROM d1),
+quartiles AS (SELECT * FROM q1 UNION ALL SELECT * FROM q0 WHERE (a, b) NOT IN (SELECT (a, b) FROM q1)),
+facts AS (SELECT * FROM f0 UNION ALL SELECT * FROM f1),
+named AS (
+  SELECT 'dim_journal' AS table_name, a, b, c FROM journals
+  UNION ALL SELECT 'dim_author', a, NULL, NULL FROM authors
+  UNION ALL SELECT 'dim_date', CAST(a AS VARCHAR), CAST(year(a) AS VARCHAR), NULL FROM dates
+  UNION ALL SELECT 'journal_quartile', a, b, c FROM quartiles
+  UNION ALL SELECT 'fact_publication', a, b, c FROM facts)
+SELECT * FROM named
+UNION ALL SELECT 'publication_author', a, b, NULL FROM (SELECT * FROM p0 UNION ALL SELECT * FROM p1)
+UNION ALL SELECT 'keys of ' || table_name, CAST(count(*) AS VARCHAR), CAST(count(*) AS VARCHAR), CAST(count(*) AS VARCHAR)
+FROM named GROUP BY table_name"""
+
+ORACLE_SQL["orphan_split"] = """
+WITH o AS (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+p AS (SELECT p_partkey FROM part WHERE p_size > 5),
+l AS (SELECT *, l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM o) AS no_order,
+             l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM p) AS no_part FROM lineitem)
+SELECT 'kept' AS fate, CAST(l_orderkey AS VARCHAR) AS key_value, CAST(l_linenumber AS VARCHAR) AS line FROM l
+WHERE NOT no_order AND NOT no_part
+UNION ALL SELECT 'no_row_in_orders', CAST(l_orderkey AS VARCHAR), NULL FROM l WHERE no_order
+UNION ALL SELECT 'no_row_in_part', CAST(l_partkey AS VARCHAR), NULL FROM l WHERE no_part"""
+
+ORACLE_SQL["merge_touched"] = ORACLE_SQL["upsert_quartile"].replace(
+    "o_orderstatus <> 'F'", "o_orderstatus <> 'F' AND id_journal % 20 = 0")

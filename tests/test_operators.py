@@ -6,8 +6,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from citeloom.operators import (append_rows, assign_keys, bridge_rows, keep_first, keep_last,
-                                lookup_or_insert, max_key, merge_last_wins, orphans, resolve_key)
+from citeloom.operators import (assign_keys, bridge_rows, drop_rows, keep_first, lookup_or_insert, merge_last_wins,
+                                merge_touched, not_loaded, orphans, repeated_rows, resolve_key)
 from citeloom.schemas import DIM_JOURNAL, JOURNAL_QUARTILE, empty_table
 from conftest import canon, rows
 
@@ -27,7 +27,21 @@ def test_keep_first_and_last(spark):
         if k not in last or i > last[k][0]:
             last[k] = (i, k, v)
     assert rows(keep_first(df, ["k"], ["id"]), "id", "k", "v") == canon(first.values())
-    assert rows(keep_last(df, ["k"], ["id"]), "id", "k", "v") == canon(last.values())
+    assert rows(keep_first(df, ["k"], ["id"], last=True), "id", "k", "v") == canon(last.values())
+    # The same from narrow rows with a row id; equal orders keep the lower id.
+    numbered = df.withColumn("row", F.col("id").cast("int")).withColumn("same", F.lit(1))
+    for order, want in (("id", first), ("same", first)):
+        lost = repeated_rows(numbered, ["k"], [order], "row")
+        assert rows(drop_rows(numbered, lost, "row"), "id", "k", "v") == canon(want.values())
+
+
+def test_repeated_rows_sorts_no_wide_row(spark, tmp_path):
+    spark.range(50).selectExpr("id", "repeat(string(id % 7), 1000) as text", "string(id) as o").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = drop_rows(df, repeated_rows(df, ["text"], ["o"], "id"), "id")
+    assert out.count() == 7
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate(key=[text" not in plan and "min_by(text" not in plan
 
 
 def test_keep_first_is_partial_aggregate(spark):
@@ -63,12 +77,6 @@ def test_assign_keys_empty(spark):
     assert assign_keys(df, "key", ["id"], start=5).count() == 0
 
 
-def test_max_key(spark):
-    assert max_key(empty_table(spark, "dim_journal"), "journal_id") == 0
-    df = spark.createDataFrame([(3,), (9,)], "journal_id long")
-    assert max_key(df, "journal_id") == 9
-
-
 def test_lookup_or_insert_first_writer_wins(spark):
     existing = spark.createDataFrame([(1, "Old", "X", "indexe")], DIM_JOURNAL)
     cands = spark.createDataFrame(
@@ -101,13 +109,22 @@ def test_bridge_and_orphans(spark):
     assert rows(bad) == [(1, 99)]
 
 
-def test_append_rows_idempotent(spark):
+def test_not_loaded_compares_nulls(spark):
     cur = spark.createDataFrame([("t1", "d1"), ("t2", None)], "title string, doi string")
     new = spark.createDataFrame([("t1", "d1"), ("t2", None), ("t3", "d3")], "title string, doi string")
-    plain, _ = append_rows(cur, new)
-    assert plain.count() == 5
-    idem, added = append_rows(cur, new, ["title", "doi"])
-    assert rows(added) == [("t3", "d3")] and idem.count() == 3
+    assert rows(not_loaded(new, cur, ["title", "doi"])) == [("t3", "d3")]
+
+
+def test_merge_touched_is_the_merge_of_the_touched_buckets(spark):
+    bucket = lambda: F.col("id_journal") % 5
+    target = spark.createDataFrame([(i + 1, str(2000 + i % 3), f"Q{i}", i // 3) for i in range(30)], JOURNAL_QUARTILE)
+    source = spark.createDataFrame([("2001", "N1", 2, "a", 0), ("2001", "N2", 2, "b", 0), ("1990", "N3", 7, "a", 1)],
+                                   "annee string, quartil string, id_journal long, load_order string, pos int")
+    args = (["annee", "id_journal"], ["quartil"], ["load_order", "pos"], "quartil_id")
+    whole = merge_last_wins(target, source, *args)
+    touched = merge_touched(target, source, *args, bucket=bucket)
+    assert rows(touched) == rows(whole.where(bucket() == 2))
+    assert merge_touched(target, source.limit(0), *args, bucket=bucket).count() == 0
 
 
 def test_hot_key_not_collected(spark):
