@@ -26,7 +26,7 @@ from citeloom.plans import (clean_publications, index_share, load_star,  # noqa:
                             normalize_publications, publications_per_year, quartile_changes,
                             split_orphans, top_authors)
 from citeloom.plans.pipeline import preview, run_batch, stage_clean  # noqa: E402
-from citeloom.plans.star import load_authors  # noqa: E402
+from citeloom.plans.star import load_authors, written_articles  # noqa: E402
 from citeloom.schemas import DIM_AUTHOR, DIM_JOURNAL, JOURNAL_QUARTILE  # noqa: E402
 from citeloom.session import scratch_path  # noqa: E402
 from citeloom.sources import (create_tables, explode_users, publications_from_json_lines,  # noqa: E402
@@ -558,7 +558,8 @@ def q_quarantine_split(spark, sf_dir):
 
 def _second_load(spark, sf_dir, idempotent):
     # The first load is handed over as it is: only the tables that facts need are built.
-    return star(spark, sf_dir, current=star(spark, sf_dir), idempotent=idempotent)["fact_publication"]
+    articles = written_articles(order_articles(spark, sf_dir))
+    return load_star(articles, load_star(articles), idempotent=idempotent)["fact_publication"]
 
 
 def q_append_fact(spark, sf_dir):

@@ -42,16 +42,15 @@ def looks_like_json_array(text) -> Column:
     return t.startswith("[") & t.endswith("]")
 
 
-def _parsed_array(t: Column, kind: str) -> Column:
-    """The elements of a JSON-array text as ``kind``, by one parse; NULL for what VARIANT refuses.
+def _enclosed(t: Column) -> Column:
+    """A JSON-array text parsed once, as the only element before an end mark; NULL for what is no array.
 
-    The parser stops at the end of the first value and would pass over what follows it; so the
-    text is parsed inside an array, before an end mark: if the mark is the second element, the
-    text is one value.
+    The parser stops at the end of the first value and would pass over what follows it; inside an
+    array the mark is the second element only if the text is one value.
     """
     enclosed = F.try_parse_json(F.concat(F.lit("["), t, F.lit(f',"{_END}"]')))
     return F.when(looks_like_json_array(t) & ~t.contains(_END), _let(enclosed, lambda p: F.when(
-        F.try_variant_get(p, "$[1]", "string") == _END, F.try_variant_get(p, "$[0]", kind))))
+        F.try_variant_get(p, "$[1]", "string") == _END, p)))
 
 
 def _text_elements(t: Column) -> Column:
@@ -69,7 +68,7 @@ def _text_elements(t: Column) -> Column:
 def json_array_elements(text) -> Column:
     """Element texts of a JSON-array text; NULL for anything else or invalid JSON."""
     t = _col(text)
-    return F.coalesce(_parsed_array(t, "array<string>"), _text_elements(t))
+    return F.coalesce(F.try_variant_get(_enclosed(t), "$[0]", "array<string>"), _text_elements(t))
 
 
 def is_json_object(text) -> Column:
@@ -85,52 +84,42 @@ def json_value(text, key: str) -> Column:
     return F.get_json_object(_col(text), f"$['{key}']")
 
 
-def is_truthy_json(raw) -> Column:
-    """Python's truth of a JSON value given as JSON text (NULL when absent): null, false, zero and
-    the empty string, list and object are false."""
-    r = _col(raw)
-    empty = r.isin("null", "false", '""', "[]", "{}")
-    zero = ~r.startswith('"') & F.coalesce(r.try_cast("double") == 0, F.lit(False))
-    return r.isNotNull() & ~empty & ~zero
+def _true(kind: Column, text: Column) -> Column:
+    """Python's truth of a JSON value, from its kind (the schema text of the VARIANT) and its text: null,
+    false, zero and the empty string, list and object are false; so is a value that is not there."""
+    return F.coalesce(F.when(kind == "STRING", text != "").when(kind == "VOID", F.lit(False))
+                      .when(kind == "BOOLEAN", text == "true").when(kind.contains("<"), ~text.isin("[]", "{}"))
+                      .otherwise(text.try_cast("double") != 0), F.lit(False))
 
 
-def _items(members: Column) -> Column:
-    """array<struct<object, year, quartile, has_year, has_quartile>> of variants -> the items that the rules read."""
-    def read(m: Column) -> Column:
-        return F.struct(m["object"].alias("object"), m["has_year"].alias("has_year"), m["has_quartile"].alias("has_quartile"),
-                        F.try_variant_get(m["year"], "$", "string").alias("annee"),
-                        F.try_variant_get(m["quartile"], "$", "string").alias("quartil"),
-                        F.to_json(m["year"]).alias("year_json"), F.to_json(m["quartile"]).alias("quartile_json"))
+def _item(object_: Column, has_year: Column, has_quartile: Column, year: Column, quartile: Column, texts: Column) -> Column:
+    """What the rules read of an item: its two values as variants and as texts."""
+    return F.struct(object_.alias("object"), has_quartile.alias("has_quartile"), (has_year & has_quartile).alias("candidate"),
+                    (_true(F.schema_of_variant(year), texts[YEAR_KEY])
+                     & _true(F.schema_of_variant(quartile), texts[QUARTILE_KEY])).alias("valid"),
+                    texts[YEAR_KEY].alias("annee"), texts[QUARTILE_KEY].alias("quartil"))
 
-    return F.transform(F.transform(members, read), lambda r: F.struct(
-        r["object"].alias("object"), r["has_quartile"].alias("has_quartile"),
-        (r["has_year"] & r["has_quartile"]).alias("candidate"),
-        (is_truthy_json(r["year_json"]) & is_truthy_json(r["quartile_json"])).alias("valid"),
-        r["annee"].alias("annee"), r["quartil"].alias("quartil")))
 
-
-def _variant_items(elements: Column) -> Column:
-    found = F.transform(elements, lambda x: F.struct(
-        x.alias("x"), F.try_variant_get(x, f"$['{YEAR_KEY}']", "variant").alias("year"),
-        F.try_variant_get(x, f"$['{QUARTILE_KEY}']", "variant").alias("quartile")))
-    return _items(F.transform(found, lambda s: F.struct(
-        F.coalesce(s["year"].isNotNull() | s["quartile"].isNotNull() | F.schema_of_variant(s["x"]).startswith("OBJECT"),
-                   F.lit(False)).alias("object"),
-        s["year"].alias("year"), s["quartile"].alias("quartile"),
-        s["year"].isNotNull().alias("has_year"), s["quartile"].isNotNull().alias("has_quartile"))))
+def _variant_items(t: Column) -> Column:
+    def both(p: Column) -> Column:
+        def members(kind: str) -> Column:  # an item that is no object is NULL
+            return F.try_variant_get(p, "$[0]", f"array<struct<`{YEAR_KEY}`:{kind},{QUARTILE_KEY}:{kind}>>")
+        return F.zip_with(members("variant"), members("string"), lambda m, texts: _item(
+            m.isNotNull(), m[YEAR_KEY].isNotNull(), m[QUARTILE_KEY].isNotNull(), m[YEAR_KEY], m[QUARTILE_KEY], texts))
+    return _let(_enclosed(t), both)
 
 
 def _text_items(elements: Column) -> Column:
     found = F.transform(elements, lambda x: F.struct(
         F.json_object_keys(x).alias("keys"),
-        F.from_json(x, f"struct<`{YEAR_KEY}`:variant,{QUARTILE_KEY}:variant>").alias("it")))
+        F.from_json(x, f"struct<`{YEAR_KEY}`:variant,{QUARTILE_KEY}:variant>").alias("it"),
+        F.from_json(x, f"struct<`{YEAR_KEY}`:string,{QUARTILE_KEY}:string>").alias("texts")))
 
     def has(s: Column, key: str) -> Column:
         return F.coalesce(F.array_contains(s["keys"], F.lit(key)), F.lit(False))
 
-    return _items(F.transform(found, lambda s: F.struct(
-        s["keys"].isNotNull().alias("object"), s["it"][YEAR_KEY].alias("year"), s["it"][QUARTILE_KEY].alias("quartile"),
-        has(s, YEAR_KEY).alias("has_year"), has(s, QUARTILE_KEY).alias("has_quartile"))))
+    return F.transform(found, lambda s: _item(s["keys"].isNotNull(), has(s, YEAR_KEY), has(s, QUARTILE_KEY),
+                                              s["it"][YEAR_KEY], s["it"][QUARTILE_KEY], s["texts"]))
 
 
 def decode_list(text) -> Column:
@@ -140,7 +129,7 @@ def decode_list(text) -> Column:
     NULL for anything but a list. Every rule below reads this; select it under a name of its own
     where several rules use it."""
     t = _col(text)
-    return F.coalesce(_variant_items(_parsed_array(t, "array<variant>")), _text_items(_text_elements(t)))
+    return F.coalesce(_variant_items(t), _text_items(_text_elements(t)))
 
 
 def quartils_kind(text, decoded) -> Column:

@@ -139,6 +139,14 @@ def insert_dates(new_facts: DataFrame, dim_date: DataFrame) -> tuple[DataFrame,
     return lookup_or_insert(dim_date, dates, "full_date", "date_id")
 
 
+def written_articles(articles: DataFrame) -> DataFrame:
+    """The articles as a written table with their ``ROW_ID``: several loads of them decode them once."""
+    path = scratch_path(articles.sparkSession, "articles")
+    numbered = articles.withColumn(ROW_ID, F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    return articles.sparkSession.read.schema(numbered.schema).parquet(path)
+
+
 def touched_quartiles(articles: DataFrame, dim_journal: DataFrame, journal_quartile: DataFrame,
                       salt_buckets: int | None = None, journal_match: str = "exact") -> DataFrame:
     """The rows after the merge of those buckets of the quartile table that the articles touch."""
@@ -179,10 +187,7 @@ class StarLoad(Mapping):
         quarantine alone reads them once, unwritten.)"""
         with self._guard:
             if self._cached is None:
-                path = scratch_path(self._source.sparkSession, "articles")
-                numbered = self._source.withColumn(ROW_ID, F.monotonically_increasing_id())
-                numbered.write.parquet(path)
-                self._cached = self._source.sparkSession.read.schema(numbered.schema).parquet(path)
+                self._cached = self._source if ROW_ID in self._source.columns else written_articles(self._source)
             return self._cached
 
     @staticmethod
