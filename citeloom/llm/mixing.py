@@ -1,6 +1,6 @@
 """Mixing sources to target weights (DataFrame functions only).
 
-1. Sizes are summed for each source in 4096 hash cells; running sums over a
+1. Sizes are summed for each source in 65,536 hash cells; running sums over a
    source's cells give every document its place in the source's stream, which
    is in hash order, i.e. a fixed random permutation of its documents. Cells
    split hot sources: no window holds more than one cell of one source.
@@ -18,8 +18,9 @@
 5. A shard takes its quota of each source as the next disjoint run of blocks of
    the permuted stream, and orders its documents by hash.
 
-The tree and the targets work on one row a source and at most ``blocks`` plus
-one block a source, whatever the size of the corpus.
+The targets work on one row a source, the tree on one row a block: at most
+``blocks`` and one a source, whatever the size of the corpus. Their windows
+hold those rows only, so they are bounded by the number of sources.
 
 Defined results: a null text has size 0; documents of size 0 are never drawn;
 null sources are one source, ranked last; null ids pass through; repeated rows
@@ -38,7 +39,7 @@ from .common import blank_words, whole
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-CELL_BITS = 12
+CELL_BITS = 16
 BLOCKS = 1 << 16
 SHARDS = 16
 SEED = 17
@@ -71,59 +72,40 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
         F.col("cap").cast("double"), F.coalesce(fixed * F.col("weight"), F.col("cap").cast("double"))).alias("target"))
 
 
-def _split_left(quotas: Column, n_left: Column, seed: Column) -> Column:
-    """How many blocks of each source go left: ``n_left`` blocks sampled without replacement.
-
-    Selection sampling: each block in turn goes left with the chance (left to
-    take) / (left to see), so the counts by source are hypergeometric.
-    """
-    def pick(state: Column, q: Column, source: Column) -> Column:
-        start = F.struct(state["rest"].alias("rest"), state["take"].alias("take"), F.lit(0).cast("long").alias("got"))
-        one = lambda a, t: F.struct(
-            (a["rest"] - 1).alias("rest"),
-            (a["take"] - _goes(a, t, source)).alias("take"), (a["got"] + _goes(a, t, source)).alias("got"))
-        return F.aggregate(F.when(q > 0, F.sequence(F.lit(1).cast("long"), q)).otherwise(F.array().cast("array<bigint>")),
-                           start, one)
-
-    def _goes(a: Column, t: Column, source: Column) -> Column:
-        return (F.pmod(F.xxhash64(seed, source, t), a["rest"]) < a["take"]).cast("long")
-
-    first = F.struct(F.aggregate(quotas, F.lit(0).cast("long"), lambda a, b: a + b).alias("rest"),
-                     n_left.alias("take"), F.array().cast("array<bigint>").alias("out"))
-    numbered = F.transform(quotas, lambda q, i: F.struct(q.alias("q"), i.alias("i")))
-
-    def step(state: Column, x: Column) -> Column:
-        done = F.transform(F.array(x), lambda y: pick(state, y["q"], y["i"]))
-        got = F.get(done, F.lit(0))
-        return F.struct(got["rest"].alias("rest"), got["take"].alias("take"),
-                        F.concat(state["out"], F.array(got["got"])).alias("out"))
-
-    return F.aggregate(numbered, first, step, lambda a: a["out"])
+def _split(tree: DataFrame, seed: int) -> DataFrame:
+    """The children of the tree's nodes: ``tree`` has a row a block (rank, block) with its node, the
+    ``n`` shards from ``low`` on. A node of one shard stays."""
+    node = Window.partitionBy("low", "n")
+    drawn = F.row_number().over(node.orderBy(F.xxhash64(F.lit(seed), "low", "n", "rank", "block"), "rank", "block"))
+    half = F.floor(F.col("n") / 2).cast("int")
+    left = drawn <= F.floor(F.count("*").over(node) * half / F.col("n"))
+    return tree.withColumns({"half": half, "left": left}).select(
+        "rank", "block",
+        F.when((F.col("n") > 1) & ~F.col("left"), F.col("low") + F.col("half")).otherwise(F.col("low")).alias("low"),
+        F.when(F.col("n") <= 1, F.col("n")).when(F.col("left"), F.col("half"))
+        .otherwise(F.col("n") - F.col("half")).alias("n"))
 
 
 def shard_quotas(sources: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS, seed: int = SEED) -> DataFrame:
     """``sources`` with ``block_words`` and ``firsts``: for each shard the first of its source's
-    blocks that it takes (its quota is the distance to the next)."""
+    blocks that it takes (its quota is the distance to the next).
+
+    The tree's nodes are rows, one a block: a node orders its blocks by a hash of its own and sends
+    the first of them left, as many as its left shards' part. Blocks drawn without replacement
+    have hypergeometric counts by source.
+    """
     sources = sources.withColumn("block_words", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("total") / blocks)))
     sources = sources.withColumn("quota", F.ceil(F.col("target") / F.col("block_words")).cast("long"))
-    nodes = sources.groupBy().agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("rank", "quota"))), lambda x: x["quota"]).alias("quotas"))
-    nodes = nodes.select(F.lit(0).alias("low"), F.lit(shards).alias("n"), "quotas")
+    tree = (sources.where(F.col("quota") > 0)
+            .select("rank", F.explode(F.sequence(F.lit(1).cast("long"), "quota")).alias("block"))
+            .withColumns({"low": F.lit(0), "n": F.lit(shards)}))
     for _ in range(math.ceil(math.log2(max(1, shards)))):
-        half = (F.col("n") / 2).cast("int")
-        all_blocks = F.aggregate("quotas", F.lit(0).cast("long"), lambda a, b: a + b)
-        nodes = nodes.withColumn("left", F.when(F.col("n") > 1, _split_left(
-            F.col("quotas"), F.floor(all_blocks * half / F.col("n")).cast("long"),
-            F.xxhash64(F.lit(seed), "low", "n"))).otherwise(F.col("quotas")))
-        left = F.struct(F.col("low"), F.greatest(half, F.lit(1)).alias("n"), F.col("left").alias("quotas"))
-        right = F.struct((F.col("low") + half).alias("low"), (F.col("n") - half).alias("n"),
-                         F.zip_with("quotas", "left", lambda a, b: a - b).alias("quotas"))
-        nodes = nodes.select(F.inline(F.when(F.col("n") > 1, F.array(left, right)).otherwise(F.array(left))))
-    leaves = nodes.select(F.col("low").alias("shard"), F.posexplode("quotas").alias("at", "taken"))
-    firsts = (leaves.groupBy("at").agg(F.sort_array(F.collect_list(F.struct("shard", "taken"))).alias("s"))
-              .select("at", F.transform("s", lambda x, i: F.aggregate(
-                  F.slice("s", F.lit(1), i), F.lit(0).cast("long"), lambda a, b: a + b["taken"])).alias("firsts")))
-    return sources.join(firsts, F.col("rank") == F.col("at")).drop("at")
+        tree = _split(tree, seed)
+    quotas = tree.groupBy("rank").pivot("low", list(range(shards))).count()
+    firsts = quotas.select(F.col("rank").alias("at"), F.array(*[
+        sum((F.coalesce(f"`{s}`", F.lit(0).cast("long")) for s in range(shard)), F.lit(0).cast("long"))
+        for shard in range(shards)]).alias("firsts"))
+    return sources.join(firsts, F.col("rank") == F.col("at"), "left").drop("at")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -144,28 +126,30 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sizes = (cells.groupBy("__mix_key").agg(F.sum("words").alias("source_size"))
              .withColumn("source", F.when(F.col("__mix_key") != "", F.col("__mix_key"))))
     plan = shard_quotas(targets(sizes.select("source", "source_size"), weights, max_epochs), shards, blocks, seed)
-    plan = plan.select(F.coalesce("source", F.lit("")).alias("__mix_key"), "source_size", "target", "block_words",
-                       "firsts")
+    plan = plan.select(F.coalesce("source", F.lit("")).alias("__mix_key"), F.struct(
+        "source_size", "target", "block_words", "firsts").alias("__mix_plan"))
     run = Window.partitionBy("__mix_key").orderBy("__mix_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = (cells.withColumn("before", F.coalesce(F.sum("words").over(run), F.lit(0)))
+    cells = (cells.withColumn("__mix_earlier", F.coalesce(F.sum("words").over(run), F.lit(0)))
              .join(plan, "__mix_key").drop("words"))
     inside = (Window.partitionBy("__mix_key", "__mix_cell").orderBy("__mix_hash", "__mix_size")
               .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("__mix_before", F.coalesce(F.sum("__mix_size").over(inside), F.lit(0)))
     d = d.join(cells, ["__mix_key", "__mix_cell"])
-    middle = F.col("before") + F.col("__mix_before") + F.floor(F.col("__mix_size") / 2)
+    middle = F.col("__mix_earlier") + F.col("__mix_before") + F.floor(F.col("__mix_size") / 2)
+    of = {c: F.col("__mix_plan")[c] for c in ("source_size", "target", "block_words", "firsts")}
 
     def draw(copy: Column) -> Column:
-        place = copy * F.col("source_size") + middle
-        block = F.floor(place / F.col("block_words"))
-        return F.when((F.col("__mix_size") > 0) & (place < F.col("target")), F.struct(
+        place = copy * of["source_size"] + middle
+        block = F.floor(place / of["block_words"])
+        return F.when((F.col("__mix_size") > 0) & (place < of["target"]), F.struct(
             copy.alias("copy"), block.alias("block"),
-            (F.size(F.filter("firsts", lambda x: x <= block)) - 1).alias("shard"),
+            (F.size(F.filter(of["firsts"], lambda x: x <= block)) - 1).alias("shard"),
             F.xxhash64(F.lit(seed), "__mix_hash", copy).alias("place")))
 
     draws = F.filter(F.array(*[draw(F.lit(k)) for k in range(max_epochs)]), lambda x: x.isNotNull())
     return d.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(
-        F.col("__mix_size").alias("size"), "source_size", "target", draws.alias("draws")).alias("__mix_"))
+        F.col("__mix_size").alias("size"), of["source_size"].alias("source_size"), of["target"].alias("target"),
+        draws.alias("draws")).alias("__mix_"))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:

@@ -306,10 +306,9 @@ def _joined(spans: Column) -> Column:
         ":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def disclosures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", everywhere: bool = True) -> DataFrame:
+def disclosures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row: id, row_key, counts, base_sha256, base spans, and terms, all places of
-    disclosing terms (start, end, disclosure, kind of entity); unless ``everywhere``, only in rows that
-    hold an entity."""
+    disclosing terms (start, end, disclosure, kind of entity)."""
     found = find_entities(docs, id_col, text_col)
     terms = stored(disclosing_terms(found, docs, text_col), "pii-terms")
     marked = (term_places(docs, term_bitmap(terms.select("term").distinct()), id_col, text_col).join(terms, "term")
@@ -317,17 +316,17 @@ def disclosures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("spans"),
                   F.collect_set(F.struct("start", "end", "disclosure", "kind")).alias("terms")))
     same = (F.col("row_key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("of_id"))
-    if not everywhere:
-        same &= F.size("base") > 0
     return found.join(marked, same, "left").drop("of_id", "of_key")
 
 
 def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove: float = REMOVE) -> DataFrame:
     """(id, row_key, text): entities replaced by their kind, disclosing terms generalised or removed."""
     marks = disclosures(docs, id_col, text_col).where(
-        (F.size("base") > 0) | F.col("terms").isNotNull()).dropDuplicates(["row_key"]).select("row_key", "base", "terms")
+        (F.size("base") > 0) | F.col("terms").isNotNull()).dropDuplicates(["id", "row_key"]).select(
+        F.col("id").alias("of_id"), F.col("row_key").alias("of_key"), "base", "terms")
+    same = (F.col("row_key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("of_id"))
     both = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("row_key"),
-                       whole(F.col(text_col)).alias("t")).join(marks, "row_key", "left")
+                       whole(F.col(text_col)).alias("t")).join(marks, same, "left").drop("of_id", "of_key")
 
     def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,8 +352,8 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
 
 
 def pii_digest(docs: DataFrame) -> DataFrame:
-    """The digest of ``op9``: one row per document; terms are marked where the document holds an entity."""
-    d = disclosures(docs.select("doc_id", "text"), everywhere=False)
+    """The digest of ``op9``: one row per document."""
+    d = disclosures(docs.select("doc_id", "text"))
     spans = F.concat("base", F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,end:int>>")))
     return d.select(F.col("id").alias("doc_id"), *[f"n_{k}" for k in KINDS], "base_sha256",
                     _joined(spans).alias("spans"))

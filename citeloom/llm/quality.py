@@ -99,6 +99,10 @@ def annotate(docs: DataFrame, text_col: str = "text", out: str = "quality",
     t, w, lines, bad, h, s, p = (F.col(f"__q_{x}") for x in ("t", "w", "lines", "bad", "h", "s", "p"))
     if out in docs.columns and out != text_col:
         docs = docs.drop(out)
+    # Columns that are named like the steps' own stand aside meanwhile.
+    aside = {c: f"__kept{c}" for c in docs.columns if c.startswith("__q_")}
+    docs = docs.withColumnsRenamed(aside)
+    text_col = aside.get(text_col, text_col)
     d = docs.withColumn("__q_t", whole(F.col(text_col))).withColumn("__q_low", F.lower(t))
     d = d.withColumns({
         "__q_w": blank_words(t),
@@ -149,7 +153,7 @@ def annotate(docs: DataFrame, text_col: str = "text", out: str = "quality",
         F.size(lines).cast("long").alias("n_lines"),
         F.size(F.filter(bad, lambda b: b)).cast("long").alias("n_bad_lines"),
         lost.alias("lost_chars"), clean.alias("cleaned")))
-    return d.drop(*[c for c in d.columns if c.startswith("__q_")])
+    return d.drop(*[c for c in d.columns if c.startswith("__q_")]).withColumnsRenamed({v: k for k, v in aside.items()})
 
 
 def keep_clean(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:

@@ -87,6 +87,10 @@ _PHRASES = " OR ".join(f"contains(lower(l), '{p}')" for p in quality.BOILERPLATE
 
 
 
+#: Levels of the SQL's tree, which cannot go on until no path does: more than any path of the tables has.
+_URL_LEVELS = 10
+
+
 def _url_sql() -> str:
     """The URL filter: rules, generalised segments, one pair of steps a level of the tree, purity."""
     rules = sorted(urls.RULES, key=lambda r: (len(r[0]) + len(r[1]), len(r[0])), reverse=True)
@@ -103,7 +107,7 @@ def _url_sql() -> str:
       ELSE s END"""
     url = r"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)'"
     levels = ""
-    for k in range(urls.DEPTH + 1):
+    for k in range(_URL_LEVELS):
         levels += f""",
 c{k} AS (SELECT host, template, segs[{k + 1}] AS child, sum(n) AS n, sum(a) AS a, sum(b) AS b FROM t{k}
   WHERE len(segs) > {k} GROUP BY ALL),
@@ -117,20 +121,18 @@ n{k} AS (SELECT host, template, child, CASE
     ELSE child END AS name FROM z{k}),
 t{k + 1} AS (SELECT t.host, segs, n, a, b, CASE WHEN name IS NULL THEN t.template ELSE t.template || '/' || name END AS template
   FROM t{k} t LEFT JOIN n{k} x ON x.host = t.host AND x.template = t.template AND x.child = t.segs[{k + 1}])"""
-    last = f"t{urls.DEPTH + 1}"
+    last = f"t{_URL_LEVELS}"
     return f"""
 WITH u AS (
   SELECT row_number() OVER () AS r, page_id, translate({url}, 1), {UPPER_LOWER}) AS host, {url}, 2) AS path FROM pages),
 j AS (SELECT *, CASE {rule} END AS rule, CASE {verdict} END AS by_rule,
         list_filter(string_split(path, '/'), lambda s: s <> '') AS parts FROM u),
 g AS (SELECT r, page_id, host, path, rule, by_rule,
-        list_transform(parts[1:{urls.DEPTH}], lambda s: {general})
-        || CASE WHEN len(parts) > {urls.DEPTH} THEN ['**'] ELSE [] END AS segs FROM j),
+        list_transform(parts, lambda s: {general}) AS segs FROM j),
 t0 AS (SELECT host, segs, count(*) AS n, count(*) FILTER (by_rule = 'allow') AS a, count(*) FILTER (by_rule = 'block') AS b,
         '' AS template FROM g GROUP BY host, segs){levels},
 f AS (SELECT host, template, sum(a) AS a, sum(b) AS b FROM {last} GROUP BY ALL),
-h AS (SELECT host, (sum(b) + 1) / (sum(a) + sum(b) + 2) AS hp FROM f GROUP BY host),
-v AS (SELECT f.host, template, (b + {urls.HOST_LABELS} * hp) / (a + b + {urls.HOST_LABELS}) AS purity FROM f JOIN h USING (host))
+v AS (SELECT host, template, (b + {urls.PRIOR_LABELS} * 0.5::DOUBLE) / (a + b + {urls.PRIOR_LABELS}) AS purity FROM f)
 SELECT page_id, g.host, path, rule, coalesce(by_rule, CASE WHEN purity >= {urls.REJECT} THEN 'block' ELSE 'allow' END) AS verdict,
        x.template, purity
 FROM g JOIN {last} x ON x.host = g.host AND x.segs = g.segs JOIN v ON v.host = x.host AND v.template = x.template"""

@@ -6,15 +6,20 @@ host: variable path segments (numbers, dates, hashes, identifiers) become
 wildcards at once; level by level, the children of a node become one wildcard
 branch where they hardly ever repeat, and labelled branches merge where the
 share of blocked pages does not tell them apart from their siblings (a
-two-proportion test on smoothed shares). A template's purity is its share of
-blocked labels, smoothed towards its host's share, which is smoothed towards one
-half. Templates whose purity reaches ``REJECT`` are rejected, and so are the
-pages without a rule that fall under them; hosts without labels pass.
+two-proportion test on smoothed shares). A template's purity is the share of
+blocked pages among its own labels, smoothed towards one half by two labels.
+Templates whose purity reaches ``REJECT`` are rejected, and so are the pages
+without a rule that fall under them; templates without labels pass, whatever
+the rest of their host is like.
 
 Pages are pre-aggregated to distinct (host, segments) before anything is
-shuffled; the tree works on those rows, with one aggregate and one join a
-level, each level written to the shared folder. The verdicts return to the pages by a salted join, as a host may hold a
-third of all pages.
+shuffled; the tree works on those rows, with two aggregates and two joins a
+step, each step written to the shared folder. A step takes every node to where
+its paths part (what they share is passed over, as a node with one child
+neither merges nor varies), and paths that are alone in their node are done;
+so there are as many steps as partings above one another, at any depth. The
+verdicts return to the pages by a salted join, as a host may hold a third of
+all pages.
 
 Defined results: null urls, and urls without ``://``, have empty host and
 path, fit no rule and are judged by the empty template; null page ids and
@@ -37,8 +42,6 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-#: Levels of the tree; what lies deeper is one wildcard tail.
-DEPTH = 4
 #: A node's children are variable if it has this many and fewer than REPEATS pages for each.
 VARIABLE_CHILDREN = 20
 REPEATS = 3
@@ -46,10 +49,10 @@ REPEATS = 3
 #: (with few labels the test alone tells nothing apart).
 Z = 1.64
 NEAR = 0.25
-#: Smoothed share of blocked labels from which a template is rejected, and how many labels its
-#: host's share counts for.
+#: Smoothed share of blocked labels from which a template is rejected, and how many labels the
+#: even share counts for that it is smoothed towards.
 REJECT = 0.9
-HOST_LABELS = 2
+PRIOR_LABELS = 2
 SALTS = 16
 
 
@@ -84,52 +87,73 @@ def generalised(segment: Column) -> Column:
             .otherwise(segment))
 
 
-def segments_of(path: Column, depth: int = DEPTH) -> Column:
-    """The generalised segments; those beyond ``depth`` are one tail ``**``."""
-    parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    head = F.transform(F.slice(parts, 1, depth), generalised)
-    return F.when(F.size(parts) > depth, F.concat(head, F.array(F.lit("**")))).otherwise(head)
-
-
-def path_templates(shapes: DataFrame, depth: int = DEPTH, variable_children: int = VARIABLE_CHILDREN,
-                   repeats: int = REPEATS, z: float = Z) -> DataFrame:
-    """``shapes`` (host, segments, n, allowed, blocked) with the template each one falls under."""
-    tree = stored(shapes.withColumn("template", F.lit("")), "url-tree")
-    for level in range(depth + 1):
-        child = F.get("segments", F.lit(level))
-        branches = (tree.where(child.isNotNull()).groupBy("host", "template", child.alias("child"))
-                    .agg(F.sum("n").alias("n"), F.sum("allowed").alias("a"), F.sum("blocked").alias("b")))
-        parents = branches.groupBy("host", "template").agg(
+def segments_of(path: Column) -> Column:
+    """The generalised segments of the whole path."""
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), generalised)
+
+
+def _shared(low: Column, high: Column) -> Column:
+    """Number of leading segments that two paths share: those of the smallest and the largest path
+    of a node are shared by all between."""
+    both = F.least(F.size(low), F.size(high))
+    apart = F.array_position(F.transform(F.zip_with(low, high, lambda a, b: a.eqNullSafe(b)), lambda same: same), False)
+    return F.when(apart > 0, (apart - 1).cast("int")).otherwise(both)
+
+
+def _below(template: Column, segments: Column, since: Column, until: Column) -> Column:
+    """A template with the segments from place ``since`` to before ``until``."""
+    return F.concat(template, F.array_join(F.transform(
+        F.slice(segments, since + 1, F.greatest(until - since, F.lit(0))), lambda x: F.concat(F.lit("/"), x)), ""))
+
+
+def path_templates(shapes: DataFrame, variable_children: int = VARIABLE_CHILDREN, repeats: int = REPEATS,
+                   z: float = Z) -> DataFrame:
+    """``shapes`` (host, segments, n, allowed, blocked; one row a distinct path) with the template each
+    one falls under."""
+    open_ = stored(shapes.withColumns({"template": F.lit(""), "level": F.lit(0)}), "url-tree")
+    shape = ["host", "segments", "n", "allowed", "blocked", "template"]
+    finished = None
+    while True:
+        # Merged branches differ above the node: only what lies below it is compared.
+        rest = F.slice("segments", F.col("level") + 1, F.size("segments"))
+        nodes = open_.groupBy("host", "template", "level").agg(F.min(rest).alias("lowest"), F.max(rest).alias("highest"))
+        parting = nodes.select("host", "template", "level",
+                               (F.col("level") + _shared(F.col("lowest"), F.col("highest"))).alias("part"))
+        at = open_.join(parting, ["host", "template", "level"]).select(
+            "host", "segments", "n", "allowed", "blocked",
+            _below(F.col("template"), F.col("segments"), F.col("level"), F.col("part")).alias("template"), "part")
+        # Paths that end where their node parts are done, and so are those that were alone in it.
+        at = stored(at.withColumn("child", F.get("segments", F.col("part"))), "url-tree")
+        ended = at.where(F.col("child").isNull()).select(*shape)
+        finished = ended if finished is None else finished.unionByName(ended)
+        going = at.where(F.col("child").isNotNull())
+        if going.isEmpty():
+            return finished
+        branches = going.groupBy("host", "template", "part", "child").agg(
+            F.sum("n").alias("n"), F.sum("allowed").alias("a"), F.sum("blocked").alias("b"))
+        parents = branches.groupBy("host", "template", "part").agg(
             F.count("*").alias("children"), F.sum("n").alias("pages"), F.sum("a").alias("all_a"),
             F.sum("b").alias("all_b"))
         own = F.col("a") + F.col("b")
-        rest_b = F.col("all_b") - F.col("b")
-        rest = F.col("all_a") + F.col("all_b") - own
-        share, rest_share = (F.col("b") + 1) / (own + 2), (rest_b + 1) / (rest + 2)
-        pooled = (F.col("all_b") + 2) / (own + rest + 4)
-        spread = F.sqrt(pooled * (1 - pooled) * (1 / (own + 2) + 1 / (rest + 2)))
-        apart = F.abs(share - rest_share)
-        alike = (own > 0) & (rest > 0) & (apart <= z * spread) & (apart <= NEAR)
+        others_b = F.col("all_b") - F.col("b")
+        others = F.col("all_a") + F.col("all_b") - own
+        share, others_share = (F.col("b") + 1) / (own + 2), (others_b + 1) / (others + 2)
+        pooled = (F.col("all_b") + 2) / (own + others + 4)
+        spread = F.sqrt(pooled * (1 - pooled) * (1 / (own + 2) + 1 / (others + 2)))
+        apart = F.abs(share - others_share)
+        alike = (own > 0) & (others > 0) & (apart <= z * spread) & (apart <= NEAR)
         variable = (F.col("children") >= variable_children) & (F.col("pages") < F.col("children") * repeats)
-        named = branches.join(parents, ["host", "template"]).select(
-            "host", "template", "child", F.when(variable | alike, F.lit("*")).otherwise(F.col("child")).alias("name"))
-        # Each level is written: the next one reads it three times.
-        tree = stored(tree.withColumn("child", F.coalesce(child, F.lit("")))
-                .join(named, ["host", "template", "child"], "left")
-                .withColumn("template", F.when(F.col("name").isNotNull(), F.concat("template", F.lit("/"), "name"))
-                            .otherwise(F.col("template")))
-                .select("host", "segments", "n", "allowed", "blocked", "template"), "url-tree")
-    return tree
+        named = branches.join(parents, ["host", "template", "part"]).select(
+            "host", "template", "part", "child", F.when(variable | alike, F.lit("*")).otherwise(F.col("child")).alias("name"))
+        open_ = stored(going.join(named, ["host", "template", "part", "child"]).select(
+            "host", "segments", "n", "allowed", "blocked", F.concat("template", F.lit("/"), "name").alias("template"),
+            (F.col("part") + 1).alias("level")), "url-tree")
 
 
 def judged_templates(tree: DataFrame, reject: float = REJECT) -> DataFrame:
     """(host, template) with its label counts, purity and verdict."""
     found = tree.groupBy("host", "template").agg(F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked"))
-    hosts = found.groupBy("host").agg((
-        (F.sum("blocked") + 1) / (F.sum("allowed") + F.sum("blocked") + 2)).alias("host_purity"))
-    found = found.join(hosts, "host")
-    purity = ((F.col("blocked") + HOST_LABELS * F.col("host_purity"))
-              / (F.col("allowed") + F.col("blocked") + HOST_LABELS))
+    purity = ((F.col("blocked") + PRIOR_LABELS * 0.5) / (F.col("allowed") + F.col("blocked") + PRIOR_LABELS))
     return found.withColumn("purity", purity).withColumn(
         "judged", F.when(F.col("purity") >= reject, "block").otherwise("allow"))
 

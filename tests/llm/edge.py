@@ -9,7 +9,9 @@ BLANK_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 #: Columns beside those of ``documents``, named like columns that operators make.
-CLASHING = ("n_words", "size", "shard", "slot", "node", "quality", "rule", "start", "kept", "row_key", "t", "w", "id")
+CLASHING = ("n_words", "size", "shard", "slot", "node", "quality", "rule", "start", "kept", "row_key", "t", "w", "id",
+            "before", "target", "source_size", "firsts", "block_words", "first", "vslot", "place", "low", "n", "rank", "block",
+            "words", "total", "weight", "cap", "copy", "draws", "__q_t", "__row_key", "base", "terms", "spans", "items", "band")
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
           + ", ".join(f"{c} string" for c in CLASHING))
 

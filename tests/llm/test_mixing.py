@@ -72,14 +72,23 @@ def test_quotas_are_exact_at_every_shard(spark, shards):
 
 
 def test_splits_are_hypergeometric(spark):
-    """Over many seeds the blocks of a source that go left have the mean and variance of the law."""
-    seeds = spark.range(400).select(F.array(F.lit(30).cast("long"), F.lit(70).cast("long")).alias("q"), "id")
-    got = [r.x for r in seeds.select(mixing._split_left(F.col("q"), F.lit(40).cast("long"), F.xxhash64("id")).alias("x")).collect()]
-    assert all(sum(x) == 40 for x in got)
-    first = [x[0] for x in got]
+    """Over many nodes the blocks of a source that go left have the mean and variance of the law."""
+    tree = spark.range(400).selectExpr("int(2 * id) as low", "2 as n", "explode(sequence(1L, 100L)) as block").selectExpr(
+        "if(block <= 30, 0, 1) as rank", "block", "low", "n")
+    rows = mixing._split(tree, 17).groupBy("low").agg(
+        F.count("*").alias("all"), F.count(F.when(F.col("rank") == 0, 1)).alias("first")).collect()
+    assert len(rows) == 800 and all(r["all"] == 50 for r in rows)
+    first = [r["first"] for r in rows if r["low"] % 2 == 0]
     mean = sum(first) / len(first)
     var = sum((x - mean) ** 2 for x in first) / len(first)
-    assert abs(mean - 12) < 0.5 and abs(var - 40 * 0.3 * 0.7 * 60 / 99) < 1.5
+    assert abs(mean - 15) < 0.5 and abs(var - 50 * 0.3 * 0.7 * 50 / 99) < 1.5
+
+
+def test_many_sources(spark):
+    sizes = [(f"s{i:05}", 3 + i % 50) for i in range(3000)]
+    sources = mixing.targets(spark.createDataFrame(sizes, "source string, source_size long"))
+    rows = mixing.shard_quotas(sources, shards=4, blocks=1000).collect()
+    assert len(rows) == 3000 and sum(r.quota for r in rows) >= 1000
 
 
 def test_draws_follow_their_blocks(spark):
