@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -57,15 +59,37 @@ def test_items_of_few_words(spark):
                                                  (6, "the"), (7, "non ascii"), (8, "a b c d"), (9, "same line same line same")]))
 
 
+@pytest.mark.parametrize("n", range(7, 12))
+def test_items_as_long_as_a_gram(spark, n):
+    """Beside an item of as many words as a gram has, spans that are a word short of a window stay unhit."""
+    words = [f"w{i}" for i in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(["x", *words[i:i + n], "y"])) for i in range(20)], "doc_id long, text string")
+    check(spark, docs, items(spark, [(1, " ".join(words)), (2, " ".join(words[3:3 + decontam.K])), (3, " ".join(words[5:14]))]))
+
+
 def test_empty_tables(spark):
     check(spark, documents(spark), items(spark, []))
     assert decontam.decontam_digest(empty(spark), items(spark, [(1, "a b")])).count() == 0
 
 
-def test_large_benchmarks_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
-    t = texts()
-    check(spark, documents(spark), items(spark, [(1, t[10]), (2, "two words")]))
+def test_large_benchmarks(spark):
+    """More fingerprints than the smallest bitmap has room for, many of them met by chance; one passage in most documents."""
+    rng = random.Random(2)
+    word = lambda: f"v{rng.randint(0, 12)}"
+    bench = [(i, " ".join(word() for _ in range(rng.choice([12, 60, 200])))) for i in range(600)]
+    shared = bench[5][1].split()[:12]
+    docs = [(i, " ".join([word() for _ in range(rng.randint(0, 60))] + (shared if i % 3 else []) + [word() for _ in range(5)]))
+            for i in range(300)]
+    check(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(4), items(spark, bench))
+
+
+def test_no_key_is_shared_by_all_documents(spark):
+    rows = [(i, f"text number {i} of its own " * 3) for i in range(50)]
+    out = decontam.contamination(spark.createDataFrame(rows, "doc_id long, text string"), items(spark, [(1, "a b c " * 9)]))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    keys = set(re.findall(r"hashpartitioning\(([a-z_]+)#", plan))
+    assert keys <= {"row", "len"} and "salt" in plan  # by row, or by (len, fp, gram, salt)
 
 
 @pytest.mark.parametrize("k, window", [(3, 10), (5, 10), (10, 10)])
