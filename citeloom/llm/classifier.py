@@ -7,9 +7,9 @@ document's vector is the largest and the mean response of each filter over its
 chunks. One hidden layer turns it into a probability.
 
 Training reads at most ``TRAIN_ROWS`` labelled documents, those with the
-smallest hash of their id, and of each at most ``TRAIN_CHUNKS`` chunks spread
-evenly over the whole text: a bounded, documented sample, fitted in numpy on
-the driver (about 15 MB). Scoring sees every byte of every document, in tasks
+smallest hash of their id, and of each the whole text: a bounded, documented
+sample, fitted in numpy on the driver, which holds these texts (about 12 MB at
+the test tables' lengths) and the responses of 512 chunks at a time. Scoring sees every byte of every document, in tasks
 that hold one document's filter responses block by block.
 
 Inputs of a score are the text's bytes only: labels, language, source and id
@@ -38,9 +38,8 @@ CHUNK = 512
 STEP = 448
 #: Chunks and steps are whole numbers of these.
 PART = 64
-#: Bounds of the training sample.
+#: Bound of the training sample: labelled documents, whose texts are read whole.
 TRAIN_ROWS = 3000
-TRAIN_CHUNKS = 10
 #: Batches to learn from: eight passes over the full sample, more over a smaller one.
 STEPS = 376
 BATCH = 64
@@ -49,6 +48,8 @@ SEED = 7
 THRESHOLD = 0.7
 #: Positions whose responses are held at once.
 BLOCK = 16384
+#: Training chunks whose responses are held at once.
+CHUNKS_HELD = 512
 
 
 def held_out(id_: Column) -> Column:
@@ -120,11 +121,16 @@ class Network:
         owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
         b = np.concatenate(docs)
         pairs = b[:, :-1].astype(np.int32) * 256 + b[:, 1:]
-        total = tables[0][pairs[:, :CHUNK]]
-        for j in range(1, len(tables)):
-            total += tables[j][pairs[:, 2 * j:2 * j + CHUNK]]
-        where = total.argmax(axis=1)
-        best = np.take_along_axis(total, where[:, None, :], axis=1)[:, 0, :]
+        # Of a chunk only the best place of each filter is kept, so long texts need little memory.
+        kept = []
+        for low in range(0, len(pairs), CHUNKS_HELD):
+            part = pairs[low:low + CHUNKS_HELD]
+            total = tables[0][part[:, :CHUNK]]
+            for j in range(1, len(tables)):
+                total += tables[j][part[:, 2 * j:2 * j + CHUNK]]
+            at = total.argmax(axis=1)
+            kept.append((at, np.take_along_axis(total, at[:, None, :], axis=1)[:, 0, :]))
+        where, best = (np.concatenate(x) for x in zip(*kept, strict=True))
         r = np.maximum(best, 0)
         n, f = len(docs), r.shape[1]
         first = np.searchsorted(owner, np.arange(n))
@@ -167,24 +173,25 @@ class Network:
         return self
 
 
-def chunk_sample(text: bytes, limit: int = TRAIN_CHUNKS) -> np.ndarray:
-    """At most ``limit`` chunks, spread evenly over the whole text."""
+def chunks_of(text: bytes) -> np.ndarray:
+    """All chunks of the whole text."""
     b = padded(text)
-    chunks = (len(b) - WIDTH + 1 - CHUNK) // STEP + 1
-    at = np.unique(np.linspace(0, chunks - 1, min(limit, chunks)).astype(int))
-    return np.stack([b[c * STEP:c * STEP + CHUNK + WIDTH - 1] for c in at])
+    count = (len(b) - WIDTH + 1 - CHUNK) // STEP + 1
+    return np.stack([b[c * STEP:c * STEP + CHUNK + WIDTH - 1] for c in range(count)])
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
                     text_col: str = "text", rows: int = TRAIN_ROWS) -> tuple[list[np.ndarray], np.ndarray]:
-    """Chunks and labels of the sample: at most ``rows`` ids, by hash, outside the held-out rows."""
+    """Chunks and labels of the sample: at most ``rows`` ids that have a document, by hash, outside the
+    held-out rows."""
     chosen = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
               .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y"))
+              .join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
               .orderBy(F.xxhash64("id"), "id").limit(rows))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [chunk_sample(t.as_py() or b"").tobytes() for t in batch.column("t")]
+            made = [chunks_of(t.as_py() or b"").tobytes() for t in batch.column("t")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").cast(pa.string()), batch.column("y").cast(pa.int64()), pa.array(made, pa.binary())],
                 ["id", "y", "chunks"])

@@ -44,11 +44,17 @@ HAS_DIGIT = re.compile(r"[0-9]")
 KEY = re.compile(r"(?i)(token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key)")
 #: Texts without any of these (in lower case) hold no key word.
 KEY_PARTS = ("token", "secret", "passw", "pwd", "api", "access", "auth", "credential", "private")
-VALUE_KEY = re.compile(
+#: A whole name with what assigns a value to it; the name is read once, however long it is.
+NAMED = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]++)[\"'`]?[\x20\t]*+(?::=|=>|={1,3}|:)(?!//|:)[\x20\t]*"
+                   r"(?:(?i:bearer|basic)[\x20\t]+)?")
+#: A name that holds a key word, by itself or with parts behind it.
+KEY_NAME = re.compile(
     r"(?i:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential)"
-    r"(?i:s|orization|entication)?(?:[_-][A-Za-z0-9_-]{0,20}|[A-Z][A-Za-z0-9_]{0,20}|[0-9]{1,3})?[\"'`]?"
-    r"[\x20\t]*(?::=|=>|={1,3}|:)(?!//|:)[\x20\t]*(?:(?i:bearer|basic)[\x20\t]+)?")
-ASSIGNED = re.compile(VALUE_KEY.pattern + r"[\"'`]?(?:(?i:bearer|basic)[\x20\t]+)?$")
+    r"(?i:s|orization|entication)?(?:[_A-Z-][A-Za-z0-9_-]*+|[0-9]{1,3})?$")
+#: What stands between a name and its value.
+ASSIGNS = re.compile(r"[\"'`]?[\x20\t]*(?::=|=>|={1,3}|:)[\x20\t]*(?:(?i:bearer|basic)[\x20\t]+)?[\"'`]?"
+                     r"(?:(?i:bearer|basic)[\x20\t]+)?$")
+NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
 QUOTED = {q: re.compile(rf"{q}((?:\\.|[^{q}\\\n])+){q}") for q in "\"'`"}
 #: A value without quotes ends at a blank, a quote, or the next ``&name=`` or ``;name=``.
 BARE = re.compile(r"(?:(?![&;][\w.%-]+=)[^\s\"'`])+")
@@ -58,8 +64,9 @@ USERINFO = re.compile(r"(?:://[^\s:/?#@\"'`<>]*|(?<![A-Za-z0-9._%+/-])(?!(?i:mai
 AFTER_USER = re.compile(r"(?:://[^\s:/?#@\"'`<>]*|(?<![A-Za-z0-9._%+/-])[A-Za-z0-9._%+-]+):$")
 #: Forms of well-known credentials (published prefixes).
 FORM = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Z])|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|"
-                  r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+|sk_live_[A-Za-z0-9]{20,}")
-FORM_PARTS = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "eyJ", "sk_live_")
+                  r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+|sk_live_[A-Za-z0-9]{20,}|"
+                  r"-----BEGIN (?:[A-Z0-9]+ )*?PRIVATE KEY-----[A-Za-z0-9+/=\s]++(?:-----END (?:[A-Z0-9]+ )*?PRIVATE KEY-----)?")
+FORM_PARTS = ("-----BEGIN", "AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "eyJ", "sk_live_")
 ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 PLACEHOLDER = re.compile(r"(?i)(example|sample|dummy|placeholder|changeme|xxxx|your[_-])")
 CHECKSUM_NEAR = re.compile(r"(?i)(sha-?(1|256|512)?|md5|checksum|commit|digest|etag|uuid|version)")
@@ -83,7 +90,9 @@ FEATURES = ("length", "digits", "upper", "lower", "other", "transitions", "entro
 def values(text: str) -> Iterator[tuple[int, int]]:
     """Spans of the values that are assigned to a key word, with or without quotes."""
     end = stop = 0
-    for m in VALUE_KEY.finditer(text):
+    for m in NAMED.finditer(text):
+        if not KEY_NAME.search(m[1]):
+            continue
         at = m.end()
         quoted = QUOTED.get(text[at:at + 1])
         if quoted:
@@ -99,6 +108,17 @@ def values(text: str) -> Iterator[tuple[int, int]]:
             yield at, stop
 
 
+def assigned(text: str, s: int) -> bool:
+    """Whether what starts at ``s`` is the value of a name with a key word, of any length."""
+    between = ASSIGNS.search(text, max(0, s - 2 * NEAR), s)
+    if not between or text.startswith(("//", ":"), s):
+        return False
+    begin = end = between.start()
+    while begin and text[begin - 1] in NAME_CHARS:
+        begin -= 1
+    return bool(KEY_NAME.search(text[begin:end]))
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
     """Spans of the strings that could be secrets, by start; they may overlap."""
     found, rest = set(), text
@@ -172,7 +192,7 @@ def features(text: str, s: int, e: int, common: np.ndarray, path: str = "") -> l
     left = before[-1:]
     return [n, *shares, moves, float(-(p * np.log2(p)).sum()), float(bool(HEX.match(token))), coverage,
             float(bool(FORM.fullmatch(token))), float(bool(PLACEHOLDER.search(token + after))),
-            float(left in "\"'`" and left != ""), float(bool(ASSIGNED.search(text, max(0, s - 2 * NEAR), s))),
+            float(left in "\"'`" and left != ""), float(assigned(text, s)),
             float(bool(KEY.search(before))),
             float(bool(CHECKSUM_NEAR.search(before))), float("/" in token or "://" in before[-12:]),
             float(bool(TEST_PATH.search(path))), float(bool(ADDRESS.fullmatch(token))),

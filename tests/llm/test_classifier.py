@@ -36,7 +36,7 @@ def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     net = classifier.Network(filters=3, hidden=4)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    docs = [classifier.chunk_sample(bytes(rng.integers(97, 123, n, dtype=np.uint8))) for n in (100, 1500, 700)]
+    docs = [classifier.chunks_of(bytes(rng.integers(97, 123, n, dtype=np.uint8))) for n in (100, 1500, 700)]
     y = np.array([1.0, 0.0, 1.0])
 
     def loss():

@@ -64,7 +64,21 @@ def test_address_and_form_label_themselves():
     assert label("password: 'p@ss!w0rd#12$zz'", "p@ss!w0rd#12$zz") == 1 and label(f"k@ghp_{HEX36}", f"ghp_{HEX36}") == 1
 
 
+def test_names_of_any_length_and_key_blocks():
+    name = "token_for_the_reporting_service_" * 30 + "prod"
+    for text, value in ((f"{name} = 'p@ss w0rd'", "p@ss w0rd"), (f"x.{name}: hunt3r2!K", "hunt3r2!K"),
+                        ("-----BEGIN RSA PRIVATE KEY-----\nabcdef\nghijkl==\n-----END RSA PRIVATE KEY-----", None)):
+        start = text.index(value) if value else 0
+        span = start, start + len(value) if value else len(text)
+        assert span in secrets.candidates(text)
+        x = dict(zip(secrets.FEATURES, secrets.features(text, *span, np.zeros(26 ** 3)), strict=True))
+        assert x["assigned"] == 1 if value else x["form"] == 1
+    assert [("tokenizer = fast; authored: someone")[a:b] for a, b in secrets.values("tokenizer = fast; authored: someone")] == []
+
+
 def test_a_long_line_of_keys_takes_no_square_time():
+    secrets.candidates("token_" * 50_000)
+    assert len(list(secrets.values("tokenToken-" * 50_000 + "="))) <= 1
     assert len(secrets.candidates("token=" * 20_000 + "x")) >= 20_000
 
 
