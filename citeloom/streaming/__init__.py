@@ -1,7 +1,7 @@
 """Structured Streaming jobs."""
 
 from citeloom.streaming.sensors import (dropped_late_rows, ingest_sensors, parse_sensor_messages,
-                                        publish_readings, read_sensor_stream, reading_messages)
+                                        publish_readings, read_sensor_stream, reading_messages, stream_counts)
 
 __all__ = ["dropped_late_rows", "ingest_sensors", "parse_sensor_messages", "publish_readings",
-           "read_sensor_stream", "reading_messages"]
+           "read_sensor_stream", "reading_messages", "stream_counts"]

@@ -8,13 +8,16 @@ Parse   : ``from_json`` with a fixed schema, key-presence checks on the raw
 Sink    : ``foreachBatch`` writes good readings and quarantined messages
           into ``stream_id=<s>/batch_id=<n>`` partitions with dynamic overwrite, so a batch
           replayed after a failure replaces its own output (idempotent).
-Optional: ``dropDuplicatesWithinWatermark`` on (sensor_id, timestamp).
+Optional: ``dropDuplicatesWithinWatermark`` on (sensor_id, timestamp); its
+          state lies in RocksDB, outside the heap, with changelog checkpoints.
+Counts  : ``observe`` on the stream before and after deduplication; a listener
+          adds the micro-batches up (``stream_counts``).
 """
 
 from __future__ import annotations
 
 import hashlib
-import time
+import threading
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -102,37 +105,67 @@ def _batch_writer(sink_path: str, quarantine_path: str, es_options: Mapping[str,
     return write
 
 
-class LateRows(StreamingQueryListener):
-    """Rows that deduplication dropped as later than the watermark, by query, over all batches.
+#: State outside the heap, written as changes instead of whole snapshots.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+#: Names of the observations before and after deduplication.
+SEEN, KEPT = "sensor_messages", "sensor_rows"
 
-    ``query.recentProgress`` keeps the last reports only; a listener sees every one.
+
+class StreamCounts(StreamingQueryListener):
+    """What became of the messages, by run of a query, over all of its batches.
+
+    ``query.recentProgress`` keeps the last reports only; a listener gets every one, in order, and
+    the end of a run after all of its reports.
     """
 
     def __init__(self):
-        self.dropped: dict[str, int] = {}
+        self.counts: dict[str, dict[str, int]] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def _of(self, run: str) -> dict[str, int]:
+        return self.counts.setdefault(run, {"read": 0, "rejected": 0, "good": 0, "late": 0, "repeated": 0})
+
+    def end_of(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
 
     def onQueryStarted(self, event) -> None:
-        pass
+        self._of(str(event.runId))
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress
-        n = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
-        self.dropped[str(progress.runId)] = self.dropped.get(str(progress.runId), 0) + n
+        c, seen, kept = self._of(str(progress.runId)), progress.observedMetrics.get(SEEN), progress.observedMetrics.get(KEPT)
+        late = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        c["late"] += late
+        if seen is not None and kept is not None:
+            c["read"] += seen["n"]
+            c["rejected"] += kept["rejected"]
+            c["good"] += kept["good"]
+            c["repeated"] += seen["n"] - seen["rejected"] - kept["good"] - late
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.end_of(str(event.runId)).set()
 
 
-_LATE_ROWS = LateRows()
+_COUNTS = StreamCounts()
 _LISTENED: set[int] = set()
 
 
 def _listen(spark: SparkSession) -> None:
     if id(spark) not in _LISTENED:
-        spark.streams.addListener(_LATE_ROWS)
+        spark.streams.addListener(_COUNTS)
         _LISTENED.add(id(spark))
 
 
+def _counted(readings: DataFrame, name: str) -> DataFrame:
+    bad = F.col("reject_reason").isNotNull()
+    return readings.observe(name, F.count(F.lit(1)).alias("n"), F.count(F.when(bad, 1)).alias("rejected"),
+                            F.count(F.when(~bad, 1)).alias("good"))
+
+
 def ingest_sensors(stream: DataFrame, sink_path: str, quarantine_path: str,
                    checkpoint_location: str, source_tz: str | None = None,
                    dedup_delay: str | None = None, available_now: bool = True,
@@ -149,16 +182,22 @@ def ingest_sensors(stream: DataFrame, sink_path: str, quarantine_path: str,
     ``dedup_delay`` (e.g. "10 minutes") drops a repeated (sensor_id,
     timestamp) of valid readings seen within that delay; rejected messages pass
     it by. Rows later than the watermark are then dropped as late and counted
-    (``dropped_late_rows``).
+    (``stream_counts``). The state of that lies in RocksDB unless the session
+    names another state store.
     """
     if not checkpoint_location:
         raise ValueError("checkpoint_location must name the stream's checkpoint folder")
     _listen(stream.sparkSession)
-    readings = parse_sensor_messages(stream, source_tz=source_tz)
+    readings = _counted(parse_sensor_messages(stream, source_tz=source_tz), SEEN)
     if dedup_delay:
+        conf = stream.sparkSession.conf
+        if "RocksDB" not in conf.get("spark.sql.streaming.stateStore.providerClass", "HDFSBackedStateStoreProvider"):
+            for key, value in STATE_CONF.items():
+                conf.set(key, value)
         good, bad = split_quarantine(readings)
         readings = (good.withWatermark("event_time", dedup_delay)
                     .dropDuplicatesWithinWatermark(["sensor_id", "timestamp"]).unionByName(bad))
+    readings = _counted(readings, KEPT)
     stream_id = hashlib.sha256(checkpoint_location.rstrip("/").encode()).hexdigest()[:16]
     writer = (readings.writeStream.foreachBatch(_batch_writer(sink_path, quarantine_path, es_options, stream_id))
               .option("checkpointLocation", checkpoint_location))
@@ -169,15 +208,18 @@ def ingest_sensors(stream: DataFrame, sink_path: str, quarantine_path: str,
     return writer.start()
 
 
-def dropped_late_rows(query: StreamingQuery, wait_s: float = 10.0) -> int:
+def stream_counts(query: StreamingQuery, wait_s: float = 60.0) -> dict[str, int]:
+    """What became of the messages of a finished run: ``read = good + rejected + late + repeated``."""
+    run = str(query.runId)
+    if not _COUNTS.end_of(run).wait(wait_s):
+        raise TimeoutError(f"the run {run} of the query has not ended")
+    return dict(_COUNTS._of(run))
+
+
+def dropped_late_rows(query: StreamingQuery, wait_s: float = 60.0) -> int:
     """Rows that a finished run of the query dropped as later than the watermark, over all of its
-    batches (0 when no dedup runs). Waits for the last report."""
-    last = query.lastProgress
-    end = time.monotonic() + wait_s
-    while last is not None and str(query.runId) not in _LATE_ROWS.dropped and time.monotonic() < end:
-        time.sleep(0.1)
-    time.sleep(0.2)
-    return _LATE_ROWS.dropped.get(str(query.runId), 0)
+    batches (0 when no dedup runs)."""
+    return stream_counts(query, wait_s)["late"]
 
 
 def reading_messages(readings: DataFrame, decimals: int | None = 2, stamp_now: bool = False) -> DataFrame:
