@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, stored
+from .common import free_name, row_key, stored
 
 SHINGLE = 5
 BUCKETS = 128
@@ -448,11 +448,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = near_duplicates(docs, id_col, text_col).where("component is not null")
     kept = (found.groupBy("component").agg(F.min(F.struct(
         F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "row_key")).alias("x"))
-        .select(F.col("x.row_key").alias("__row_key"), F.lit(True).alias("__kept")))
+        .select(F.col("x.row_key").alias("kept_key"), F.col("x.id").alias("kept_id")))
     empty = ~F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    keyed = docs.withColumn("__row_key", row_key(id_col, text_col))
-    worded = (keyed.where(~empty).join(kept, "__row_key", "left_semi").dropDuplicates(["__row_key"]))
-    return worded.unionByName(keyed.where(empty)).drop("__row_key")
+    key = free_name(docs, "__row_key")
+    keyed = docs.withColumn(key, row_key(id_col, text_col))
+    # A key may belong to two rows of a large corpus; it names one together with the id.
+    same = (keyed[key] == kept["kept_key"]) & keyed[id_col].eqNullSafe(kept["kept_id"])
+    worded = keyed.where(~empty).join(kept, same, "left_semi").dropDuplicates([key, id_col])
+    return worded.unionByName(keyed.where(empty)).drop(key)
 
 
 def neardup_digest(docs: DataFrame) -> DataFrame:
