@@ -34,8 +34,8 @@ from citeloom.sources import (create_tables, explode_users, publications_from_js
                               write_staging)
 from citeloom.sources.readers import USERS_DOCUMENT  # noqa: E402
 from citeloom.sources.sinks import bucket_of, row_counts  # noqa: E402
-from citeloom.streaming import (ingest_sensors, parse_sensor_messages, publish_readings,  # noqa: E402
-                                read_sensor_stream)
+from citeloom.streaming import (compact_readings, ingest_sensors, parse_sensor_messages,  # noqa: E402
+                                publish_readings, read_readings, read_sensor_stream, remove_compacted)
 from citeloom.streaming.sensors import READING_COLUMNS  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -675,6 +675,21 @@ def q_sensor_stream(spark, sf_dir):
     return _run_stream(spark, msgs)
 
 
+def q_compacted_readings(spark, sf_dir):
+    """Two streams, the first one compacted before the second begins and both after it: every good reading once."""
+    sink, bad, compacted = (scratch_path(spark, f"sensor-{x}") for x in ("out", "bad", "compacted"))
+    msgs = sensor_messages(spark, sf_dir)
+    for odd in (0, 1):
+        src = scratch_path(spark, "sensor-in")
+        part = msgs.where(F.col("event_id") % 2 == odd).repartition(4, "event_id")
+        part.select("value").write.text(src)
+        stream = read_sensor_stream(spark, fmt="text", path=src, max_files_per_trigger=1)
+        ingest_sensors(stream, sink, bad, scratch_path(spark, "sensor-checkpoint")).awaitTermination()
+        compact_readings(spark, sink, compacted)
+        remove_compacted(spark, sink, compacted)
+    return read_readings(spark, sink, compacted)
+
+
 def q_sensor_dedup_stream(spark, sf_dir):
     e = _t(spark, sf_dir, "events")
     ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
@@ -766,6 +781,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sensor_batch": q_sensor_batch,
     "sensor_stream": q_sensor_stream,
     "sensor_dedup_stream": q_sensor_dedup_stream,
+    "compacted_readings": q_compacted_readings,
     "source_roundtrip_json": q_source_roundtrip_json,
     "source_roundtrip_csv": q_source_roundtrip_csv,
     "source_roundtrip_parquet": q_source_roundtrip_parquet,

@@ -591,3 +591,6 @@ UNION ALL SELECT 'no_row_in_part', CAST(l_partkey AS VARCHAR), NULL FROM l WHERE
 
 ORACLE_SQL["merge_touched"] = ORACLE_SQL["upsert_quartile"].replace(
     "o_orderstatus <> 'F'", "o_orderstatus <> 'F' AND id_journal % 20 = 0")
+
+ORACLE_SQL["compacted_readings"] = ("SELECT sensor_id, temperature, humidity, timestamp FROM (" + ORACLE_SQL["sensor_stream"]
+                                    + ") WHERE reject_reason IS NULL")

@@ -181,3 +181,36 @@ def test_deduplication_state_lies_in_rocksdb(spark, tmp_path):
     assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     files = [f for _, _, names in os.walk(os.path.join(ckpt, "state")) for f in names]
     assert any(f.endswith(".changelog") for f in files)
+
+
+def test_compaction_leaves_every_reading_once(spark, tmp_path):
+    from citeloom.streaming import compact_readings, read_readings, remove_compacted
+    src, out, compacted = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "compacted")
+    sink = os.path.join(out, "readings")
+
+    def ids():
+        return sorted(r["sensor_id"] for r in read_readings(spark, sink, compacted).collect())
+
+    def files(folder):
+        return sum(f.endswith(".parquet") for _, _, names in os.walk(folder) for f in names)
+
+    assert compact_readings(spark, sink, compacted) == 0 and ids() == []
+    for i in range(5):
+        _write(src, f"{i}.json", [_msg(10 * i + k, 29.4, ts=f"2024-01-0{1 + k % 2} 12:00:00") for k in range(4)] + ["broken"])
+    want = sorted(10 * i + k for i in range(5) for k in range(4))
+    _run(spark, src, out, str(tmp_path / "ck"))
+    assert ids() == want
+    assert compact_readings(spark, sink, compacted) == 4  # the newest batch stays open
+    assert ids() == want and files(os.path.join(compacted, "readings")) == 2  # one file a day
+    assert compact_readings(spark, sink, compacted) == 0 and remove_compacted(spark, sink, compacted) == 0
+    # A compaction that died before it was listed is never read.
+    spark.read.parquet(sink).drop("stream_id", "batch_id").selectExpr("*", "'dead' as compaction", "'2024-01-01' as day").write.mode(
+        "append").partitionBy("compaction", "day").parquet(os.path.join(compacted, "readings"))
+    assert ids() == want
+    _write(src, "9.json", [_msg(90, 29.4, ts="2024-01-03 12:00:00")])
+    _run(spark, src, out, str(tmp_path / "ck"))
+    _write(src, "91.json", [_msg(91, 29.4, ts="2024-01-03 12:00:00")])
+    _run(spark, src, out, str(tmp_path / "ck"))
+    assert ids() == [*want, 90, 91]
+    assert compact_readings(spark, sink, compacted) == 2 and ids() == [*want, 90, 91]
+    assert remove_compacted(spark, sink, compacted) == 4 and ids() == [*want, 90, 91]
