@@ -108,6 +108,19 @@ def shard_quotas(sources: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS,
     return sources.join(firsts, F.col("rank") == F.col("at"), "left").drop("at")
 
 
+def _running(cells: DataFrame) -> DataFrame:
+    """The words before each cell of its source's stream, by two levels of sums: no window holds more
+    than the square root of a source's cells."""
+    earlier = lambda w: F.coalesce(F.sum("words").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cells = cells.withColumn("__mix_band", F.shiftright("__mix_cell", CELL_BITS // 2))
+    bands = cells.groupBy("__mix_key", "__mix_band").agg(F.sum("words").alias("words"))
+    bands = bands.select("__mix_key", "__mix_band", earlier(
+        Window.partitionBy("__mix_key").orderBy("__mix_band")).alias("__mix_bands"))
+    inside = earlier(Window.partitionBy("__mix_key", "__mix_band").orderBy("__mix_cell"))
+    return cells.withColumn("__mix_inside", inside).join(bands, ["__mix_key", "__mix_band"]).select(
+        "__mix_key", "__mix_cell", (F.col("__mix_bands") + F.col("__mix_inside")).alias("__mix_earlier"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         shards: int = SHARDS, blocks: int = BLOCKS, max_epochs: int = MAX_EPOCHS,
         weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
@@ -128,9 +141,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     plan = shard_quotas(targets(sizes.select("source", "source_size"), weights, max_epochs), shards, blocks, seed)
     plan = plan.select(F.coalesce("source", F.lit("")).alias("__mix_key"), F.struct(
         "source_size", "target", "block_words", "firsts").alias("__mix_plan"))
-    run = Window.partitionBy("__mix_key").orderBy("__mix_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = (cells.withColumn("__mix_earlier", F.coalesce(F.sum("words").over(run), F.lit(0)))
-             .join(plan, "__mix_key").drop("words"))
+    cells = _running(cells).join(plan, "__mix_key")
     inside = (Window.partitionBy("__mix_key", "__mix_cell").orderBy("__mix_hash", "__mix_size")
               .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("__mix_before", F.coalesce(F.sum("__mix_size").over(inside), F.lit(0)))
