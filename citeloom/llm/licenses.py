@@ -1,6 +1,7 @@
 """Licence scan by a positional index of rare words.
 
-Templates are short licence texts. Their words are weighed by inverse document
+Templates are licence texts, the notices by which files refer to a licence, and
+SPDX identifiers; ``listed`` takes a table of others. Their words are weighed by inverse document
 frequency over the whole corpus; each template is indexed under the positions
 of its rarest words. A document looks up its own occurrences of those words:
 postings of one template that agree on the relative position mark a candidate,
@@ -56,11 +57,82 @@ TEMPLATES = (
     ("cc-by-nc-sa-4.0", "licensed under cc by nc sa 4 0", ("cc by nc sa 4 0",)),
     ("cc-by-sa-4.0", "licensed under cc by sa 4 0", ("cc by sa 4 0",)),
     ("cc-by-4.0", "licensed under cc by 4 0", ("cc by 4 0",)),
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+     "(at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY "
+     "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+     ("gnu lesser general public license", "version 2.1")),
+    ("lgpl-2.1", "licensed under the GNU Lesser General Public License version 2.1",
+     ("gnu lesser general public license", "version 2.1")),
+    ("lgpl-3.0", "licensed under the GNU Lesser General Public License version 3",
+     ("gnu lesser general public license", "version 3")),
+    ("agpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+     "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+     "option) any later version.", ("gnu affero general public license",)),
+    ("agpl-3.0", "licensed under the GNU Affero General Public License version 3",
+     ("gnu affero general public license", "version 3")),
+    ("gpl", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+     "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more "
+     "details.", ("gnu general public license for more details",)),
+    ("apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+     "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless "
+     "required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+     '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the '
+     "specific language governing permissions and limitations under the License.",
+     ("apache license version 2.0", "as is basis")),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+     'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+     "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+     "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and "
+     "this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "
+     '"AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+     "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS "
+     "BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+     "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+     ("permission is hereby granted", "without restriction", "this permission notice shall be included")),
+    ("bsd-2-clause", "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+     "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+     "and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+     ("redistributions of source code must retain", "redistributions in binary form must reproduce")),
+    ("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+     "promote products derived from this software without specific prior written permission.",
+     ("endorse or promote products derived from this software",)),
+    ("bsd-3-clause", "licensed under the BSD 3-Clause License", ("bsd 3 clause",)),
+    ("bsd-2-clause", "licensed under the BSD 2-Clause License", ("bsd 2 clause",)),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+     "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+     'PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES '
+     "OF MERCHANTABILITY AND FITNESS.", ("with or without fee is hereby granted", "disclaims all warranties")),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+     "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for "
+     "any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following "
+     "restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the original "
+     "software.", ("permission is granted to anyone", "must not be misrepresented")),
+    ("bsl-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+     'and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, '
+     "and transmit the Software, and to prepare derivative works of the Software",
+     ("any person or organization obtaining a copy", "covered by this license")),
+    ("bsl-1.0", "distributed under the Boost Software License, Version 1.0", ("boost software license",)),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+     "2.0", ("eclipse public license",)),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+     "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+     ("mozilla public license", "a copy of the mpl")),
+    ("cc0-1.0", "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to "
+     "this software to the public domain worldwide", ("to the extent possible under law", "public domain worldwide")),
+    ("cc0-1.0", "released under the CC0 1.0 Universal public domain dedication", ("cc0 1.0 universal",)),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+     "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+     "purpose, commercial or non-commercial, and by any means.", ("unencumbered software", "public domain")),
     ("unlicense", "this is free and unencumbered software released into the public domain",
      ("unencumbered software", "public domain")),
     ("proprietary", "all rights reserved unauthorized copying of this file is strictly prohibited",
      ("all rights reserved", "strictly prohibited")),
 )
+#: Identifiers by which files name a licence (fixed values of the SPDX list); each makes a template.
+SPDX = ("AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+        "CC0-1.0", "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only",
+        "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib")
 #: Rarest words by which a template is indexed, and how many of them must agree on a position.
 ANCHORS = 4
 AGREE = 2
@@ -77,8 +149,16 @@ class Template:
     phrases: list[list[bytes]]
 
 
-def templates(listed=TEMPLATES) -> list[Template]:
-    return [Template(label, text.encode().split(), [p.encode().split() for p in phrases])
+def spdx_templates() -> list[tuple[str, str, tuple[str, ...]]]:
+    """A template for each identifier, under its label without the part that names later versions."""
+    return [(name.lower().removesuffix("-only").removesuffix("-or-later"), f"SPDX-License-Identifier: {name}",
+             (f"spdx license identifier {name}",)) for name in SPDX]
+
+
+def templates(listed=None) -> list[Template]:
+    """The templates of a table of (label, text, mandatory phrases), in the words of the scan."""
+    listed = [*TEMPLATES, *spdx_templates()] if listed is None else listed
+    return [Template(label, words_of(text.encode()), [words_of(p.encode()) for p in phrases])
             for label, text, phrases in listed]
 
 
@@ -185,7 +265,7 @@ RESULT = ("id {id}, n_words long, n_base long, first_word long, last_word long,
           "labels string, score double, matches array<struct<label:string,start:long,score:double>>")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", listed=TEMPLATES) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", listed=None) -> DataFrame:
     """One row per document row: id, words, base places and labels, and the method's matches."""
     known = templates(listed)
     vocab = vocabulary(known)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from citeloom.llm import licenses
 
 from .edge import ALNUM_WORD, documents, empty, lower, ordered
@@ -41,6 +43,45 @@ def test_labels_and_scores(spark):
         assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(",")))
 
 
+def test_every_template_and_identifier_is_found_in_prose(spark):
+    listed = [*licenses.TEMPLATES, *licenses.spdx_templates()]
+    docs = documents(spark, extra=[(2000 + i, f"// some code {i}\n{text.upper() if i % 2 else text}\nand more code") for i, (_, text, _) in enumerate(listed)])
+    got = {r.doc_id: r for r in licenses.license_digest(docs).collect()}
+    for i, (label, _, _) in enumerate(listed):
+        assert label in got[2000 + i].labels.split(","), (label, got[2000 + i])
+        assert got[2000 + i].score == 1.0
+    assert "lgpl-2.1" not in got[2000 + [x for x, _, _ in listed].index("gpl-3.0")].labels
+
+
+def anywhere(words, known):
+    """Labels of the templates that are accepted at any place at all, each place tried."""
+    out = set()
+    for t in known:
+        for at in range(1 - len(t.words), len(words)):
+            low, high = at - licenses.SLIP, at + len(t.words) + licenses.SLIP
+            if (all(licenses.phrase_at(words, p, low, high) >= 0 for p in t.phrases)
+                    and licenses.aligned(words, t.words, at) >= licenses.ACCEPT):
+                out.add(t.label)
+    return out
+
+
+def test_the_index_finds_what_trying_every_place_finds(spark):
+    rng = random.Random(3)
+    known = licenses.templates()
+    rows = []
+    for i in range(60):
+        words = [w.decode() for w in rng.choice(known).words]
+        for _ in range(rng.randint(0, len(words) // 5)):  # changed, missing and added words
+            at = rng.randrange(len(words))
+            words[at:at + rng.randint(0, 1)] = rng.choice([["changed"], []])
+        rows.append((i, " ".join(["before"] * rng.randint(0, 9) + words + ["after"] * 3)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: {m.label for m in r.matches} for r in licenses.scan(docs).collect()}
+    want = {i: anywhere(licenses.words_of(text.encode()), known) for i, text in rows}
+    assert all(got[i] <= want[i] for i in got)
+    assert sum(got[i] == want[i] for i in got) >= 0.9 * len(got)
+
+
 def test_rare_words_index_the_templates():
     known = licenses.templates()
     counts = {b"the": 1000, b"license": 900, b"public": 800, b"under": 950}
