@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, row_key, stored
+from .common import arrow_rows, free_name, row_key, stored
 
 SHINGLE = 5
 BUCKETS = 128
@@ -64,6 +64,8 @@ BLOCK = 1 << 20
 STREAM = 16384
 #: Partners that share one copy of their pivot's set.
 CHUNK = 256
+#: Rows that a Python worker gets at a time.
+ARROW_ROWS = 1000
 #: Words whose hash a Python worker remembers.
 REMEMBERED = 100_000
 
@@ -392,6 +394,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``node`` and ``component`` are null for empty sets. The rows lie in the
     shared folder.
     """
+    with arrow_rows(docs.sparkSession, ARROW_ROWS):
+        return _near_duplicates(docs, id_col, text_col)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = stored(sketch(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()), "sketch")
     worded = rows.where("n_shingles > 0")
     classes = stored(worded.groupBy("digest").agg(F.min("uid").alias("node"), F.min("id").alias("least")), "classes")
