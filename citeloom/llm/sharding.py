@@ -23,6 +23,7 @@ of the input pass through, those named like an added one are replaced.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -34,6 +35,7 @@ SLOTS = 4096
 SHARDS = 8
 #: Columns that the records get.
 ADDED = ("size", "vslot", "shard", "slot")
+ORDER = "__shard_order"
 MAP = "version int, vslot int, shard int, bytes long, rows long, first long"
 
 
@@ -47,11 +49,14 @@ def virtual_slot(id_col: str, text_col: str, slots: int = SLOTS) -> Column:
     return F.pmod(F.when(F.col(id_col).isNull(), own).otherwise(known), F.lit(slots)).cast("int")
 
 
-def slotted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
-    """``docs`` with size and vslot, as a written table."""
-    kept = docs.drop(*[c for c in ADDED if c not in (id_col, text_col)])
-    return stored(kept.withColumns({"size": record_size(F.col(text_col)), "vslot": virtual_slot(id_col, text_col, slots)}),
-                  "slotted")
+def slotted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS,
+            without: Sequence[str] = ()) -> DataFrame:
+    """``docs`` with size, vslot and what orders a slot's records, as a written table; the columns
+    ``without`` stay behind."""
+    kept = docs.drop(*[c for c in (*ADDED, ORDER) if c not in (id_col, text_col)])
+    return stored(kept.withColumns({
+        "size": record_size(F.col(text_col)), "vslot": virtual_slot(id_col, text_col, slots),
+        ORDER: F.xxhash64(F.col(text_col), F.col(id_col))}).drop(*without), "slotted")
 
 
 def slot_bytes(records: DataFrame, slots: int = SLOTS) -> list[tuple]:
@@ -141,42 +146,41 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Data
     return table.where(F.col("version") == version)
 
 
-def assign(records: DataFrame, shard_map: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def assign(records: DataFrame, shard_map: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``slotted`` records with shard and slot, the record's place in its shard (gapless from 0).
 
     Raises where the map lacks the slot of a record.
     """
     at = F.col("__map")
-    d = records.withColumn("__hash", F.xxhash64(F.col(text_col), F.col(id_col)))
-    place = F.row_number().over(Window.partitionBy("vslot").orderBy("__hash", F.col(id_col))) - 1
-    d = d.withColumn("__place", place)
+    place = F.row_number().over(Window.partitionBy("vslot").orderBy(ORDER, F.col(id_col))) - 1
+    d = records.withColumn("__place", place)
     # `slots` rows: the map's size is fixed by a parameter.
     where = F.broadcast(shard_map.select(F.col("vslot").alias("__vslot"), F.struct("shard", "first").alias("__map")))
     known = F.coalesce(at, F.raise_error(F.concat(F.lit("the map has no slot "), F.col("vslot").cast("string"))).cast(
         "struct<shard:int,first:bigint>"))
     d = d.join(where, F.col("vslot") == F.col("__vslot"), "left").withColumn("__map", known)
     return d.withColumns({"shard": at["shard"], "slot": at["first"] + F.col("__place")}).drop(
-        "__hash", "__place", "__vslot", "__map")
+        ORDER, "__place", "__vslot", "__map")
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, path: str | None = None,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+          id_col: str = "doc_id", text_col: str = "text", without: Sequence[str] = ()) -> DataFrame:
     """Stores the even map as version 1 at ``path`` (a new folder in the shared one by default), edits
     it by the bytes of ``docs``, stores that as version 2 and assigns the records by it."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "llm-slot-map")
-    records = slotted(docs, id_col, text_col, slots)
+    records = slotted(docs, id_col, text_col, slots, without)
     sizes = slot_bytes(records, slots)
     first = even_map(shards, slots)
     save_map(map_table(spark, sizes, first, 1), path)
     save_map(map_table(spark, sizes, rebalance(sizes, first, shards), 2), path)
-    return assign(records, load_map(spark, path), id_col, text_col)
+    return assign(records, load_map(spark, path), id_col)
 
 
 def sharding_digest(docs: DataFrame) -> DataFrame:
     """The digest of ``op3``: one row per document; sizes of the shards are nearly equal."""
     # Texts stay behind: what is written and shuffled has their checksum and size.
     summed = docs.select("doc_id", "text", F.crc32(whole(F.col("text")).cast("binary")).alias("text_crc32"))
-    return shard(summed).select(
+    return shard(summed, without=["text"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "vslot")

@@ -45,6 +45,45 @@ def test_versions_of_the_map(spark, tmp_path):
     assert {r.vslot: r.shard for r in sharding.load_map(spark, path).collect()} == second
 
 
+def test_a_version_is_never_written_twice_and_no_record_is_lost(spark, tmp_path):
+    path = str(tmp_path / "map")
+    docs = documents(spark, extra=[(100 + i, f"text {i}") for i in range(40)])
+    records = sharding.slotted(docs, slots=64)
+    sizes = sharding.slot_bytes(records, 64)
+    table = sharding.map_table(spark, sizes, sharding.even_map(4, 64), 1)
+    sharding.save_map(table, path)
+    with pytest.raises(ValueError, match="has version"):
+        sharding.save_map(table, path)
+    assert sharding.load_map(spark, path).count() == 64
+    assert sharding.assign(records, table).count() == docs.count()
+    with pytest.raises(Exception, match="the map has no slot"):
+        sharding.assign(records, table.where("vslot < 10")).collect()
+
+
+def test_records_without_id_are_spread(spark):
+    rows = spark.createDataFrame([(None, "the same text of two hundred bytes " * 6)] * 2000, "doc_id long, text string").repartition(5)
+    load = Counter()
+    for r in sharding.sharding_digest(rows).collect():
+        load[r.shard] += r["size"]
+    assert len(load) == 8 and max(load.values()) - min(load.values()) <= 0.02 * sum(load.values())
+
+
+def test_the_query_goes_through_an_edited_map(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "x" * (5000 if i % 7 == 0 else 10)) for i in range(3000)], "doc_id long, text string")
+    path = str(tmp_path / "map")
+    sharding.shard(docs, path=path).count()
+    one, two = ({r.vslot: (r.shard, r.bytes) for r in sharding.load_map(spark, path, v).collect()} for v in (1, 2))
+
+    def gap(of):
+        load = Counter()
+        for shard, size in of.values():
+            load[shard] += size
+        return max(load.values()) - min(load.values())
+
+    moved = sum(one[v][0] != two[v][0] for v in one)
+    assert gap(two) < gap(one) and 0 < moved < 0.2 * len(one)
+
+
 @pytest.mark.parametrize("before, after", [(4, 5), (8, 9), (5, 3), (1, 6)])
 def test_edits_move_few_slots_and_level_the_load(before, after):
     sizes = [(v, 50 + (v * 7919) % 100, 1) for v in range(4096)]
