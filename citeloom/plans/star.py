@@ -29,7 +29,7 @@ from citeloom.operators.facts import bridge_rows, not_loaded, resolve_key
 from citeloom.operators.keys import assign_keys
 from citeloom.operators.upsert import merge_last_wins, merge_touched
 from citeloom.schemas import FACT_PUBLICATION, STAR_TABLES, empty_table
-from citeloom.session import scratch_path
+from citeloom.session import written
 from citeloom.sources.sinks import bucket_of
 
 
@@ -108,17 +108,18 @@ def keyed_publications(articles: DataFrame, dim_journal: DataFrame, fact_publica
     """New publications with their surrogate key (and their author list). ``articles`` are written
     rows with their ``ROW_ID``."""
     good = articles.where(F.col("reject_reason").isNull())
-    rows = resolve_key(good, dim_journal, "journal_name", "journal_main", "journal_id",
-                       salt_buckets=salt_buckets, salt_by="load_order",
-                       match=_matcher(journal_match)).select(
-        ROW_ID, "load_order", "title", "doi", "publication_date", "link", "abstract", "journal_id",
-        F.col("last_quartil").alias("quartils"), "authors")
+    # Only the order and the journal's key travel through the joins, the range shuffle and the
+    # checkpoint; titles, abstracts and authors are read and join their keys afterwards. The row id
+    # parts repeated and missing load orders.
+    narrow = good.select(ROW_ID, "load_order", "journal_name", *(("title", "doi") if idempotent else ()))
+    rows = resolve_key(narrow, dim_journal, "journal_name", "journal_main", "journal_id",
+                       salt_buckets=salt_buckets, salt_by="load_order", match=_matcher(journal_match))
     new = not_loaded(rows, fact_publication, ["title", "doi"]) if idempotent else rows
-    # Only the order travels through the range shuffle and the checkpoint; titles, abstracts and
-    # authors join their key afterwards. The row id parts repeated and missing load orders.
-    keys = assign_keys(new.select(ROW_ID, "load_order"), "publication_id", ["load_order", ROW_ID],
+    keys = assign_keys(new.select(ROW_ID, "load_order", "journal_id"), "publication_id", ["load_order", ROW_ID],
                        after=fact_publication)
-    return rows.join(keys.select(ROW_ID, "publication_id"), ROW_ID).drop(ROW_ID)
+    return good.join(keys.select(ROW_ID, "publication_id", "journal_id"), ROW_ID).select(
+        "load_order", "title", "doi", "publication_date", "link", "abstract", "journal_id",
+        F.col("last_quartil").alias("quartils"), "authors", "publication_id")
 
 
 def load_authors(keyed: DataFrame, dim_author: DataFrame) -> DataFrame:
@@ -141,16 +142,15 @@ def insert_dates(new_facts: DataFrame, dim_date: DataFrame) -> tuple[DataFrame,
 
 def written_articles(articles: DataFrame) -> DataFrame:
     """The articles as a written table with their ``ROW_ID``: several loads of them decode them once."""
-    path = scratch_path(articles.sparkSession, "articles")
-    numbered = articles.withColumn(ROW_ID, F.monotonically_increasing_id())
-    numbered.write.parquet(path)
-    return articles.sparkSession.read.schema(numbered.schema).parquet(path)
+    return written("articles", articles.withColumn(ROW_ID, F.monotonically_increasing_id()))
 
 
 def touched_quartiles(articles: DataFrame, dim_journal: DataFrame, journal_quartile: DataFrame,
                       salt_buckets: int | None = None, journal_match: str = "exact") -> DataFrame:
     """The rows after the merge of those buckets of the quartile table that the articles touch."""
-    return merge_touched(journal_quartile, quartile_source(articles, dim_journal, salt_buckets, journal_match),
+    # The merge reads its source three times: for the buckets, the changed rows and the new ones.
+    source = written("quartiles", quartile_source(articles, dim_journal, salt_buckets, journal_match))
+    return merge_touched(journal_quartile, source,
                          keys=["annee", "id_journal"], values=["quartil"], order_by=["load_order", "pos"],
                          key_col="quartil_id", bucket=lambda: bucket_of(F.col("id_journal")))
 
@@ -190,13 +190,6 @@ class StarLoad(Mapping):
                 self._cached = self._source if ROW_ID in self._source.columns else written_articles(self._source)
             return self._cached
 
-    @staticmethod
-    def _written(purpose: str, rows: DataFrame) -> DataFrame:
-        """Rows made from a table that they will be written into: kept apart from it meanwhile."""
-        path = scratch_path(rows.sparkSession, purpose)
-        rows.write.parquet(path)
-        return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
     def _get(self, name: str, build) -> DataFrame:
         # One lock per table; tables depend on each other as a DAG and locks
         # are taken along it, so concurrent builders cannot deadlock.
@@ -223,9 +216,10 @@ class StarLoad(Mapping):
         return self
 
     def _keyed(self) -> DataFrame:
-        return self._get("__keyed", lambda: keyed_publications(
+        # Written: facts, authors, dates, the bridge and the integrity check all read them.
+        return self._get("__keyed", lambda: written("keyed", keyed_publications(
             self._articles, self["dim_journal"], self._cur["fact_publication"], self._idempotent, self._salt,
-            self._match))
+            self._match)))
 
     def _new_facts(self) -> DataFrame:
         return self._keyed().select(*FACT_PUBLICATION.fieldNames())
@@ -236,7 +230,14 @@ class StarLoad(Mapping):
             "dim_journal": lambda: insert_journals(self._articles, self._cur["dim_journal"], self._match),
             "dim_author": lambda: insert_authors(self._keyed(), self._cur["dim_author"]),
             "dim_date": lambda: insert_dates(self._new_facts(), self._cur["dim_date"])}[name]
-        return self._get("__pair_" + name, build)
+
+        def stored() -> tuple[DataFrame, DataFrame]:
+            # Written: of a join's sides the dimension then counts with its size, not as unknown, and
+            # Spark broadcasts it rather than the facts (whose files are small, too, before names are exploded).
+            new = written(name, build()[1])
+            return self._cur[name].unionByName(new), new
+
+        return self._get("__pair_" + name, stored)
 
     def _new_bridge(self) -> DataFrame:
         return self._get("__bridge", lambda: bridge_rows(
@@ -246,14 +247,16 @@ class StarLoad(Mapping):
     def added(self, name: str) -> DataFrame:
         """The rows this load adds to a table (where rows change in place, the touched buckets whole)."""
         if name == "journal_quartile":
-            return self._get("__touched", lambda: self._written("touched-quartiles", touched_quartiles(
+            # Made from the table that they will be written into: kept apart from it meanwhile.
+            return self._get("__touched", lambda: written("touched-quartiles", touched_quartiles(
                 self._articles, self["dim_journal"], self._cur["journal_quartile"], self._salt, self._match)))
         if name in ("dim_journal", "dim_author", "dim_date"):
             return self._inserted(name)[1]
         if name == "fact_publication":
             return self._new_facts()
         if name == "publication_author":
-            return self._new_bridge()
+            # Written: the integrity check reads them beside the load.
+            return self._get("__added_bridge", lambda: written("bridge", self._new_bridge()))
         return self[name]
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -83,3 +83,10 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, never reused path below the shared folder."""
     return f"{shared_root(spark)}/citeloom/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(purpose: str, rows: DataFrame) -> DataFrame:
+    """The rows as a table below the shared folder: computed once, however often they are read."""
+    path = scratch_path(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
