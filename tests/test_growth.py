@@ -4,10 +4,48 @@ from __future__ import annotations
 
 import datetime
 
+import pytest
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
-from citeloom.plans import load_star
+from citeloom.plans import integrity, load_star, split_orphans
 from conftest import rows
 
+REFERENCES = {"line": (("k", "parent", "pk"),)}
+
+
+@pytest.fixture
+def small_tasks(spark, monkeypatch):
+    monkeypatch.setattr(integrity, "ROWS_PER_TASK", 500, raising=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def lines(spark, n):
+    """Rows with two keys each, a hot key, and null keys."""
+    k = F.when(F.col("id") % 10 == 0, F.lit(7)).when(F.col("id") % 10 != 1, F.floor(F.col("id") / 2))
+    return spark.range(n).select(k.cast("long").alias("k"), F.col("id").alias("v"))
+
+
+@pytest.mark.parametrize("n", (4000, 16000))
+def test_orphan_split_gives_each_task_as_many_rows_at_any_size(spark, small_tasks, n):
+    child, parents = lines(spark, n), spark.range(n).where("id % 3 = 1").withColumnRenamed("id", "pk")
+    kept, found = split_orphans({"line": child, "parent": parents.where("pk < 1000")},
+                                {"parent": parents.where("pk >= 1000")}, REFERENCES)
+    everything = child.collect()
+    known = [r for r in everything if r["k"] is None or r["k"] % 3 == 1]
+    assert rows(kept["line"]) == sorted(((r["k"], r["v"]) for r in known), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    assert rows(found, "key_value") == sorted((str(r["k"]),) for r in everything if r["k"] is not None and r["k"] % 3 != 1)
+    most = kept["line"].groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most < 500 + n / 5  # the hot and the null keys lie in one task each
+
+
+def test_tables_without_orphans_are_passed_on(spark):
+    child, parents = lines(spark, 100), spark.range(100).withColumnRenamed("id", "pk")
+    kept, found = split_orphans({"line": child}, {"parent": parents}, REFERENCES)
+    assert kept["line"] is child and found.count() == 0
+
 
 def table_folder(spark, path):
     """A few customers and orders as the entry's queries read them."""
