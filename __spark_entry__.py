@@ -392,9 +392,13 @@ def _loaded_warehouse(spark, sf_dir, halves: bool):
     """A warehouse after two loads through files: of the same landing data, or of one half each."""
     place = scratch_path(spark, "warehouse")
     warehouse = create_tables(spark, "w_" + place[-32:], place)
+    landing = None
     for version, odd in (("1", 0), ("2", 1)):
-        landing = scratch_path(spark, "landing")
-        order_documents(spark, sf_dir, odd if halves else None).write.text(landing)
+        if landing is None or halves:  # the same landing data are written once
+            landing = scratch_path(spark, "landing")
+            # Compressed files are not split; a bounded number of documents in each keeps tasks even.
+            (order_documents(spark, sf_dir, odd if halves else None).write.option("maxRecordsPerFile", 100_000)
+             .text(landing, compression="gzip"))
         run_batch(spark, landing, warehouse, version=version)
     return read_current(spark, warehouse)
 

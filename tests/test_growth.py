@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,3 +69,15 @@ def test_added_facts_and_bridge_are_computed_once(spark, tmp_path):
     facts, bridge = load.added("fact_publication"), load.added("publication_author")
     assert rows(facts, "publication_id") == [(i + 1,) for i in range(facts.count())] and facts.count()
     assert rows(bridge.select("publication_id").distinct()) == rows(facts, "publication_id")
+
+
+@pytest.mark.parametrize("halves", (False, True))
+def test_landing_is_compressed_and_the_same_one_written_once(spark, tmp_path, monkeypatch, halves):
+    folder, landings = table_folder(spark, tmp_path / "in"), []
+    monkeypatch.setattr(entry, "run_batch", lambda spark, landing, *a, **k: landings.append(landing))
+    entry._loaded_warehouse(spark, folder, halves)
+    assert len(landings) == 2 and len(set(landings)) == (2 if halves else 1)
+    for odd, landing in enumerate(landings):
+        files = [f for f in os.listdir(landing.removeprefix("file:")) if f.startswith("part-")]
+        assert files and all(f.endswith(".gz") for f in files)
+        assert rows(spark.read.text(landing)) == rows(entry.order_documents(spark, folder, odd if halves else None))
